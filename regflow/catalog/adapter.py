@@ -2,19 +2,19 @@
 
 A report cell is the largest price of a fuel in a (place, class, month), rounded down: a
 whole number with thousands separators that stays an INT however large the tables are.
-A re-scraped report (`pick=F.min`) holds the smallest price instead.
+A re-scraped report (`pick="min"`) holds the smallest price instead.
 """
 
 from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable
 from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regflow.functions import dates, text
 from regflow.operators import load
@@ -51,12 +51,33 @@ BLOCKED_TITLE = "The and attion to thanedble the, anea. Eriner thanea."
 BLOCKED_MARKERS = ("track(0)", "Nicht", "que&amp;")
 
 
+# Declared, so that reading a table starts no job to look at its footers.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_brand string, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
+
+
+_STATE_ARRAY = "array(" + ", ".join(f"'{s}'" for s in STATES) + ")"
 
 
 def state_of(nation_key: Column) -> Column:
-    return F.try_element_at(F.array(*[F.lit(s) for s in STATES]), nation_key + 1)
+    return F.try_element_at(F.expr(_STATE_ARRAY), nation_key + 1)
 
 
 def class_label(part_type: Column) -> Column:
@@ -94,20 +115,12 @@ def offices(spark: SparkSession, sf: str) -> DataFrame:
 
 def mapping(spark: SparkSession, sf: str) -> DataFrame:
     """Vehicle-class mapping. PROMO is unmapped; some cells are empty or NULL."""
-    part_type = F.col("p_type")
-
-    def by_type(cells: dict[str, str | None], other: str) -> Column:
-        value = F.when(F.lit(False), F.lit(""))
-        for name, cell in cells.items():
-            value = value.when(part_type == name, F.lit(cell))
-        return value.otherwise(F.lit(other))
-
-    classes = table(spark, sf, "part").filter(part_type != "PROMO").select("p_type").distinct()
-    return classes.select(
-        class_label(part_type).alias("Vehicle Class"),
-        by_type({"LARGE": "Goods", "MEDIUM": None}, "Passenger").alias("Vehicle Type"),
-        by_type({"LARGE": "Truck", "SMALL": " "}, "Car").alias("Vehicle Category"),
-        by_type({"ECONOMY": ""}, "Private").alias("Vehicle Use Type"),
+    classes = table(spark, sf, "part").filter("p_type <> 'PROMO'").select("p_type").distinct()
+    return classes.selectExpr(
+        "concat('CLASS-', p_type, '(LMV)') as `Vehicle Class`",
+        "decode(p_type, 'LARGE', 'Goods', 'MEDIUM', null, 'Passenger') as `Vehicle Type`",
+        "decode(p_type, 'LARGE', 'Truck', 'SMALL', ' ', 'Car') as `Vehicle Category`",
+        "decode(p_type, 'ECONOMY', '', 'Private') as `Vehicle Use Type`",
     )
 
 
@@ -121,39 +134,39 @@ def districts(spark: SparkSession, sf: str) -> DataFrame:
     return listed.select(code.alias("rto_code"), F.explode(names).alias("district"))
 
 
-def _cells(pick: Callable[[Column], Column]) -> list[Column]:
-    fuel = F.concat("l_returnflag", "l_linestatus")
-    new = (fuel == "RO") & (F.year("l_shipdate") >= NEW_HEADER_YEAR)
-    columns = []
-    for code, header in FUELS.items():
-        chosen = (fuel == code) & ~new if code == "RO" else fuel == code
-        columns.append(pick(F.when(chosen, F.col("l_extendedprice"))).alias(header))
-    columns.append(pick(F.when(new, F.col("l_extendedprice"))).alias(NEW_HEADER))
-    return columns
+def _cells(pick: str) -> list[Column]:
+    new = f"(l_returnflag = 'R' and l_linestatus = 'O' and year(l_shipdate) >= {NEW_HEADER_YEAR})"
+    conditions = {
+        header: f"l_returnflag = '{flag}' and l_linestatus = '{status}' and not {new}"
+        for (flag, status), header in FUELS.items()
+    }
+    conditions[NEW_HEADER] = new
+    return [
+        F.expr(f"{pick}(case when {condition} then l_extendedprice end)").alias(header)
+        for header, condition in conditions.items()
+    ]
 
 
 def raw_reports(
-    spark: SparkSession, sf: str, grain: Grain, pick=F.max, since: str | None = None
+    spark: SparkSession, sf: str, grain: Grain, pick: str = "max", since: str | None = None
 ) -> DataFrame:
     """Wide report rows as text, with the path of their report.
 
-    One aggregation with partial sums on the map side; the supplier's name and state are
+    One aggregation that combines on the map side; the supplier's name and state are
     joined to the aggregated rows.
     """
     lines = table(spark, sf, "lineitem")
     if since:
-        lines = lines.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
-    parts = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand")
+        lines = lines.filter(f"l_shipdate >= timestamp_ntz'{since} 00:00:00'")
+    parts = table(spark, sf, "part")
     lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn(
         "month_start", month_start(F.col("l_shipdate"))
     )
     if grain.name == "rto":
         totals = lines.groupBy("l_suppkey", "p_type", "month_start").agg(*_cells(pick))
-        placed = totals.join(
-            offices(spark, sf), F.col("l_suppkey") == F.col("s_suppkey")
-        )
+        placed = totals.join(offices(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
     else:
-        suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+        suppliers = table(spark, sf, "supplier")
         keys = ["s_nationkey", "p_type", "month_start"]
         keys += ["p_brand"] if grain.name == "oem" else []
         totals = (
@@ -162,8 +175,6 @@ def raw_reports(
             .agg(*_cells(pick))
         )
         placed = totals.withColumn("state", state_of(F.col("s_nationkey")))
-    whole = {h: F.floor(F.col(h)).cast("long") for h in CELL_HEADERS}
-    total = sum((F.coalesce(value, F.lit(0)) for value in whole.values()), F.lit(0))
     folders = [text.state_folder(F.col("state"))]
     if grain.name == "rto":
         folders.append(F.col("folder"))
@@ -177,12 +188,13 @@ def raw_reports(
         dates.month_of(F.col("month_start")),
         F.lit(REPORT_FILE),
     )
-    label = F.col("p_brand") if grain.name == "oem" else class_label(F.col("p_type"))
-    return placed.select(
-        path.alias("path"),
-        label.alias(LABEL_HEADER),
-        *[F.format_number(value, 0).alias(header) for header, value in whole.items()],
-        F.format_number(total, 0).alias(TOTAL_HEADER),
+    label = "p_brand" if grain.name == "oem" else "concat('CLASS-', p_type, '(LMV)')"
+    total = " + ".join(f"coalesce(floor(`{h}`), 0)" for h in CELL_HEADERS)
+    return placed.withColumn("path", path).selectExpr(
+        "path",
+        f"{label} as `{LABEL_HEADER}`",
+        *[f"format_number(floor(`{h}`), 0) as `{h}`" for h in CELL_HEADERS],
+        f"format_number({total}, 0) as `{TOTAL_HEADER}`",
     )
 
 
@@ -191,7 +203,7 @@ def report_root(grain: Grain) -> str:
 
 
 def preprocessed(
-    spark: SparkSession, sf: str, grain: Grain, pick=F.max, since: str | None = None
+    spark: SparkSession, sf: str, grain: Grain, pick: str = "max", since: str | None = None
 ) -> DataFrame:
     reports = raw_reports(spark, sf, grain, pick, since)
     return preprocess(reports, mapping(spark, sf), grain)
@@ -204,7 +216,7 @@ def fact(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
 
 def stage(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     """Re-scraped reports of the later months; keys change case, which must not matter."""
-    later = preprocessed(spark, sf, grain, F.min, RESCRAPE_FROM)
+    later = preprocessed(spark, sf, grain, "min", RESCRAPE_FROM)
     lowered = later.withColumn("vehicle_class", F.lower("vehicle_class"))
     return load.stage_load(lowered, grain.columns)
 
@@ -234,7 +246,7 @@ LEGACY_ABSENT = (
 
 def legacy_with_copies(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     """Backup in which many keys occur twice, with the older value of two scrapes."""
-    copies = preprocessed(spark, sf, grain, F.min)
+    copies = preprocessed(spark, sf, grain, "min")
     values = ["electric_bov", *grain.backfill_key]
     both = fact(spark, sf, grain).select(*values).unionByName(
         load.stage_load(copies, values).drop("inserted_at")
@@ -254,9 +266,9 @@ def sheet_rows(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
     stored, so a report without any is an empty one."""
     raw = raw_reports(spark, sf, grain)
     year = F.element_at(F.split("path", "/"), -3).cast("int")
-    pairs = [item for h in RAW_HEADERS for item in (F.lit(h), F.col(h))]
+    pairs = ", ".join(f"'{h}', `{h}`" for h in RAW_HEADERS)
     cells = F.map_filter(
-        F.create_map(*pairs), lambda k, _: (k != NEW_HEADER) | (year >= NEW_HEADER_YEAR)
+        F.expr(f"map({pairs})"), lambda k, _: (k != NEW_HEADER) | (year >= NEW_HEADER_YEAR)
     )
     stored = F.col("CNG ONLY").isNotNull()
     order = Window.partitionBy("path").orderBy(F.desc("stored"), LABEL_HEADER)
@@ -345,7 +357,7 @@ def workbooks(spark: SparkSession, sf: str) -> DataFrame:
     sheet_headers = [None, None, *FUEL_HEADERS, None, NEW_HEADER]
     places = [1, *[sheet_headers.index(h) for h in CELL_HEADERS], len(FUEL_HEADERS) + 2]
 
-    @F.pandas_udf("binary")
+    @F.pandas_udf(T.BinaryType())
     def build(path: pd.Series, rows: pd.Series) -> pd.Series:
         def one(path: str, rows) -> bytes:
             if len(rows) == 1:
@@ -363,6 +375,9 @@ def workbooks(spark: SparkSession, sf: str) -> DataFrame:
         return pd.Series([one(p, r) for p, r in zip(path, rows)])
 
     raw = raw_reports(spark, sf, GRAINS["rto"])
-    row = F.struct(*[F.col(h).alias(f"c{i}") for i, h in enumerate(RAW_HEADERS)])
-    grouped = raw.groupBy("path").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    row = F.expr("struct(" + ", ".join(f"`{h}` as c{i}" for i, h in enumerate(RAW_HEADERS)) + ")")
+    # A fixed number of partitions: AQE would otherwise pack these small rows, which are
+    # expensive to turn into files, into one task.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grouped = raw.repartition(tasks, "path").groupBy("path").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     return grouped.select("path", build("path", "rows").alias("content"))

@@ -101,7 +101,7 @@ def csv_stage_scan(spark, sf):
 @query
 def csv_monthly_sink(spark, sf):
     path = work_path(spark, "csv")
-    frame = a.preprocessed(spark, sf, RTO, F.min, a.RESCRAPE_FROM)
+    frame = a.preprocessed(spark, sf, RTO, "min", a.RESCRAPE_FROM)
     staging.write_monthly_csvs(frame, path, RTO)
     return staging.read_csv_stage(spark, path)
 
@@ -240,8 +240,8 @@ def _legacy_rows(spark, sf):
     year = F.col("Year")
     total = F.when(year < "1998", F.lit("Unnamed: 23")).otherwise(F.lit("Unnamed: 26"))
     known = [LABEL_HEADER, "DIESEL", "PETROL", "PURE EV", "ELECTRIC(BOV)", "CNG ONLY"]
-    pairs = [item for h in known for item in (F.lit(h), F.col(h))]
-    cells = F.create_map(*pairs, total, F.col(TOTAL_HEADER))
+    pairs = ", ".join(f"'{h}', `{h}`" for h in known)
+    cells = F.map_concat(F.expr(f"map({pairs})"), F.create_map(total, F.col(TOTAL_HEADER)))
     # The title carries the label, not the folder spelling.
     state = F.replace("State", F.lit("   "), F.lit(" & "))
     title = F.concat(
@@ -655,14 +655,14 @@ def monthly_run(spark, sf, grain):
     fact = a.fact(spark, sf, grain)
     lookup = districts_for(spark, sf, grain)
     current = None if grain is STATE else curate.curate(fact, grain, lookup)
-    latest = a.preprocessed(spark, sf, grain, F.min, "2001-10-01")
+    latest = a.preprocessed(spark, sf, grain, "min", "2001-10-01")
     run = monthly.monthly_run(latest, fact, current, grain, as_of(), lookup)
     return (run.fact if run.curated is None else run.curated).drop("inserted_at")
 
 
 @query
 def history_backfill(spark, sf):
-    rescraped = a.raw_reports(spark, sf, RTO, F.min)
+    rescraped = a.raw_reports(spark, sf, RTO, "min")
     merged = monthly.history_backfill(
         rescraped, a.mapping(spark, sf), a.fact(spark, sf, RTO), RTO,
         ["Maharashtra"], F.lit("1996-03-01").cast("date"), F.lit("1999-08-01").cast("date"),

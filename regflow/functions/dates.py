@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,17 +9,17 @@ from regflow.functions.text import strip
 from regflow.schema import MONTHS
 
 
-def _literal_map(pairs) -> Column:
-    return F.create_map(*[F.lit(value) for value in chain.from_iterable(pairs)])
+_NUMBER_OF = "map(" + ", ".join(f"'{name}', {i}" for i, name in enumerate(MONTHS, 1)) + ")"
+_NAME_OF = "map(" + ", ".join(f"{i}, '{name}'" for i, name in enumerate(MONTHS, 1)) + ")"
 
 
 def month_number(label: Column) -> Column:
     """1-12 for an upper-case label, else NULL."""
-    return F.try_element_at(_literal_map(zip(MONTHS, range(1, 13))), label)
+    return F.try_element_at(F.expr(_NUMBER_OF), label)
 
 
 def month_name(number: Column) -> Column:
-    return F.try_element_at(_literal_map(zip(range(1, 13), MONTHS)), number)
+    return F.try_element_at(F.expr(_NAME_OF), number)
 
 
 def month_label(label: Column) -> Column:
@@ -37,6 +35,10 @@ def report_date_text(text: Column) -> Column:
     return F.date_format(F.to_date(text, "d/MMM/yyyy"), "dd/MM/yyyy")
 
 
+REPORT_DATE_SQL = "to_date(trim(date), 'd/M/yyyy')"
+TRY_REPORT_DATE_SQL = "try_to_date(trim(date), 'd/M/yyyy')"
+
+
 def report_date(text: Column) -> Column:
     """Day/month/year text to a date; a bad date raises in ANSI mode."""
     return F.to_date(F.trim(text), "d/M/yyyy")

@@ -15,7 +15,21 @@ def parse_count(text: Column) -> Column:
     return _plain(text).cast("int")
 
 
+def parse_count_sql(name: str) -> str:
+    """`parse_count` of a named column as SQL text.
+
+    Wide projections are given to Spark as text: one call per column instead of one per
+    expression node.
+    """
+    return f"cast(replace(`{name}`, ',', '') as int)"
+
+
+def try_parse_count_sql(name: str) -> str:
+    plain = f"replace(`{name}`, ',', '')"
+    return f"case when {plain} rlike '^ *[+-]?[0-9]+ *$' then try_cast({plain} as int) end"
+
+
 def try_parse_count(text: Column) -> Column:
     """As `parse_count`, with NULL for text that is not a whole number."""
     plain = _plain(text)
-    return F.when(plain.rlike(r"^\s*[+-]?\d+\s*$"), plain.try_cast("int"))
+    return F.when(plain.rlike("^ *[+-]?[0-9]+ *$"), plain.try_cast("int"))

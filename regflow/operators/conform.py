@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regflow.functions import dates
@@ -79,8 +79,8 @@ def filter_states(
 def rename_project(frame: DataFrame, grain: Grain) -> DataFrame:
     """Rename known headers, in output order, and drop every other column."""
     present = set(frame.columns)
-    return frame.select(
-        [F.col(src).alias(dst) for src, dst in grain.rename_map.items() if src in present]
+    return frame.selectExpr(
+        [f"`{src}` as `{dst}`" for src, dst in grain.rename_map.items() if src in present]
     )
 
 
@@ -91,8 +91,8 @@ def missing_columns(frame: DataFrame, expected: Sequence[str]) -> list[str]:
 def fill_missing_columns(frame: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Expected columns in order, absent ones as NULL text, never as 0."""
     absent = set(missing_columns(frame, expected))
-    return frame.select(
-        [F.lit(None).cast("string").alias(c) if c in absent else F.col(c) for c in expected]
+    return frame.selectExpr(
+        [f"cast(null as string) as `{c}`" if c in absent else f"`{c}`" for c in expected]
     )
 
 
@@ -132,19 +132,15 @@ def preprocess_summary(rows: DataFrame, by: Sequence[str]) -> DataFrame:
 def history_defaults(rows: DataFrame, headers: Sequence[str]) -> DataFrame:
     """Wide legacy rows: three EV columns default to 0 and the total may sit further left."""
 
-    def cell(header: str) -> Column:
-        return F.try_element_at("cells", F.lit(header))
-
     zero_filled = ("PLUG-IN HYBRID EV", "PURE EV", "STRONG HYBRID EV")
     columns = []
     for header in headers:
-        value = cell(header)
+        value = f"try_element_at(cells, '{header}')"
         if header in zero_filled:
-            value = F.coalesce(value, F.lit("0"))
+            value = f"coalesce({value}, '0')"
         elif header == LEGACY_TOTAL_HEADER:
-            value = F.when(F.map_contains_key("cells", header), value).otherwise(
-                cell(LEGACY_TOTAL_FALLBACK)
-            )
-        columns.append(value.alias(header))
+            fallback = f"try_element_at(cells, '{LEGACY_TOTAL_FALLBACK}')"
+            value = f"if(map_contains_key(cells, '{header}'), {value}, {fallback})"
+        columns.append(f"{value} as `{header}`")
     kept = [c for c in rows.columns if c != "cells"]
-    return rows.select(*kept, *columns)
+    return rows.selectExpr(*kept, *columns)

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regflow.functions import dates, numbers, text
+from regflow.functions import dates, numbers
 from regflow.operators.keys import anti_join, text_key
 from regflow.operators.load import PERIOD
 from regflow.schema import MEASURES, Grain
 from regflow.session import require_ansi
 
+_DATE_PARTS = ("year", "month", "day")
+
 
 def incremental_window(fact: DataFrame, as_of: Column) -> DataFrame:
     """Rows dated on or after the first day of the month before `as_of`.
@@ -31,33 +33,26 @@ def join_district(fact: DataFrame, districts: DataFrame) -> DataFrame:
     return fact.join(lookup, same, "left").drop("district_code")
 
 
-def _typed(fact: DataFrame, grain: Grain, count) -> DataFrame:
-    columns = [F.col(c).cast("int").alias(c) for c in ("year", "month", "day")]
-    columns.append(dates.report_date(F.col("date")).alias("date"))
-    for source, name, width in grain.curated_text:
-        columns.append(text.varchar(F.col(source), width).alias(name))
-    columns += [count(F.col(c)).alias(c) for c in MEASURES]
-    return fact.select(*columns, "inserted_at")
-
-
 def curate(fact: DataFrame, grain: Grain, districts: DataFrame | None = None) -> DataFrame:
     """Typed projection; a value that does not parse fails the job."""
     require_ansi(fact.sparkSession)
     if grain.name == "rto":
         fact = join_district(fact, districts)
-    return _typed(fact, grain, numbers.parse_count)
+    columns = [f"cast({c} as int) as {c}" for c in _DATE_PARTS]
+    columns.append(f"{dates.REPORT_DATE_SQL} as date")
+    columns += [f"substring({c}, 1, {width}) as {name}" for c, name, width in grain.curated_text]
+    columns += [f"{numbers.parse_count_sql(c)} as {c}" for c in MEASURES]
+    return fact.selectExpr(*columns, "inserted_at")
 
 
 def quarantine(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into rows that `curate` accepts and rows it would fail on, with the reason."""
 
-    def broken(parsed: Column, name: str) -> Column:
-        return F.when(F.col(name).isNotNull() & parsed.isNull(), F.lit(name))
-
-    checks = [broken(F.col(c).try_cast("int"), c) for c in ("year", "month", "day")]
-    checks.append(broken(dates.try_report_date(F.col("date")), "date"))
-    checks += [broken(numbers.try_parse_count(F.col(c)), c) for c in MEASURES]
-    checked = fact.withColumn("bad_columns", F.array_compact(F.array(*checks)))
+    parsed = {c: f"try_cast({c} as int)" for c in _DATE_PARTS}
+    parsed["date"] = dates.TRY_REPORT_DATE_SQL
+    parsed |= {c: numbers.try_parse_count_sql(c) for c in MEASURES}
+    checks = [f"if({c} is not null and {p} is null, '{c}', null)" for c, p in parsed.items()]
+    checked = fact.withColumn("bad_columns", F.expr(f"array_compact(array({', '.join(checks)}))"))
     good = F.size("bad_columns") == 0
     return checked.filter(good).drop("bad_columns"), checked.filter(~good)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from regflow.functions.dates import try_report_date
 from regflow.operators.keys import anti_join
@@ -22,10 +23,15 @@ def stage_load(
 ) -> DataFrame:
     """All columns as text, empty text as NULL, plus the load time."""
     stamp = F.current_timestamp() if inserted_at is None else inserted_at
-    return rows.select(
-        *[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns],
-        stamp.alias("inserted_at"),
-    )
+    kinds = {field.name: field.dataType for field in rows.schema}
+    # Plain conditionals: `nullif` would add a second projection of every column.
+    texts = [
+        f"if(`{c}` = '', null, `{c}`) as `{c}`"
+        if isinstance(kinds[c], StringType)
+        else f"cast(`{c}` as string) as `{c}`"
+        for c in columns
+    ]
+    return rows.selectExpr(texts).withColumn("inserted_at", stamp)
 
 
 def delete_staged(fact: DataFrame, stage: DataFrame, grain: Grain) -> DataFrame:

@@ -38,12 +38,10 @@ def project_if_exists(legacy: DataFrame, grain: Grain) -> DataFrame:
     absent = [c for c in grain.columns if c not in present and c not in ADDED_MEASURES]
     if absent:
         raise ValueError(f"backup of {grain.fact_table} lacks required columns: {absent}")
-    return legacy.select(
-        *[
-            F.col(c) if c in present else F.lit(None).cast("string").alias(c)
-            for c in grain.columns
-        ],
-        first_existing_timestamp(legacy).alias("inserted_at"),
+    stamped = legacy.withColumn("inserted_at", first_existing_timestamp(legacy))
+    return stamped.selectExpr(
+        *[c if c in present else f"cast(null as string) as {c}" for c in grain.columns],
+        "inserted_at",
     )
 
 
@@ -121,13 +119,9 @@ def backfill_electric(fact: DataFrame, backup: DataFrame, grain: Grain) -> DataF
     left = fact.alias("t").withColumn("row_id", whole_key(fact, grain.backfill_key, "t"))
     joined = left.join(right, F.col("row_id") == F.col("backfill_id"), "left")
     filled = F.col("electric_bov").isNull() & F.col("legacy_value").isNotNull()
-    return joined.select(
-        *[
-            F.coalesce("electric_bov", "legacy_value").alias(c) if c == "electric_bov" else c
-            for c in fact.columns
-        ],
-        filled.alias("backfilled"),
-    )
+    value = F.coalesce("electric_bov", "legacy_value")
+    flagged = joined.withColumns({"backfilled": filled, "electric_bov": value})
+    return flagged.select(*fact.columns, "backfilled")
 
 
 def backfill_counts(results: dict[str, DataFrame]) -> DataFrame:

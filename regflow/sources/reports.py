@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +55,28 @@ def report_glob(
 
 
 def scan_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Files that match; an empty frame when nothing does."""
+    """Files that match, those of zero length included; an empty frame when nothing does.
+
+    Spark's file scans leave out files of zero length. Their names come from the listing
+    the scan already holds, and only the names are compared with what the scan returns.
+    """
     try:
-        return spark.read.format("binaryFile").load(pattern)
+        found = spark.read.format("binaryFile").load(pattern)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILE_SCHEMA)
+    names = [(_plain_path(name),) for name in found.inputFiles()]
+    listed = spark.createDataFrame(names, "path string")
+    empty = listed.join(found.select("path"), "path", "left_anti").selectExpr(
+        "path", "cast(null as timestamp) as modificationTime", "0L as length", "X'' as content"
+    )
+    return found.unionByName(empty)
+
+
+def _plain_path(uri: str) -> str:
+    """A listed URI as the scan's `path` column spells it."""
+    return re.sub("^file:///", "file:/", unquote(uri))
 
 
 def discover(
@@ -96,6 +113,22 @@ def path_dimensions(files: DataFrame, grain: Grain) -> DataFrame:
     return files.withColumns(added)
 
 
+_ROWS_PER_BATCH = 4096
+_ARROW_ROW = pa.schema(
+    [
+        ("path", pa.string()),
+        ("title", pa.string()),
+        ("row_no", pa.int32()),
+        ("cells", pa.map_(pa.string(), pa.string())),
+    ]
+)
+
+
+def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
+    arrays = [pa.array(column, field.type) for column, field in zip(zip(*rows), _ARROW_ROW)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_ROW)
+
+
 @F.pandas_udf(T.BooleanType())
 def workbook_is_valid(content: pd.Series) -> pd.Series:
     return content.map(is_workbook)
@@ -120,25 +153,29 @@ def read_workbooks(
     union and the wide form is a projection without a shuffle.
     """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
+                path, content = path.as_py(), content.as_py()
                 if not is_workbook(content):
                     raise ValueError(f"Invalid Excel report file: {path}")
                 title, rows = table_rows(content, sheet, skip, drop_first)
-                numbers = pd.array(range(len(rows)) if rows else [None], dtype="Int32")
-                yield pd.DataFrame(
-                    {"path": path, "title": title, "row_no": numbers, "cells": rows or [None]}
-                )
+                out += [(path, title, i, list(row.items())) for i, row in enumerate(rows)]
+                if not rows:
+                    out.append((path, title, None, None))
+                if len(out) >= _ROWS_PER_BATCH:
+                    yield _row_batch(out)
+                    out = []
+        if out:
+            yield _row_batch(out)
 
-    return files.select("path", "content").mapInPandas(parse, ROW_SCHEMA)
+    return files.select("path", "content").mapInArrow(parse, ROW_SCHEMA)
 
 
 def widen(rows: DataFrame, headers: Iterable[str]) -> DataFrame:
     """One column per wanted header; absent headers are NULL."""
-    return rows.select(
-        "path",
-        "row_no",
-        *[F.try_element_at("cells", F.lit(header)).alias(header) for header in headers],
+    return rows.selectExpr(
+        "path", "row_no", *[f"try_element_at(cells, '{h}') as `{h}`" for h in headers]
     )
 

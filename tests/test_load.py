@@ -1,0 +1,91 @@
+import pytest
+from helpers import as_dicts, fact_rows
+from pyspark.sql import functions as F
+
+from regflow.operators import load
+from regflow.schema import GRAINS, OEM, RTO, STATE
+from regflow.sources import staging
+
+KEYS = {
+    "state": dict(date="01/06/2026", state="Goa", vehicle_class="BUS"),
+    "rto": dict(date="01/06/2026", state="Goa", rto_code="G1", rto_name="X", vehicle_class="BUS"),
+    "oem": dict(date="01/06/2026", state="Goa", vehicle_class="BUS", maker="M"),
+}
+
+
+@pytest.mark.parametrize("grain", GRAINS.values(), ids=lambda g: g.name)
+def test_loading_twice_changes_nothing(spark, grain):
+    stage = fact_rows(spark, grain, [KEYS[grain.name] | {"total": "1"}])
+    other = fact_rows(spark, grain, [KEYS[grain.name] | {"state": "Delhi", "total": "5"}])
+    once = load.upsert_fact(other, stage, grain)
+    twice = load.upsert_fact(once, stage, grain)
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+
+
+def test_keys_ignore_case_and_trailing_spaces(spark):
+    fact = fact_rows(spark, STATE, [KEYS["state"] | {"state": "GOA  ", "total": "1"}])
+    stage = fact_rows(spark, STATE, [KEYS["state"] | {"total": "2"}])
+    assert as_dicts(load.upsert_fact(fact, stage, STATE), "state", "total") == [
+        {"state": "Goa", "total": "2"}
+    ]
+    leading = fact_rows(spark, STATE, [KEYS["state"] | {"state": " Goa"}])
+    assert load.delete_staged(leading, stage, STATE).count() == 1
+
+
+def test_null_key_rows_duplicate(spark):
+    stage = fact_rows(spark, RTO, [KEYS["rto"] | {"rto_code": None}])
+    assert load.upsert_fact(stage, stage, RTO).count() == 2
+
+
+def test_maker_is_not_part_of_the_load_key(spark):
+    fact = fact_rows(spark, OEM, [KEYS["oem"] | {"maker": m} for m in "AB"])
+    stage = fact_rows(spark, OEM, [KEYS["oem"] | {"maker": "C"}])
+    assert [r["maker"] for r in as_dicts(load.upsert_fact(fact, stage, OEM))] == ["C"]
+
+
+def test_csv_round_trip(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('date,state,vehicle_class\n01/06/2026,Telangana,MOTOR CAR\n02/06/2026,,"a ""q"",\nb"\n')
+    rows = staging.read_csv_stage(spark, str(path))
+    assert [tuple(r) for r in rows.orderBy("date").collect()] == [
+        ("01/06/2026", "Telangana", "MOTOR CAR"), ("02/06/2026", None, 'a "q",\nb'),
+    ]
+    path.write_text("date,state,vehicle_class\n")
+    assert staging.read_csv_stage(spark, str(path)).count() == 0
+    with pytest.raises(FileNotFoundError, match="did you run"):
+        staging.read_csv_stage(spark, str(tmp_path / "none.csv"))
+
+
+def test_monthly_csv_names_and_blanks(spark, tmp_path):
+    frame = fact_rows(spark, STATE, [KEYS["state"] | {"month": "6", "year": "2026", "state": " G "}])
+    path = staging.write_monthly_csv(frame, str(tmp_path), STATE, "JUN", "2026")
+    assert path.endswith("/state_level_ev_data_JUN_2026.csv")
+    back = staging.read_csv_stage(spark, path)
+    assert back.columns == STATE.columns and back.first().state == " G " and back.first().total is None
+    staging.write_monthly_csvs(frame, str(tmp_path / "all"), STATE)
+    assert staging.read_csv_stage(spark, str(tmp_path / "all")).first().file == "state_level_ev_data_JUN_2026.csv"
+
+
+def test_stage_load_makes_text_and_nulls(spark):
+    frame = fact_rows(spark, STATE, [KEYS["state"] | {"total": ""}]).withColumn("month", F.lit(6))
+    row = load.stage_load(frame, STATE.columns).first()
+    assert row.total is None and row.month == "6" and row.inserted_at is not None
+
+
+def test_stored_fact_rewrites_only_touched_periods(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    june, may = KEYS["state"], KEYS["state"] | {"date": "01/05/2026"}
+    bad = KEYS["state"] | {"date": "no date"}
+    first = fact_rows(spark, STATE, [june | {"total": "1"}, may | {"total": "2"}, bad | {"total": "9"}])
+    assert load.load_fact(spark, path, first, STATE) == 3
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("period=2026-05-01/*.parquet")}
+    again = fact_rows(spark, STATE, [june | {"total": "7"}, june | {"vehicle_class": "CAR", "total": "8"}])
+    assert load.load_fact(spark, path, again, STATE) == 2
+    totals = sorted(r.total for r in load.read_fact(spark, path, STATE).collect())
+    assert totals == ["2", "7", "8", "9"]
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("period=2026-05-01/*.parquet")}
+    assert before and before == after
+    assert load.load_fact(spark, path, again.limit(0), STATE) == 0
+    assert load.load_fact(spark, path, bad_stage := fact_rows(spark, STATE, [bad | {"total": "3"}]), STATE) == 1
+    totals = sorted(r.total for r in load.read_fact(spark, path, STATE).collect())
+    assert totals == ["2", "3", "7", "8"] and bad_stage.count() == 1
