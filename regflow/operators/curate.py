@@ -28,9 +28,10 @@ def incremental_window(fact: DataFrame, as_of: Column) -> DataFrame:
 
 def join_district(fact: DataFrame, districts: DataFrame) -> DataFrame:
     """Left join to (rto_code, district); a code listed twice doubles the row."""
-    lookup = districts.select(F.col("rto_code").alias("district_code"), "district")
-    same = text_key(F.col("rto_code")) == text_key(F.col("district_code"))
-    return fact.join(lookup, same, "left").drop("district_code")
+    lookup = districts.select(text_key(F.col("rto_code")).alias("district_key"), "district")
+    keyed = fact.withColumn("office_key", text_key(F.col("rto_code")))
+    joined = keyed.join(lookup, F.col("office_key") == F.col("district_key"), "left")
+    return joined.drop("office_key", "district_key")
 
 
 def curate(fact: DataFrame, grain: Grain, districts: DataFrame | None = None) -> DataFrame:

@@ -1,15 +1,17 @@
 """Key comparison as the source's database does it.
 
-Text keys ignore case and trailing spaces, and NULL never equals NULL. None of these
-joins carries a broadcast hint: Catalyst broadcasts a side only below
+Text keys ignore case and trailing spaces, and NULL never equals NULL. The comparable
+key is a column of its own, so it is computed once per row and not again in every
+comparison of a sort.
+
+None of these joins carries a broadcast hint: Catalyst broadcasts a side only below
 `spark.sql.autoBroadcastJoinThreshold`, and AQE decides again on the real shuffle size.
-Above it the join is a sort-merge join in which AQE splits a hot key of the left side.
+Above it the join shuffles by key, and AQE splits a hot key of the left side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,29 +22,28 @@ def text_key(column: Column) -> Column:
     return F.lower(F.rtrim(column))
 
 
-def comparable(frame: DataFrame, name: str, alias: str) -> Column:
-    column = F.col(f"{alias}.{name}")
-    return text_key(column) if isinstance(frame.schema[name].dataType, StringType) else column
+def key_parts(frame: DataFrame, keys: Sequence[str]) -> dict[str, str]:
+    """SQL text of the comparable form of each key part."""
+    types = {field.name: field.dataType for field in frame.schema}
+    return {
+        k: f"lower(rtrim(`{k}`))" if isinstance(types[k], StringType) else f"`{k}`" for k in keys
+    }
+
+
+def match_key(frame: DataFrame, keys: Sequence[str]) -> Column:
+    """The comparable parts as one struct, or NULL when any part is NULL."""
+    parts = key_parts(frame, keys)
+    whole = " and ".join(f"`{k}` is not null" for k in keys)
+    return F.expr(f"if({whole}, struct({', '.join(parts.values())}), null)")
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `left` without an equal key in `right`; a NULL key part never matches.
+    """Rows of `left` without an equal key in `right`.
 
     `right` is not made distinct first: its own exchange then feeds the join directly,
     which is the shape AQE can split.
     """
-    matches = [comparable(left, k, "l") == comparable(right, k, "r") for k in keys]
-    return left.alias("l").join(
-        right.select(*keys).alias("r"), reduce(lambda a, b: a & b, matches), "left_anti"
-    )
-
-
-def whole_key(frame: DataFrame, keys: Sequence[str], alias: str) -> Column:
-    """All key parts as one struct.
-
-    Used to join with an aggregated side: the aggregation is partitioned by the parts,
-    not by the struct, so the join gets an exchange of its own on both sides and AQE
-    stays free to split a hot key. Callers drop NULL parts on one side, because struct
-    equality treats NULL parts as equal.
-    """
-    return F.struct(*[comparable(frame, k, alias).alias(k) for k in keys])
+    keyed = left.withColumn("left_key", match_key(left, keys))
+    gone = right.select(match_key(right, keys).alias("right_key"))
+    kept = keyed.join(gone, F.col("left_key") == F.col("right_key"), "left_anti")
+    return kept.drop("left_key")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regflow.functions.text import blank_to_null
-from regflow.operators.keys import comparable, whole_key
+from regflow.operators.keys import key_parts, match_key
 from regflow.schema import ADDED_MEASURES, REPLACED_MEASURES, Grain
 
 
@@ -90,17 +90,15 @@ def _stack(frames) -> DataFrame:
 
 
 def _legacy_values(backup: DataFrame, grain: Grain) -> DataFrame:
-    """Smallest usable legacy value per key, with NULL keys left out: they match nothing."""
-    keys = list(grain.backfill_key)
-    usable = (
-        backup.alias("b")
-        .select(
-            *[comparable(backup, k, "b").alias(k) for k in keys],
-            blank_to_null(F.col("electric_vehicles")).alias("value"),
-        )
-        .dropna(subset=[*keys, "value"])
-    )
-    return usable.groupBy(*keys).agg(F.min("value").alias("legacy_value"))
+    """Smallest usable legacy value per key. Rows with a NULL key part match nothing."""
+    parts = key_parts(backup, grain.backfill_key)
+    usable = backup.selectExpr(
+        *[f"{part} as k{i}" for i, part in enumerate(parts.values())],
+        "nullif(trim(electric_vehicles), '') as value",
+    ).dropna()
+    names = [f"k{i}" for i in range(len(parts))]
+    smallest = usable.groupBy(*names).agg(F.min("value").alias("legacy_value"))
+    return smallest.select(F.struct(*names).alias("legacy_key"), "legacy_value")
 
 
 def backfill_electric(fact: DataFrame, backup: DataFrame, grain: Grain) -> DataFrame:
@@ -108,16 +106,15 @@ def backfill_electric(fact: DataFrame, backup: DataFrame, grain: Grain) -> DataF
 
     A second run changes nothing. Of several backup rows with one key the smallest
     value is taken, so that results repeat.
+
+    The aggregation is partitioned by the key parts and the join by the whole key. So
+    the join has an exchange of its own on both sides, and AQE can split a hot key.
     """
     if "electric_vehicles" not in backup.columns:
         return fact.withColumn("backfilled", F.lit(False))
+    keyed = fact.withColumn("fact_key", match_key(fact, grain.backfill_key))
     values = _legacy_values(backup, grain)
-    right = values.alias("v").select(
-        F.struct(*[F.col(f"v.{k}").alias(k) for k in grain.backfill_key]).alias("backfill_id"),
-        "legacy_value",
-    )
-    left = fact.alias("t").withColumn("row_id", whole_key(fact, grain.backfill_key, "t"))
-    joined = left.join(right, F.col("row_id") == F.col("backfill_id"), "left")
+    joined = keyed.join(values, F.col("fact_key") == F.col("legacy_key"), "left")
     filled = F.col("electric_bov").isNull() & F.col("legacy_value").isNotNull()
     value = F.coalesce("electric_bov", "legacy_value")
     flagged = joined.withColumns({"backfilled": filled, "electric_bov": value})
