@@ -37,10 +37,11 @@ def skip_empty_reports(rows: DataFrame) -> DataFrame:
 
 
 def unexpected_columns(rows: DataFrame, grain: Grain) -> DataFrame:
-    """Headers of non-empty reports that the grain does not know, as rows (header)."""
-    headers = skip_empty_reports(rows).select(
-        F.explode(F.map_keys("cells")).alias("header")
-    )
+    """Headers of non-empty reports that the grain does not know, as rows (header).
+
+    All rows of a report have its headers, so the first one is enough.
+    """
+    headers = rows.filter("row_no = 0").select(F.explode(F.map_keys("cells")).alias("header"))
     return headers.filter(~F.col("header").isin(*grain.rename_map)).distinct()
 
 

@@ -6,15 +6,17 @@ table. They are exploded per state, so no join is needed to build the grid.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regflow.functions import dates, text
 from regflow.schema import STATES, Grain
 
 
-def state_list(spark) -> DataFrame:
-    return spark.createDataFrame([(state,) for state in STATES], "state string")
+def state_list(spark: SparkSession) -> DataFrame:
+    """All states, as a plan whose small size Catalyst can see."""
+    names = "array(" + ", ".join(f"'{state}'" for state in STATES) + ")"
+    return spark.range(1).select(F.explode(F.expr(names)).alias("state"))
 
 
 def month_sequence(first: Column, last: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,24 +48,13 @@ def with_period(frame: DataFrame) -> DataFrame:
     return frame.withColumn(PERIOD, try_report_date(F.col("date")))
 
 
-def write_fact(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store a fact table partitioned by period, replacing only the periods present.
-
-    The rebalance hint writes few files per period and splits a large one.
-    """
-    (
-        frame.hint("rebalance", PERIOD)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD)
-        .parquet(path)
-    )
+def fact_schema(grain: Grain) -> str:
+    text = ", ".join(f"`{c}` string" for c in grain.columns)
+    return f"{text}, inserted_at timestamp, {PERIOD} date"
 
 
-def read_fact(spark: SparkSession, path: str, grain: Grain) -> DataFrame:
-    """Stored fact table with its declared types; empty before the first load."""
-    text = ", ".join(f"`{c}` string" for c in grain.columns)
-    schema = f"{text}, inserted_at timestamp, {PERIOD} date"
+def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Stored table with its declared types; empty before the first load."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -74,28 +63,60 @@ def read_fact(spark: SparkSession, path: str, grain: Grain) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def load_fact(spark: SparkSession, path: str, stage: DataFrame, grain: Grain) -> int:
-    """Upsert a stage into a stored fact table and return the number of staged rows.
+def read_fact(spark: SparkSession, path: str, grain: Grain) -> DataFrame:
+    return read_stored(spark, path, fact_schema(grain))
+
+
+def set_aside(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared work folder and read it back."""
+    path = work_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def merge_partitions(
+    path: str,
+    fresh: DataFrame,
+    partition: str,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> int:
+    """Merge rows into a stored table, partition by partition; returns their number.
 
-    Only periods present in the stage are read and rewritten, since every load key holds
-    the date. The new contents go to the shared work folder first: the overwrite then
-    reads no file it replaces, and a job that fails half way can be run again.
+    `fresh` decides which partitions are read and rewritten: first by the range of its
+    partition values, which prunes the scan, then exactly. The merged rows go to the
+    shared work folder before the overwrite. So the overwrite reads no file that it
+    replaces, and a job that fails half way can be run again.
     """
-    staged = with_period(stage.select(*grain.columns, "inserted_at"))
-    aside = work_path(spark, f"stage-{grain.name}")
-    staged.write.parquet(aside)
-    staged = spark.read.schema(staged.schema).parquet(aside)
-    rows = staged.count()
+    spark = fresh.sparkSession
+    fresh = set_aside(fresh, "fresh")
+    key = F.col(partition)
+    low, high, blank, rows = fresh.agg(
+        F.min(key), F.max(key), F.count_if(key.isNull()), F.count("*")
+    ).first()
     if rows == 0:
         return 0
-    fact = read_fact(spark, path, grain).alias("f")
-    periods = staged.select(PERIOD).distinct().alias("p")
-    touched = fact.join(
-        periods, F.col(f"f.{PERIOD}").eqNullSafe(F.col(f"p.{PERIOD}")), "left_semi"
+    reach = F.lit(False) if low is None else key.between(F.lit(low), F.lit(high))
+    if blank:
+        reach = reach | key.isNull()
+    stored = read_stored(spark, path, fresh.schema).filter(reach)
+    touched = fresh.select(key.alias("touched")).distinct()
+    current = stored.join(touched, key.eqNullSafe(F.col("touched")), "left_semi")
+    # The rebalance hint writes few files per partition value and splits a large one.
+    (
+        set_aside(merge(current, fresh), "merged")
+        .hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
     )
-    merged = work_path(spark, f"merged-{grain.name}")
-    contents = upsert_fact(touched, staged, grain)
-    contents.write.parquet(merged)
-    write_fact(spark.read.schema(contents.schema).parquet(merged), path)
     return rows
 
+
+def load_fact(path: str, stage: DataFrame, grain: Grain) -> int:
+    """Upsert a stage into a stored fact table, partitioned by period.
+
+    Every load key holds the date, so no other period can change.
+    """
+    staged = with_period(stage.select(*grain.columns, "inserted_at"))
+    return merge_partitions(path, staged, PERIOD, lambda old, new: upsert_fact(old, new, grain))

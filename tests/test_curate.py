@@ -74,7 +74,7 @@ def test_window_and_incremental_equal_full_refresh(spark):
 
 def test_window_prunes_partitions_of_a_stored_fact(spark, tmp_path):
     rows = [KEYS["state"] | DATED | {"date": d} for d in ("01/01/2026", "01/06/2026")]
-    load.load_fact(spark, str(tmp_path / "f"), fact_rows(spark, STATE, rows), STATE)
+    load.load_fact(str(tmp_path / "f"), fact_rows(spark, STATE, rows), STATE)
     stored = load.read_fact(spark, str(tmp_path / "f"), STATE)
     window = curate.incremental_window(stored, F.lit("2026-06-15").cast("date"))
     plan = plan_text(window)

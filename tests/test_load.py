@@ -77,15 +77,15 @@ def test_stored_fact_rewrites_only_touched_periods(spark, tmp_path):
     june, may = KEYS["state"], KEYS["state"] | {"date": "01/05/2026"}
     bad = KEYS["state"] | {"date": "no date"}
     first = fact_rows(spark, STATE, [june | {"total": "1"}, may | {"total": "2"}, bad | {"total": "9"}])
-    assert load.load_fact(spark, path, first, STATE) == 3
+    assert load.load_fact(path, first, STATE) == 3
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("period=2026-05-01/*.parquet")}
     again = fact_rows(spark, STATE, [june | {"total": "7"}, june | {"vehicle_class": "CAR", "total": "8"}])
-    assert load.load_fact(spark, path, again, STATE) == 2
+    assert load.load_fact(path, again, STATE) == 2
     totals = sorted(r.total for r in load.read_fact(spark, path, STATE).collect())
     assert totals == ["2", "7", "8", "9"]
     after = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("period=2026-05-01/*.parquet")}
     assert before and before == after
-    assert load.load_fact(spark, path, again.limit(0), STATE) == 0
-    assert load.load_fact(spark, path, bad_stage := fact_rows(spark, STATE, [bad | {"total": "3"}]), STATE) == 1
+    assert load.load_fact(path, again.limit(0), STATE) == 0
+    assert load.load_fact(path, bad_stage := fact_rows(spark, STATE, [bad | {"total": "3"}]), STATE) == 1
     totals = sorted(r.total for r in load.read_fact(spark, path, STATE).collect())
     assert totals == ["2", "3", "7", "8"] and bad_stage.count() == 1
