@@ -20,10 +20,14 @@ def incremental_window(fact: DataFrame, as_of: Column) -> DataFrame:
     """Rows dated on or after the first day of the month before `as_of`.
 
     A stored fact table filters on its partition column, so older months are not read.
+    Rows stored without a period but with a date have a bad one: they are kept, so that
+    curating them fails as it does elsewhere.
     """
-    stored = PERIOD in fact.columns
-    date = F.col(PERIOD) if stored else dates.report_date(F.col("date"))
-    return fact.filter(date >= dates.previous_month_start(as_of))
+    start = dates.previous_month_start(as_of)
+    if PERIOD not in fact.columns:
+        return fact.filter(dates.report_date(F.col("date")) >= start)
+    unread = F.col(PERIOD).isNull() & F.col("date").isNotNull()
+    return fact.filter((F.col(PERIOD) >= start) | unread)
 
 
 def join_district(fact: DataFrame, districts: DataFrame) -> DataFrame:

@@ -78,7 +78,12 @@ def test_window_prunes_partitions_of_a_stored_fact(spark, tmp_path):
     stored = load.read_fact(spark, str(tmp_path / "f"), STATE)
     window = curate.incremental_window(stored, F.lit("2026-06-15").cast("date"))
     plan = plan_text(window)
-    assert "PartitionFilters: [isnotnull(period" in plan and window.count() == 1
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [((period" in scan and window.count() == 1
+    bad = fact_rows(spark, STATE, [KEYS["state"] | DATED | {"date": "31/02/2026"}])
+    load.load_fact(str(tmp_path / "f"), bad, STATE)
+    with pytest.raises(Exception):
+        curate.curate(curate.incremental_window(load.read_fact(spark, str(tmp_path / "f"), STATE), F.lit("2026-06-15").cast("date")), STATE).collect()
 
 
 def test_duplicate_keys_are_reported(spark):
