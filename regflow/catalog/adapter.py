@@ -28,6 +28,9 @@ from regflow.schema import (
     TOTAL_HEADER,
     Grain,
 )
+from regflow.session import ship_by_value
+
+ship_by_value(__name__)
 
 # Return flag and line status of a line -> fuel header. RO lines carry a header no grain
 # knows from the year 2000 on, as when the source adds a column.

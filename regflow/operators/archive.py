@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regflow.schema import MONTHS
+from regflow.session import ship_by_value
 from regflow.sources.reports import path_piece
 
 
+ship_by_value(__name__)
+
+
 def object_name(path: Column, root: str) -> Column:
     """Path relative to `root`, with forward slashes."""
     slashed = F.replace(path, F.lit("\\"), F.lit("/"))

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
+def ship_by_value(module_name: str) -> None:
+    """Send a module's functions to Python workers with their code, so that workers need
+    no installed copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def get_session(master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings these jobs rely on; explicit `conf` entries win."""
     settings = {

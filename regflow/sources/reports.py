@@ -15,8 +15,12 @@ from pyspark.sql import types as T
 
 from regflow.functions import text
 from regflow.schema import HEADER_ROWS_SKIPPED, REPORT_FILE, Grain
+from regflow.session import ship_by_value
 from regflow.sources.workbook import is_workbook, table_rows
 
+ship_by_value("regflow.sources.workbook")
+ship_by_value(__name__)
+
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
