@@ -5,6 +5,8 @@ import pytest
 from check_oracle import TABLES, rows_of
 
 import __spark_entry__ as entry
+from regflow.catalog import oracle
+from regflow.catalog.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,10 +20,12 @@ def database():
 
 
 def test_both_sides_have_the_same_names():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, database, name):
     frame = entry.queries()[name](spark, SF)
     result = database.execute(entry.oracle_sql()[name])
