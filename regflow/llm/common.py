@@ -73,3 +73,13 @@ def ids_and_texts(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def pieces(batches, column: str = "text", most: int = 4 << 20):
+    """Record batches cut into pieces of about `most` bytes of `column`, one row at least, so
+    that a task's memory follows the longest row and not the batch."""
+    for batch in batches:
+        sizes = batch.column(column).nbytes / max(1, batch.num_rows)
+        step = max(1, int(most / max(1.0, sizes)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)

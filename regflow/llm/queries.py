@@ -5,16 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regflow.llm import exact_dedup
+from regflow.llm import exact_dedup, secret_scan
 from regflow.llm.common import table
 
 
+def secret_columns(found: DataFrame) -> DataFrame:
+    kinds = ("assign", "access", "hex")
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(k) for k in kinds),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_columns(secret_scan.find_secrets(table(spark, folder, "documents")))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
 }
 
