@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import exact_dedup, secret_scan
+from regflow.llm import bpe, exact_dedup, secret_scan
 from regflow.llm.common import table
 
 
@@ -34,9 +35,16 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(table(spark, folder, "documents"), vocabulary)
+    return bpe.digests(bpe.decode(encoded, vocabulary))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op10_bpe": op10_bpe,
 }
 
 _OP2_SQL = """
