@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, exact_dedup, mixing, secret_scan
-from regflow.llm.common import table
+from regflow.llm import bpe, exact_dedup, mixing, secret_scan, warc
+from regflow.llm.common import fresh_path, table
 
 
 def secret_columns(found: DataFrame) -> DataFrame:
@@ -35,6 +35,12 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), path)
+    return warc.page_records(spark, path)
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -48,6 +54,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_warc": op4_warc,
     "op6_mixing": op6_mixing,
     "op10_bpe": op10_bpe,
 }
@@ -66,6 +73,27 @@ SELECT n.doc_id, g.keep_id, g.group_size,
 FROM normal n JOIN grouped g USING (body)
 """
 
+_DIGEST = " || ".join(
+    f"to_base(('0x' || substr(sha1(body), {start}, 5))::BIGINT, 32, 4)" for start in range(1, 41, 5)
+)
+_OP4_SQL = f"""
+WITH pages_in AS (
+    SELECT page_id, coalesce(html, '') AS body FROM pages
+), payloads AS (
+    SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+           translate({_DIGEST}, '0123456789ABCDEFGHIJKLMNOPQRSTUV',
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+    FROM pages_in
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM payloads GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM payloads JOIN firsts USING (payload_digest)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": _OP2_SQL,
+    "op4_warc": _OP4_SQL,
 }
