@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, exact_dedup, mixing, secret_scan, warc
+from regflow.llm import bpe, exact_dedup, html_text, mixing, secret_scan, warc
 from regflow.llm.common import fresh_path, table
 
 
@@ -45,6 +45,15 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages")).select(
+        F.col("id").alias("page_id"),
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     encoded = bpe.encode(table(spark, folder, "documents"), vocabulary)
@@ -56,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_warc": op4_warc,
     "op6_mixing": op6_mixing,
+    "op9_html_text": op9_html_text,
     "op10_bpe": op10_bpe,
 }
 
