@@ -6,13 +6,14 @@ arrays: the smallest rank is found by a scan, its boundary is deleted, and only
 neighbouring ranks are looked up again. Words above `SHORT` parts go through a heap that
 takes the same merges in the same order, so that one endless word costs n log n.
 
-Words repeat, so a task remembers the ids of up to `REMEMBERED` words.
+Words repeat, so a task remembers the ids of up to twice `REMEMBERED` words.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -29,7 +30,7 @@ from regflow.session import ship_by_value
 ship_by_value(__name__)
 
 SHORT = 256
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # The white space of the vocabulary's normaliser.
 _SPACE = r"[\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Letters and numbers that the local pattern module knows, but the Unicode
@@ -84,6 +85,9 @@ class Vocabulary:
         letters = _byte_letters()
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + self.end] for c in letters]
+        # Words met lately and before, so that a full memory forgets rare words only.
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         self.merges: dict[int, tuple[int, int]] = {}
         for rank, (left, right) in enumerate(model["merges"]):
             pair = ids[left] << 32 | ids[right]
@@ -92,6 +96,10 @@ class Vocabulary:
         # The file's pattern, with its white-space class spelt out.
         pattern = split["pattern"]["Regex"].replace(r"[^\s", "[^" + _SPACE[1:-1])
         self.words = regex.compile(pattern)
+        # Most texts only have characters up to `_COMMON`; for them the classes are short.
+        self.common_words = re.compile(
+            pattern.replace(r"\p{L}", _class("L")).replace(r"\p{N}", _class("N"))
+        )
         later = "".join(
             "-".join(f"\\U{int(end, 16):08x}" for end in span.split("-")) for span in _LATER.split()
         )
@@ -103,7 +111,6 @@ class Vocabulary:
             .replace("[^", "(?:[^"),
             flags=regex.V1,
         )
-        self.spaces = regex.compile(f"{_SPACE}+")
         self.marks = regex.compile("|".join(map(regex.escape, self.special)))
 
     def short_word(self, parts: list[int]) -> list[int]:
@@ -158,31 +165,25 @@ class Vocabulary:
         parts[-1] = self.last[data[-1]]
         return tuple((self.short_word if len(parts) <= SHORT else self.long_word)(parts))
 
-    def normal(self, text: str) -> str:
-        text = self.spaces.sub(" ", unicodedata.normalize("NFC", text))
-        if text and max(text) > _COMMON:
-            text = text.translate(_LOWER)
-        # Letter by letter: no rule for a sigma at the end of a word.
-        return text.replace("Σ", "σ").lower()
-
     def split(self, text: str) -> list[str]:
-        text = self.normal(text)
-        if text and max(text) > _COMMON and self.later.search(text):
-            return self.words_then.findall(text)
-        return self.words.findall(text)
+        """The words of the normalised text. Blanks only part words, so that runs of them
+        need no replacing. Letters turn small one by one: a sigma that ends a word is as any."""
+        text = unicodedata.normalize("NFC", text)
+        if text.isascii() or max(text) <= _COMMON:
+            return self.common_words.findall(text.lower())
+        text = text.translate(_LOWER).replace("Σ", "σ").lower()
+        return (self.words_then if self.later.search(text) else self.words).findall(text)
 
     def encoder(self):
-        known: dict[str, tuple[int, ...]] = {}
-
         def of_part(text: str) -> Iterator[tuple[int, ...]]:
             for word in self.split(text):
-                ids = known.get(word)
+                ids = self.young.get(word)
                 if ids is None:
-                    ids = self.word(word)
+                    ids = self.old.get(word) or self.word(word)
                     if len(word) <= 64:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[word] = ids
+                        if len(self.young) >= REMEMBERED:
+                            self.young, self.old = {}, self.young
+                        self.young[word] = ids
                 yield ids
 
         def encode(text: str) -> list[int]:
@@ -200,6 +201,21 @@ class Vocabulary:
         return encode
 
 
+def _class(kind: str) -> str:
+    """The characters up to `_COMMON` of one general category, for a character class."""
+    return "".join(
+        f"\\u{c:04x}" for c in range(ord(_COMMON) + 1) if unicodedata.category(chr(c))[0] == kind
+    )
+
+
+def _built(shared: dict) -> Vocabulary:
+    """The vocabulary of a broadcast, built once in each worker process and kept there with
+    the words it remembers."""
+    if "built" not in shared:
+        shared["built"] = Vocabulary(shared["text"])
+    return shared["built"]
+
+
 def read_vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
@@ -214,10 +230,10 @@ def encode(
     A null text is an empty one and has no tokens; a null id stays null; repeated rows each
     give a row; further columns are not read. Special tokens in a text get their own ids.
     """
-    spec = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    spec = docs.sparkSession.sparkContext.broadcast({"text": read_vocabulary(vocabulary)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = Vocabulary(spec.value).encoder()
+        to_ids = _built(spec.value).encoder()
         for batch in pieces(batches, most=1 << 20):
             found = [to_ids(text) for text in batch.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
@@ -232,10 +248,10 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """Adds `decoded` to rows of (id, ids). The file names no decoder, so the text is the
     tokens, markers included, joined by spaces. Null ids decode to null, and unknown ids are
     left out, as the library leaves them out."""
-    spec = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    spec = encoded.sparkSession.sparkContext.broadcast({"text": read_vocabulary(vocabulary)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Vocabulary(spec.value).tokens
+        tokens = _built(spec.value).tokens
         table = [tokens.get(i) for i in range(max(tokens) + 1)]
         whole = None not in table
         for batch in pieces(batches, "ids", 2 << 20):
