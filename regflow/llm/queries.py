@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, exact_dedup, html_text, mixing, secret_scan, warc
+from regflow.llm import bpe, exact_dedup, html_text, mixing, secret_scan, toxicity, warc
 from regflow.llm.common import fresh_path, table
 
 
@@ -45,6 +45,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages")).select(
         F.col("id").alias("page_id"),
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_warc": op4_warc,
     "op6_mixing": op6_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_bpe": op10_bpe,
 }
