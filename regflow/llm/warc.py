@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import datasource as ds
 
-from regflow.llm.common import whole_text
+from regflow.llm.common import stored, whole_text
 from regflow.session import ship_by_value
 
 ship_by_value(__name__)
@@ -77,12 +77,15 @@ def records(
         F.col(f"`{url_col}`").cast("string").alias("url"),
         whole_text(f"`{payload_col}`").alias("body"),
     ).withColumn("digest", sha1_base32(F.col("body")))
-    shared = (
+    # Stored, so that its size is known when the join is planned: payloads are shuffled only
+    # if shared digests are too many for a broadcast.
+    shared = stored(
         rows.filter(F.octet_length("body") >= least)
         .groupBy("digest")
         .agg(F.min("page").alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "digests",
     )
     rows = rows.join(shared, "digest", "left")
     fits = F.octet_length("body") >= least

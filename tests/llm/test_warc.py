@@ -42,7 +42,7 @@ def test_round_trip(spark, pages, tmp_path, least):
     assert sorted(map(tuple, got.collect()), key=str) == brute(ROWS, least)
 
 
-@pytest.mark.parametrize("size", [40, 1000, 70_000])
+@pytest.mark.parametrize("size", [9_000, 70_000])
 def test_ranges_lose_nothing(spark, pages, tmp_path, size):
     path = f"file://{tmp_path}/w"
     warc.write_warc(pages.coalesce(1), path)
