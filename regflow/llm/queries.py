@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, exact_dedup, html_text, mixing, secret_scan, toxicity, warc
+from regflow.llm import bpe, exact_dedup, html_text, mixing, ngram_join, secret_scan, toxicity, warc
 from regflow.llm.common import fresh_path, table
 
 
@@ -41,6 +41,10 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_records(spark, path)
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, folder, "documents"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_warc": op4_warc,
+    "op5_ngram_join": op5_ngram_join,
     "op6_mixing": op6_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
