@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, exact_dedup, html_text, mixing, ngram_join, secret_scan, toxicity, warc
+from regflow.llm import bpe, embedding_dedup, exact_dedup, html_text, mixing, ngram_join, secret_scan, toxicity, warc
 from regflow.llm.common import fresh_path, table
 
 
@@ -49,6 +49,10 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_ngram_join": op5_ngram_join,
     "op6_mixing": op6_mixing,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_bpe": op10_bpe,
