@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, embedding_dedup, exact_dedup, html_text, mixing, ngram_join, secret_scan, toxicity, warc
+from regflow.llm import bpe, embedding_dedup, exact_dedup, html_text, mixing, ngram_join, pii, secret_scan, toxicity, warc
 from regflow.llm.common import fresh_path, table
 
 
@@ -35,6 +35,24 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def personal_columns(found: DataFrame) -> DataFrame:
+    kinds = ("email", "ip", "card", "phone")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(k) for k in kinds),
+        F.sha2(secret_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_columns(pii.find_personal_data(table(spark, folder, "documents")))
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_warc(table(spark, folder, "pages"), path)
@@ -76,6 +94,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_pii": op3_pii,
     "op4_warc": op4_warc,
     "op5_ngram_join": op5_ngram_join,
     "op6_mixing": op6_mixing,
