@@ -39,12 +39,13 @@ BLOCK = 4096
 LEAF = 64
 #: Levels end at this radius.
 FINEST = 1e-3
-#: Rounding of distances between unit vectors.
-SLACK = 1e-7
+#: Room for the rounding of single-precision cosines and of distances made from them. It only
+#: loosens bounds; links are decided in double precision.
+ROUGH, SLACK = 1e-4, 0.02
 _ROWS = 512
 
 # A node is (centres, radii, kids): row numbers, covering radii, and the node below each
-# centre, or -1 for a single vector. A tree is (vectors, nodes, root).
+# centre, or -1 for a single vector. A tree is (vectors, nodes, root, vectors in single precision).
 
 
 def _distance(cosines: np.ndarray) -> np.ndarray:
@@ -52,7 +53,7 @@ def _distance(cosines: np.ndarray) -> np.ndarray:
 
 
 def net(vectors: np.ndarray, members: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """Centres more than `radius` apart, and for each member the number of a centre within it."""
+    """Centres about `radius` apart, and for each member the number of a centre within it."""
     enough = 1 - radius * radius / 2
     centres: list[int] = []
     owner = np.full(len(members), -1)
@@ -77,15 +78,17 @@ def net(vectors: np.ndarray, members: np.ndarray, radius: float) -> tuple[np.nda
     return np.array(centres), owner
 
 
-def cover_tree(vectors: np.ndarray) -> tuple:
+def cover_tree(vectors: np.ndarray, near: float = 0.3) -> tuple:
+    """Levels above `near` that leave most vectors apart bound nothing and are left out."""
     nodes: list[tuple] = []
+    rough = vectors.astype(np.float32)
 
     def grow(members: np.ndarray, radius: float) -> int:
         centres, owner = members, None
         if len(members) > LEAF:
             while radius >= FINEST:
-                centres, owner = net(vectors, members, radius)
-                if len(centres) > 1:
+                centres, owner = net(rough, members, radius)
+                if 1 < len(centres) and (radius <= near or 2 * len(centres) <= len(members)):
                     break
                 radius /= 2
         if owner is None or len(centres) == 1:
@@ -103,16 +106,16 @@ def cover_tree(vectors: np.ndarray) -> tuple:
         return len(nodes) - 1
 
     root = grow(np.arange(len(vectors)), 1.0) if len(vectors) else -1
-    return vectors, nodes, root
+    return vectors, nodes, root, rough
 
 
 def _single(row: int) -> tuple:
     return np.array([row]), np.zeros(1), np.full(1, -1)
 
 
-def traverse(a: tuple, b: tuple, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows of a, rows of b, which of them link), each linked pair in exactly one of them; for
-    a tree with itself each pair in one order and no vector with itself."""
+def traverse(a: tuple, b: tuple, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of a, rows of b) of linked pairs, each pair once; for a tree with itself in one
+    order, and no vector with itself."""
     same = a is b
     near = float(_distance(np.float64(cosine))) + SLACK
     if a[2] < 0 or b[2] < 0:
@@ -121,29 +124,47 @@ def traverse(a: tuple, b: tuple, cosine: float) -> Iterator[tuple[np.ndarray, np
     while todo:
         one, two = todo.pop()
         centres_b, radii_b, kids_b = two
-        inner_b = kids_b >= 0
+        single_b, inner_b = kids_b < 0, np.flatnonzero(kids_b >= 0)
         for start in range(0, len(one[0]), _ROWS):
             centres, radii, kids = (x[start : start + _ROWS] for x in one)
-            cosines = a[0][centres] @ b[0][centres_b].T
-            hit = cosines >= cosine
-            inner = kids >= 0
-            bound = radii[:, None] + radii_b + near
-            open_ = (inner[:, None] | inner_b) & (_distance(cosines) <= bound)
+            single, inner = kids < 0, np.flatnonzero(kids >= 0)
+            rough = a[3][centres] @ b[3][centres_b].T
+            place = np.arange(start, start + len(centres))
             if same and one is two:
-                upper = np.arange(start, start + len(centres))[:, None] < np.arange(len(centres_b))
-                hit &= upper
-                open_ &= upper
                 todo += [(a[1][k], a[1][k]) for k in kids[inner]]
-            hit &= ~(inner[:, None] | inner_b)
-            if hit.any():
-                yield centres, centres_b, hit
-            for x, y in zip(*np.nonzero(open_), strict=True):
-                todo.append(
-                    (
-                        a[1][kids[x]] if inner[x] else _single(centres[x]),
-                        b[1][kids_b[y]] if inner_b[y] else _single(centres_b[y]),
+            # Single vectors: rough cosines pick candidates, exact ones decide.
+            x, y = np.nonzero(rough >= cosine - ROUGH)
+            keep = single[x] & single_b[y]
+            if same and one is two:
+                keep &= place[x] < y
+            x, y = x[keep], y[keep]
+            for at in range(0, len(x), 1 << 16):
+                rows, columns = centres[x[at : at + (1 << 16)]], centres_b[y[at : at + (1 << 16)]]
+                hit = np.einsum("ij,ij->i", a[0][rows], b[0][columns]) >= cosine
+                if hit.any():
+                    yield rows[hit], columns[hit]
+            # Nodes: followed where the covering radii and the threshold reach each other.
+            opened = []
+            if len(inner):
+                bound = radii[inner, None] + radii_b + near
+                i, j = np.nonzero(_distance(rough[inner]) <= bound)
+                opened.append((inner[i], j))
+            if len(inner_b):
+                rows = np.flatnonzero(single)
+                bound = radii_b[inner_b] + near
+                i, j = np.nonzero(_distance(rough[np.ix_(rows, inner_b)]) <= bound)
+                opened.append((rows[i], inner_b[j]))
+            for i, j in opened:
+                if same and one is two:
+                    upper = place[i] < j
+                    i, j = i[upper], j[upper]
+                for p, q in zip(i.tolist(), j.tolist(), strict=True):
+                    todo.append(
+                        (
+                            a[1][kids[p]] if kids[p] >= 0 else _single(centres[p]),
+                            b[1][kids_b[q]] if kids_b[q] >= 0 else _single(centres_b[q]),
+                        )
                     )
-                )
 
 
 class Forest:
@@ -165,30 +186,12 @@ class Forest:
             self.parent[max(x, y)] = min(x, y)
             self.links.append((x, y))
 
-    def add(self, rows: np.ndarray, columns: np.ndarray, hit: np.ndarray) -> None:
-        """Ties the ids of rows and columns where `hit`."""
-        keep_rows, keep_columns = hit.any(axis=1), hit.any(axis=0)
-        hit = hit[keep_rows][:, keep_columns]
-        rows, columns = rows[keep_rows], columns[keep_columns]
-        if hit.sum() > 4 * sum(hit.shape):
-            # Dense: smallest row number reached, spread until it stays; then stars.
-            label = np.arange(len(rows))
-            while True:
-                of_column = np.where(hit, label[:, None], len(rows)).min(axis=0)
-                spread = np.minimum(label, np.where(hit, of_column, len(rows)).min(axis=1))
-                if (spread == label).all():
-                    break
-                label = spread
-            for row, k in zip(rows.tolist(), label.tolist(), strict=True):
-                self.link(row, int(rows[k]))
-            for column, k in zip(columns.tolist(), of_column.tolist(), strict=True):
-                self.link(column, int(rows[k]))
-        else:
-            for x, y in zip(*np.nonzero(hit), strict=True):
-                self.link(int(rows[x]), int(columns[y]))
+    def add(self, ids_a: np.ndarray, ids_b: np.ndarray) -> None:
+        for x, y in zip(ids_a.tolist(), ids_b.tolist(), strict=True):
+            self.link(x, y)
 
 
-def _plant(key, block: pd.DataFrame) -> pd.DataFrame:
+def _plant(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
     """A block's tree as one row."""
     block = block.sort_values("cid", kind="stable")
     vectors = np.stack([np.frombuffer(v, np.float64) for v in block["vector"]])
@@ -210,11 +213,11 @@ def _meet(cosine: float):
                 two = one if data is None else pickle.loads(data)
                 forest = Forest()
                 counts = [np.zeros(len(one[0]), np.int64), np.zeros(len(two[0]), np.int64)]
-                for rows, columns, hit in traverse(one[3], two[3], cosine):
-                    np.add.at(counts[0], rows, hit @ two[2][columns])
-                    other = counts[0] if two is one else counts[1]
-                    np.add.at(other, columns, one[2][rows] @ hit)
-                    forest.add(one[1][rows], two[1][columns], hit)
+                other = counts[0] if two is one else counts[1]
+                for rows, columns in traverse(one[3], two[3], cosine):
+                    np.add.at(counts[0], rows, two[2][columns])
+                    np.add.at(other, columns, one[2][rows])
+                    forest.add(one[1][rows], two[1][columns])
                 for side, found in ((one, counts[0]), (two, counts[1])):
                     some = found > 0
                     none = pa.nulls(int(some.sum()), pa.int64())
