@@ -1,21 +1,66 @@
-"""A corpus pipeline of the text operators, each stage written and read again by the next."""
+"""A corpus pipeline of the text operators, each stage written and read again by the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all of `docs`. All but the last return the
+columns of `documents`. A null id is an id of its own, equal to other nulls.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from regflow.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
+from regflow.llm.common import ascii_lower, stored, table, whole_text
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    return toxicity.clean_rows(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest id stays."""
+    kept = exact_dedup.exact_duplicates(docs).filter("kept").select(
+        F.col("doc_id").alias("kept_id"), "text_sha256"
+    )
+    digest = F.sha2(ascii_lower(whole_text("text")), 256)
+    same = digest.eqNullSafe(kept["text_sha256"]) & docs["doc_id"].eqNullSafe(kept["kept_id"])
+    return docs.join(kept, same, "left_semi")
+
+
+def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest id stays. Documents with a
+    null id are in no group."""
+    near = ngram_join.similar_documents(docs).filter("doc_id <> component_id")
+    return docs.join(near.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
 
-from regflow.llm import exact_dedup
-from regflow.llm.common import stored
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    taken = (
+        mixing.mix(docs)
+        .groupBy(F.col("doc_id").alias("taken_id"))
+        .agg(F.max("copies").alias("copies"))
+        .filter("copies > 0")
+    )
+    times = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("time")
+    found = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
+    return found.select(*(docs[c] for c in docs.columns), times).drop("time")
 
 
-def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each set of equal texts stays."""
-    kept = exact_dedup.exact_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(docs.columns)
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: its tokens' number and digest, and the digest of the decoded text."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary), vocabulary))
 
 
 STAGES = [
-    ("exact_dedup", exact_dedup_stage),
+    ("toxicity", clean),
+    ("exact_dedup", distinct),
+    ("ngram_join", dissimilar),
+    ("mixing", mixed),
+    ("bpe", tokenised),
 ]
 
 # The stages learn labels and fit budgets, which SQL cannot express; tests compare each stage
@@ -24,7 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for place, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place + 1 < len(STAGES):

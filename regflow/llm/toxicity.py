@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -318,6 +319,7 @@ def fit(
     )
     given = learned["toxic"].to_numpy()
     guess = posterior(_bits(learned["votes"].to_numpy()), model.prior, model.fires, model.weights)
+    guess = np.clip(guess, 1e-9, 1 - 1e-9)
     odds = np.log(guess / (1 - guess)) + np.where(given == 1, 1, -1) * math.log(TRUST / (1 - TRUST))
     model.coefficients = logistic_regression(
         np.stack(learned["features"].to_numpy()), 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
@@ -332,6 +334,17 @@ def score_text(text: str, model: Model) -> float:
     return 1 / (1 + math.exp(-max(-40.0, min(40.0, odds))))
 
 
+def clean_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows that are not predicted toxic, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def toxic(texts: pd.Series) -> pd.Series:
+        return pd.Series([score_text(text or "", shared.value) for text in texts])
+
+    return docs.filter(toxic(F.col(f"`{text_col}`").cast("string")) < THRESHOLD)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
