@@ -6,11 +6,13 @@ The month defaults to the one before the current date.
 from __future__ import annotations
 
 import argparse
+import re
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regflow.functions import text
 from regflow.operators import archive, coverage, load
 from regflow.plans import monthly, tables
 from regflow.schema import GRAINS, MONTHS, OEM, STATE, Grain
@@ -24,16 +26,35 @@ def previous_month(today: date) -> tuple[str, str]:
 
 
 def month_and_year(args: argparse.Namespace) -> tuple[str, str]:
-    if args.month and args.year:
-        return args.month.strip().upper(), str(args.year)
-    return previous_month(date.today())
+    """The month of the arguments, or the previous one when they name none."""
+    if not args.month and not args.year:
+        return previous_month(date.today())
+    month, year = str(args.month or "").strip().upper(), str(args.year or "").strip()
+    if month not in MONTHS or not re.fullmatch("[0-9]{4}", year):
+        raise ValueError(f"give --month as one of {' '.join(MONTHS)} together with a --year")
+    return month, year
+
+
+def state_folders(spark: SparkSession, args: argparse.Namespace) -> list[str] | None:
+    """The folders of the states asked for, which may be named by label or by folder."""
+    if not args.states:
+        return None
+    listed = coverage.state_list(spark)
+    rows = listed.select("state", text.state_folder(F.col("state")).alias("folder")).collect()
+    folders = {name: row.folder for row in rows for name in (row.state, row.folder)}
+    unknown = [name for name in args.states if name not in folders]
+    if unknown:
+        raise ValueError(f"unknown states: {', '.join(unknown)}")
+    return [folders[name] for name in args.states]
 
 
 def preprocess(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
     """Reports of a month -> monthly CSV; returns its path."""
     month, year = month_and_year(args)
     mapping = dimensions.load_mapping(spark, args.mapping)
-    frame = monthly.preprocess_tree(spark, args.reports, mapping, grain, month, year, args.states)
+    frame = monthly.preprocess_tree(
+        spark, args.reports, mapping, grain, month, year, state_folders(spark, args)
+    )
     return staging.write_monthly_csv(frame, args.csv, grain, month, year)
 
 
@@ -56,35 +77,82 @@ def expected_reports(spark: SparkSession, args: argparse.Namespace, grain: Grain
     month, year = month_and_year(args)
     months = F.expr(f"array(date'{year}-{MONTHS.index(month) + 1:02d}-01')")
     states = coverage.state_list(spark)
+    wanted = state_folders(spark, args)
+    if wanted:
+        states = states.filter(text.state_folder(F.col("state")).isin(wanted))
+    root = args.reports.rstrip("/")
     if grain is STATE:
-        return coverage.expected_grid_state(states, months, grain, args.reports)
+        return coverage.expected_grid_state(states, months, grain, root)
     if grain is OEM:
-        classes = F.array(*[F.lit(name) for name in args.classes])
-        return coverage.expected_grid_oem(states, classes, months, grain, args.reports)
-    offices = dimensions.load_office_map(spark, args.offices)
-    return coverage.expected_grid_rto(states, offices, months, grain, args.reports)
+        return coverage.expected_grid_oem(states, expected_classes(spark, args), months, grain, root)
+    offices = dimensions.load_office_map(spark, args.offices, strict=True)
+    return coverage.expected_grid_rto(states, offices, months, grain, root)
 
 
-def missing(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> DataFrame:
-    """Expected reports of a month without a valid file."""
+def expected_classes(spark: SparkSession, args: argparse.Namespace) -> Column:
+    """The vehicle classes of the arguments, else those of the mapping."""
+    if args.classes:
+        return F.array(*[F.lit(name) for name in args.classes])
+    if not args.mapping:
+        raise ValueError("the oem grain needs --classes or --mapping to know what to expect")
+    mapping = dimensions.load_mapping(spark, args.mapping)
+    return mapping.agg(F.array_sort(F.collect_set("Vehicle Class"))).scalar()
+
+
+def found_reports(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> DataFrame:
+    """A month's files with their validity; paths begin with the root as it was given."""
     month, year = month_and_year(args)
-    found = reports.scan_files(
-        spark, reports.report_glob(args.reports, grain, [year], [month], args.states)
+    pattern = reports.report_glob(
+        args.reports, grain, [year], [month], state_folders(spark, args)
     )
-    located = found.withColumn("path", F.regexp_replace("path", "^file:", ""))
+    below = F.substring("path", len(reports.qualified(spark, args.reports)) + 1, 1 << 20)
+    located = reports.scan_files(spark, pattern).withColumn(
+        "path", F.concat(F.lit(args.reports.rstrip("/")), below)
+    )
+    return reports.with_validity(located)
+
+
+def missing(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> DataFrame:
+    """Expected reports of a month without a valid file."""
     return coverage.missing_reports(
-        expected_reports(spark, args, grain), reports.with_validity(located)
+        expected_reports(spark, args, grain), found_reports(spark, args, grain)
     )
 
 
+def report_missing(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> None:
+    """Write the whole list of missing reports, the counts per state and the malformed labels
+    below `--out`, and print their number."""
+    if not args.out:
+        raise ValueError("give --out, the folder of the lists")
+    out = args.out.rstrip("/")
+    expected = expected_reports(spark, args, grain)
+    found = found_reports(spark, args, grain).select("path", "valid")
+    written = {
+        "missing": coverage.missing_reports(expected, found).select("path"),
+        "summary": coverage.coverage_summary(expected, found),
+        "plan": coverage.redownload_plan(expected, found, args.force).select("path", "action"),
+    }
+    if "office_label" in expected.columns:
+        written["malformed"] = coverage.malformed_labels(expected).select("state", "office_label")
+    for name, frame in written.items():
+        frame.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+    count = spark.read.option("header", True).schema("path string").csv(f"{out}/missing").count()
+    print(f"missing reports: {count}, listed in {out}/missing")
+
+
 def archive_month(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> int:
     """Copy a month's raw reports and its CSV below the archive; returns the report count."""
     month, year = month_and_year(args)
-    pattern = reports.report_glob(args.reports, grain, [year], [month], args.states, "*.xlsx")
-    copied = archive.copy_files(reports.scan_files(spark, pattern), args.reports, args.archive)
+    pattern = reports.report_glob(
+        args.reports, grain, [year], [month], state_folders(spark, args), "*.xlsx"
+    )
+    root = reports.qualified(spark, args.reports)
+    copied = archive.copy_files(reports.scan_files(spark, pattern), root, args.archive)
     if args.csv:
         parts = f"{args.csv.rstrip('/')}/{staging.csv_name(grain, month, year)}/*.csv"
-        archive.copy_files(reports.scan_files(spark, parts), args.csv, args.archive)
+        archive.copy_files(
+            reports.scan_files(spark, parts), reports.qualified(spark, args.csv), args.archive
+        )
     return copied
 
 
@@ -106,8 +174,10 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--grain", choices=list(GRAINS), required=True)
     options.add_argument("--month", help="label such as JUN")
     options.add_argument("--year")
-    options.add_argument("--states", nargs="*", help="only these state folders")
-    options.add_argument("--classes", nargs="*", default=[], help="expected vehicle classes")
+    options.add_argument("--states", nargs="*", help="only these states, by label or folder")
+    options.add_argument(
+        "--classes", nargs="*", default=[], help="expected vehicle classes; default: the mapping's"
+    )
     options.add_argument("--reports", help="root of the report tree")
     options.add_argument("--mapping", help="workbook with the vehicle-class mapping")
     options.add_argument("--offices", help="JSON file of office labels per state")
@@ -116,6 +186,8 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--curated", help="path of the curated table")
     options.add_argument("--districts", help="parquet table (rto_code, district)")
     options.add_argument("--archive", help="URI below which raw reports are copied")
+    options.add_argument("--out", help="folder of the lists that the missing job writes")
+    options.add_argument("--force", action="store_true", help="plan to fetch every report again")
     options.add_argument("--as-of", help="reference date of the curated window")
     options.add_argument("--full-refresh", action="store_true")
     return options
@@ -129,7 +201,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.job == "run":
         run(spark, args, grain)
     elif args.job == "missing":
-        missing(spark, args, grain).select("path").show(truncate=False)
+        report_missing(spark, args, grain)
     else:
         result = jobs[args.job](spark, args, grain)
         if result is not None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.types import StringType
 from regflow.functions.dates import try_report_date
 from regflow.operators.keys import anti_join
 from regflow.schema import Grain
-from regflow.session import work_path
+from regflow.session import remove_path, work_path
 
 # Partition column of stored fact tables: the report date as a DATE.
 PERIOD = "period"
@@ -67,11 +68,15 @@ def read_fact(spark: SparkSession, path: str, grain: Grain) -> DataFrame:
     return read_stored(spark, path, fact_schema(grain))
 
 
-def set_aside(frame: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared work folder and read it back."""
-    path = work_path(frame.sparkSession, label)
+@contextmanager
+def set_aside(frame: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The frame, written to the shared work folder and read back. The folder goes when the
+    block ends without an error."""
+    spark = frame.sparkSession
+    path = work_path(spark, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    yield spark.read.schema(frame.schema).parquet(path)
+    remove_path(spark, path)
 
 
 def merge_partitions(
@@ -82,34 +87,44 @@ def merge_partitions(
 ) -> int:
     """Merge rows into a stored table, partition by partition; returns their number.
 
-    `fresh` decides which partitions are read and rewritten: first by the range of its
-    partition values, which prunes the scan, then exactly. The merged rows go to the
+    `fresh` decides which partitions are read and rewritten. The merged rows go to the
     shared work folder before the overwrite. So the overwrite reads no file that it
     replaces, and a job that fails half way can be run again.
     """
-    spark = fresh.sparkSession
-    fresh = set_aside(fresh, "fresh")
+    with set_aside(fresh, "fresh") as rows:
+        return _merge_stored(path, rows, partition, merge)
+
+
+def touched_partitions(stored: DataFrame, fresh: DataFrame, partition: str) -> DataFrame:
+    """Stored rows in the partitions of `fresh`. The values are literals of a partition
+    filter, so no other partition is listed or read; there are no more of them than
+    partitions to rewrite, which the driver lists in any case."""
+    values = [row[0] for row in fresh.select(partition).distinct().collect()]
     key = F.col(partition)
-    low, high, blank, rows = fresh.agg(
-        F.min(key), F.max(key), F.count_if(key.isNull()), F.count("*")
-    ).first()
+    wanted = key.isin([v for v in values if v is not None])
+    return stored.filter(wanted | key.isNull() if None in values else wanted)
+
+
+def _merge_stored(
+    path: str,
+    fresh: DataFrame,
+    partition: str,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> int:
+    spark = fresh.sparkSession
+    rows = fresh.count()
     if rows == 0:
         return 0
-    reach = F.lit(False) if low is None else key.between(F.lit(low), F.lit(high))
-    if blank:
-        reach = reach | key.isNull()
-    stored = read_stored(spark, path, fresh.schema).filter(reach)
-    touched = fresh.select(key.alias("touched")).distinct()
-    current = stored.join(touched, key.eqNullSafe(F.col("touched")), "left_semi")
-    # The rebalance hint writes few files per partition value and splits a large one.
-    (
-        set_aside(merge(current, fresh), "merged")
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    current = touched_partitions(read_stored(spark, path, fresh.schema), fresh, partition)
+    with set_aside(merge(current, fresh), "merged") as merged:
+        # The rebalance hint writes few files per partition value and splits a large one.
+        (
+            merged.hint("rebalance", partition)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
     return rows
 
 

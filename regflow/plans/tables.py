@@ -24,10 +24,15 @@ def refresh_curated(
     """
     fact = load.read_fact(spark, fact_path, grain)
     if full:
-        fresh = load.set_aside(curate.curate(fact, grain, districts), "curated")
-        fresh.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(
-            curated_path
-        )
+        with load.set_aside(curate.curate(fact, grain, districts), "curated") as fresh:
+            (
+                fresh.hint("rebalance", "date")
+                .write.mode("overwrite")
+                # Dates without facts must go, whatever the session's overwrite mode is.
+                .option("partitionOverwriteMode", "static")
+                .partitionBy("date")
+                .parquet(curated_path)
+            )
         return
     window = curate.incremental_window(fact, as_of)
     load.merge_partitions(

@@ -25,10 +25,6 @@ def get_session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # A join whose partitions all stay below this size needs no sort.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-        # The JVM never compiles a method of more than 8000 bytes; above it Spark falls
-        # back to its split code for single operators. Trials at sf0.1 were mixed: the
-        # curated upsert got faster, the fact upsert slower, the whole bench about equal.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
         # Reports are small files: pack many of them into one scan task.
         "spark.sql.files.openCostInBytes": str(256 * 1024),
     } | conf
@@ -49,8 +45,20 @@ def require_ansi(spark: SparkSession) -> None:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share (`spark.checkpoint.dir`).
 
-    Only a session without that setting, such as a local test, gets a temporary folder.
+    Only a local session without that setting, such as a test, gets a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="regflow-")
-    return f"{root}/regflow-{label}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="regflow-")
+    return f"{shared.rstrip('/')}/regflow-{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `work_path` gave, after the job that needed it has succeeded."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getName().startswith("regflow-"):
+        raise ValueError(f"not a work folder: {path}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

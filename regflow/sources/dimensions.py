@@ -14,8 +14,12 @@ OFFICE_MAP = "map<string, array<string>>"
 
 
 def load_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Sheet `Mapping` of the mapping workbook."""
-    rows = read_workbooks(scan_files(spark, path), sheet="Mapping", skip=0, drop_first=False)
+    """Sheet `Mapping` of the mapping workbook; without the workbook nothing can be mapped,
+    so its absence is an error."""
+    found = scan_files(spark, path)
+    if found.select("path").isEmpty():
+        raise FileNotFoundError(f"no mapping workbook at {path}")
+    rows = read_workbooks(found, sheet="Mapping", skip=0, drop_first=False)
     return widen(rows.filter(F.col("row_no").isNotNull()), MAPPING_HEADERS).drop(
         "path", "row_no"
     )
@@ -26,22 +30,31 @@ def normalized_mapping(mapping: DataFrame) -> DataFrame:
     return mapping.withColumn("Vehicle Class", text.class_key(F.col("Vehicle Class")))
 
 
-def explode_office_maps(documents: DataFrame, column: str = "value") -> DataFrame:
+def explode_office_maps(
+    documents: DataFrame, column: str = "value", strict: bool = False
+) -> DataFrame:
     """JSON `state -> [labels]` documents as rows (state, office_label).
 
-    A state without offices and a corrupt document give no rows.
+    A state without offices gives no rows, nor does a corrupt document unless `strict`.
     """
+    parsed = F.from_json(column, OFFICE_MAP)
+    if strict:
+        message = F.lit("the office file is not a JSON object of label lists")
+        parsed = F.coalesce(parsed, F.raise_error(message).cast(OFFICE_MAP))
     return (
-        documents.select(F.explode(F.from_json(column, OFFICE_MAP)).alias("state", "offices"))
+        documents.select(F.explode(parsed).alias("state", "offices"))
         .select("state", F.explode("offices").alias("office_label"))
     )
 
 
-def load_office_map(spark: SparkSession, path: str) -> DataFrame:
-    """Office labels from a JSON file; an absent or corrupt file counts as empty."""
+def load_office_map(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Office labels from a JSON file. An absent or corrupt file counts as empty, as when the
+    file is about to be made; with `strict` it is an error."""
     try:
-        return explode_office_maps(spark.read.text(path, wholetext=True))
+        return explode_office_maps(spark.read.text(path, wholetext=True), strict=strict)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        if strict:
+            raise FileNotFoundError(f"no office file at {path}") from error
         return spark.createDataFrame([], "state string, office_label string")

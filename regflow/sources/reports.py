@@ -78,6 +78,14 @@ def scan_files(spark: SparkSession, pattern: str) -> DataFrame:
     return found.unionByName(empty)
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """A root as the `path` column of a scan spells it: scheme and authority included, no
+    slash at the end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString().rstrip("/")
+
+
 def _plain_path(uri: str) -> str:
     """A listed URI as the scan's `path` column spells it."""
     return re.sub("^file:///", "file:/", unquote(uri))

@@ -1,12 +1,13 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
-from helpers import MOTOR_CAR, report, save
+from helpers import MOTOR_CAR, fact_rows, plan_text, report, save
 
-from regflow import jobs
+from regflow import jobs, session
 from regflow.catalog.adapter import workbook_bytes
 from regflow.operators import load
-from regflow.schema import OEM, RTO
+from regflow.schema import GRAINS, OEM, RTO
 
 
 @pytest.fixture
@@ -61,3 +62,101 @@ def test_curated_window_keeps_older_months(spark, paths):
     curated = spark.read.parquet(str(root / "curated"))
     assert curated.groupBy("date").count().count() == 2 and curated.count() == 4
     assert load.read_fact(spark, str(root / "fact"), OEM).count() == 4
+
+
+def month_options(options, grain="rto"):
+    return ["--grain", grain, "--month", "jun", "--year", "2026", *options]
+
+
+def lines_of(folder):
+    return sorted(x for f in folder.glob("*.csv") for x in f.read_text().splitlines() if x != "path")
+
+
+def test_missing_list_is_whole(spark, paths, capsys):
+    root, options = paths
+    save(root / "reports", "Goa/2026/JUN", report(["MOTOR CAR"]))
+    month = month_options(options, "state") + ["--out", str(root / "out")]
+    jobs.main(["missing", *month], spark)
+    assert "missing reports: 35" in capsys.readouterr().out
+    gone = lines_of(root / "out" / "missing")
+    assert len(gone) == 35 and not any("/Goa/" in x for x in gone)
+    for spelling in (f"{root}/reports/", f"file://{root}/reports", f"file:{root}/reports/"):
+        args = jobs.parser().parse_args(["missing", *month, "--reports", spelling])
+        assert jobs.missing(spark, args, GRAINS["state"]).count() == 35
+    args = jobs.parser().parse_args(["missing", *month, "--states", "Goa"])
+    assert jobs.missing(spark, args, GRAINS["state"]).count() == 0
+    label = "Andaman & Nicobar Island"
+    args = jobs.parser().parse_args(["missing", *month, "--states", label])
+    assert jobs.missing(spark, args, GRAINS["state"]).count() == 1
+
+
+def test_oem_classes_come_from_the_mapping(spark, paths):
+    root, options = paths
+    save(root / "reports", "Goa/MOTOR CAR/2026/JUN", report(["Maker A"]))
+    args = jobs.parser().parse_args(["missing", *month_options(options, "oem")])
+    assert jobs.missing(spark, args, OEM).count() == 35
+    args.mapping = None
+    with pytest.raises(ValueError, match="--classes or --mapping"):
+        jobs.missing(spark, args, OEM)
+
+
+def test_absent_inputs_are_errors(spark, paths):
+    root, options = paths
+    save(root / "reports", "Goa/Panaji_GA1/2026/JUN", report(["MOTOR CAR"]))
+    month = month_options(options)
+    with pytest.raises(FileNotFoundError, match="mapping"):
+        jobs.main(["preprocess", *month, "--mapping", str(root / "typo.xlsx")], spark)
+    args = jobs.parser().parse_args(["missing", *month, "--offices", str(root / "typo.json")])
+    with pytest.raises(FileNotFoundError, match="office"):
+        jobs.missing(spark, args, RTO)
+    (root / "bad.json").write_text("{not json")
+    args = jobs.parser().parse_args(["missing", *month, "--offices", str(root / "bad.json")])
+    with pytest.raises(Exception, match="office file is not"):
+        jobs.missing(spark, args, RTO).collect()
+    for extra in (["--month", "JUN"], ["--year", "2026"], ["--month", "JUNE", "--year", "2026"]):
+        with pytest.raises(ValueError, match="--month"):
+            jobs.month_and_year(jobs.parser().parse_args(["load", "--grain", "rto", *extra]))
+    with pytest.raises(ValueError, match="unknown states: Atlantis"):
+        jobs.main(["preprocess", *month, "--states", "Atlantis"], spark)
+
+
+def test_work_folders_are_removed(spark, paths, monkeypatch):
+    root, options = paths
+    made = []
+    plain = session.work_path
+    monkeypatch.setattr(load, "work_path", lambda s, label: made.append(plain(s, label)) or made[-1])
+    save(root / "reports", "Goa/Panaji_GA1/2026/JUN", report(["MOTOR CAR"]))
+    month = month_options(options) + ["--as-of", "2026-07-02"]
+    jobs.main(["run", *month], spark)
+    jobs.main(["curate", "--full-refresh", *month], spark)
+    assert len(made) == 5 and not any(Path(p).exists() for p in made)
+
+
+def test_no_shared_folder_on_a_cluster():
+    class Spark:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.work_path(Spark, "x")
+
+
+def test_merge_reads_only_the_touched_periods(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    months = [(y, m) for y in range(2010, 2015) for m in (1, 6, 12)]
+    old = fact_rows(spark, RTO, [{"date": f"01/{m:02d}/{y}", "state": "Goa"} for y, m in months] + [{"state": "x"}])
+    load.load_fact(path, old, RTO)
+    stage = load.with_period(fact_rows(spark, RTO, [{"date": d} for d in ("01/01/2010", "01/12/2014")]))
+    stored = load.read_fact(spark, path, RTO)
+    current = load.touched_partitions(stored, stage, load.PERIOD)
+    assert "Filter" not in plan_text(current).replace("PartitionFilters", "").replace("PushedFilters", "").replace("DataFilters", "")
+    assert len(current.inputFiles()) == 15 + 1 and current.count() == 2
+    files = current.select("_metadata.file_path").distinct().count()
+    assert files == 2
+    load.load_fact(path, fact_rows(spark, RTO, [{"date": "01/06/2012", "state": "Goa"}, {"state": None}]), RTO)
+    after = load.read_fact(spark, path, RTO)
+    assert after.count() == len(months) + 1 + 2
+    assert after.filter("period is null").count() == 2
