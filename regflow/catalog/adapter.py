@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regflow.functions import dates, text
-from regflow.operators import load
+from regflow.operators import coverage, load
 from regflow.plans.monthly import preprocess
 from regflow.schema import (
     FUEL_HEADERS,
@@ -117,8 +117,13 @@ def offices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mapping(spark: SparkSession, sf: str) -> DataFrame:
-    """Vehicle-class mapping. PROMO is unmapped; some cells are empty or NULL."""
-    classes = table(spark, sf, "part").filter("p_type <> 'PROMO'").select("p_type").distinct()
+    """The mapping that reports are joined to: PROMO is unmapped."""
+    return whole_mapping(spark, sf).filter("`Vehicle Class` <> 'CLASS-PROMO(LMV)'")
+
+
+def whole_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Vehicle-class mapping of all classes; some cells are empty or NULL."""
+    classes = table(spark, sf, "part").select("p_type").distinct()
     return classes.selectExpr(
         "concat('CLASS-', p_type, '(LMV)') as `Vehicle Class`",
         "decode(p_type, 'LARGE', 'Goods', 'MEDIUM', null, 'Passenger') as `Vehicle Type`",
@@ -169,13 +174,15 @@ def raw_reports(
         totals = lines.groupBy("l_suppkey", "p_type", "month_start").agg(*_cells(pick))
         placed = totals.join(offices(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
     else:
-        suppliers = table(spark, sf, "supplier")
-        keys = ["s_nationkey", "p_type", "month_start"]
-        keys += ["p_brand"] if grain.name == "oem" else []
+        # Aggregated by supplier first, as above, so that few rows meet the supplier table.
+        keys = ["p_type", "month_start"] + (["p_brand"] if grain.name == "oem" else [])
+        by_supplier = lines.groupBy("l_suppkey", *keys).agg(*_cells(pick))
         totals = (
-            lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .groupBy(*keys)
-            .agg(*_cells(pick))
+            by_supplier.join(
+                table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+            )
+            .groupBy("s_nationkey", *keys)
+            .agg(*[F.expr(f"{pick}(`{h}`)").alias(h) for h in CELL_HEADERS])
         )
         placed = totals.withColumn("state", state_of(F.col("s_nationkey")))
     folders = [text.state_folder(F.col("state"))]
@@ -265,25 +272,33 @@ def backfill_target(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
 
 
 def sheet_rows(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
-    """Raw rows as the workbook reader gives them. Only rows with a CNG cell count as
-    stored, so a report without any is an empty one."""
+    """Raw rows as the workbook reader gives them: all OEM reports, and an empty report for
+    every class and month of a state without lines. Two kinds of unknown header occur: one
+    from a certain year on, and in December one that holds the report's class."""
     raw = raw_reports(spark, sf, grain)
-    year = F.element_at(F.split("path", "/"), -3).cast("int")
+    parts = F.split("path", "/")
+    year, month = F.element_at(parts, -3).cast("int"), F.element_at(parts, -2)
     pairs = ", ".join(f"'{h}', `{h}`" for h in RAW_HEADERS)
     cells = F.map_filter(
         F.expr(f"map({pairs})"), lambda k, _: (k != NEW_HEADER) | (year >= NEW_HEADER_YEAR)
     )
-    stored = F.col("CNG ONLY").isNotNull()
-    order = Window.partitionBy("path").orderBy(F.desc("stored"), LABEL_HEADER)
-    numbered = raw.select("path", LABEL_HEADER, stored.alias("stored"), cells.alias("cells"))
-    numbered = numbered.withColumn("position", F.row_number().over(order) - 1)
-    # A report keeps its stored rows; without any it keeps one row that has no number.
-    kept = numbered.filter(F.col("stored") | (F.col("position") == 0))
-    return kept.select(
-        "path",
-        F.when(F.col("stored"), F.col("position")).alias("row_no"),
-        F.when(F.col("stored"), F.col("cells")).alias("cells"),
+    remark = F.create_map(
+        F.concat(F.lit("REMARK "), F.element_at(parts, -4)), F.lit(None).cast("string")
+    )
+    cells = F.when(month == "DEC", F.map_concat(cells, remark)).otherwise(cells)
+    order = Window.partitionBy("path").orderBy(LABEL_HEADER)
+    rows = raw.select(
+        "path", (F.row_number().over(order) - 1).alias("row_no"), cells.alias("cells")
+    )
+    grid = coverage.expected_grid_oem(
+        coverage.state_list(spark),
+        class_list(spark, sf),
+        month_list(spark, sf),
+        grain,
+        report_root(grain),
     )
+    empty = grid.select("path").join(raw.select("path"), "path", "left_anti")
+    return rows.unionByName(empty, allowMissingColumns=True)
 
 
 def files(spark: SparkSession, sf: str, grain: Grain) -> DataFrame:
@@ -350,12 +365,13 @@ def workbook_bytes(rows: list[list[str | None]], whole: bool = True, sheet: str
     return buffer.getvalue()
 
 
-def workbooks(spark: SparkSession, sf: str) -> DataFrame:
+def workbooks(spark: SparkSession, sf: str, damaged: bool = True) -> DataFrame:
     """Office reports as XLSX bytes (path, content), built on the executors.
 
     All known fuels have a column, the total sits at its usual position and the new
-    header behind it. A report holds at most one row per vehicle class. Reports with one row are zero
-    bytes long; those of an office without a code lack the workbook part.
+    header behind it. A report holds at most one row per vehicle class. With `damaged`,
+    reports with one row are zero bytes long, and those of an office without a code lack the
+    workbook part.
     """
     sheet_headers = [None, None, *FUEL_HEADERS, None, NEW_HEADER]
     places = [1, *[sheet_headers.index(h) for h in CELL_HEADERS], len(FUEL_HEADERS) + 2]
@@ -363,7 +379,7 @@ def workbooks(spark: SparkSession, sf: str) -> DataFrame:
     @F.pandas_udf(T.BinaryType())
     def build(path: pd.Series, rows: pd.Series) -> pd.Series:
         def one(path: str, rows) -> bytes:
-            if len(rows) == 1:
+            if damaged and len(rows) == 1:
                 return b""
             body = []
             for number, row in enumerate(rows, start=1):
@@ -372,7 +388,7 @@ def workbooks(spark: SparkSession, sf: str) -> DataFrame:
                 for place, cell in zip(places, row.values()):
                     cells[place] = cell
                 body.append(cells)
-            whole = "_" in path.split("/")[3]
+            whole = not damaged or "_" in path.split("/")[3]
             return workbook_bytes([["Report"], [], [], sheet_headers, *body], whole)
 
         return pd.Series([one(p, r) for p, r in zip(path, rows)])

@@ -25,7 +25,6 @@ from regflow.schema import (
 _STATES = "[" + ", ".join(f"'{s}'" for s in STATES) + "]"
 _PRESENT = {snake(h) for h in a.FUELS.values()} | {"total"}
 _CELLS = [*a.FUELS.values(), a.NEW_HEADER]
-_SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 
 
 def _q(name: str) -> str:
@@ -69,14 +68,15 @@ CTES: dict[str, str] = {
                    THEN '_R' || s_suppkey ELSE '' END AS folder,
                s_acctbal >= 0 AS good
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "mapping": """
+    "whole_mapping": """
         SELECT DISTINCT 'CLASS-' || p_type || '(LMV)' AS "Vehicle Class",
                CASE p_type WHEN 'LARGE' THEN 'Goods' WHEN 'MEDIUM' THEN NULL
                     ELSE 'Passenger' END AS "Vehicle Type",
                CASE p_type WHEN 'LARGE' THEN 'Truck' WHEN 'SMALL' THEN ' '
                     ELSE 'Car' END AS "Vehicle Category",
                CASE p_type WHEN 'ECONOMY' THEN '' ELSE 'Private' END AS "Vehicle Use Type"
-        FROM part WHERE p_type <> 'PROMO'""",
+        FROM part""",
+    "mapping": """SELECT * FROM whole_mapping WHERE "Vehicle Class" <> 'CLASS-PROMO(LMV)'""",
     "districts": """
         SELECT 'r' || s_suppkey || ' ' AS rto_code,
                unnest(CASE WHEN n_regionkey = 0 THEN ['North', 'South']
@@ -282,11 +282,6 @@ for _g in GRAINS.values():
         f'SELECT path, count("DIESEL") > 0 AS valid FROM raw_{_n} GROUP BY path'
     )
 
-CTES["stored_oem"] = """
-    SELECT path, state_dir, month_start, "Unnamed: 1", "CNG ONLY" IS NOT NULL AS stored,
-           row_number() OVER (PARTITION BY path ORDER BY "CNG ONLY" IS NOT NULL DESC,
-                              "Unnamed: 1") - 1 AS position
-    FROM raw_oem"""
 CTES["legacy_rows"] = """
     SELECT *, CASE WHEN year(month_start) < 1998 THEN 'Unnamed: 23' ELSE 'Unnamed: 26' END AS total_at
     FROM raw_state"""
@@ -304,6 +299,12 @@ CTES["grid_oem"] = f"""
            || '/reportTable.xlsx' AS path
     FROM state_list, months,
          (SELECT DISTINCT 'CLASS-' || p_type || '(LMV)' AS vehicle_class FROM part)"""
+CTES["stored_oem"] = """
+    SELECT path, state_dir, month_start, TRUE AS stored,
+           row_number() OVER (PARTITION BY path ORDER BY "Unnamed: 1") - 1 AS position
+    FROM raw_oem UNION ALL
+    SELECT path, rtrim(regexp_replace(state, '[^a-zA-Z\\s]', ' ', 'g')), month_start, FALSE, NULL
+    FROM grid_oem WHERE path NOT IN (SELECT path FROM raw_oem)"""
 CTES["grid_rto"] = f"""
     SELECT state, office_label, month_start, {_label('month_start')} AS month,
            strftime(month_start, '%Y') AS year,
@@ -327,19 +328,18 @@ SQL["valid_workbooks"] = """SELECT path, count(*) > 1 AND contains(any_value(inn
 SQL["read_workbooks"] = f"""
     SELECT path, row_no, "Unnamed: 1", {_columns(_CELLS)}, "Unnamed: 38" FROM (
         SELECT *, CAST(row_number() OVER (PARTITION BY path ORDER BY "Unnamed: 1") - 1 AS INTEGER)
-                  AS row_no, count(*) OVER (PARTITION BY path) AS n FROM raw_rto)
-    WHERE n > 1 AND contains(inner_dir, '_')"""
-SQL["mapping_dim"] = "SELECT * FROM mapping"
+                  AS row_no FROM raw_rto)"""
+SQL["mapping_dim"] = "SELECT * FROM whole_mapping"
 SQL["mapping_dim_normalized"] = f"""SELECT * REPLACE ({_class_key('"Vehicle Class"')} AS "Vehicle Class")
-    FROM mapping"""
+    FROM whole_mapping"""
 SQL["office_map_scan"] = "SELECT state, office_label FROM offices WHERE n_regionkey <> 4"
 SQL["csv_stage_scan"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text,
     nullif(lang, '') AS lang, nullif(source, '') AS source, CAST(n_chars AS VARCHAR) AS n_chars
     FROM documents"""
 SQL["csv_monthly_sink"] = f"""SELECT {', '.join(f"nullif(CAST({_q(c)} AS VARCHAR), '') AS {_q(c)}" for c in RTO.columns)},
     'rto_level_ev_data_' || upper(strftime(make_date(CAST(year AS INTEGER), month, 1), '%b')) || '_'
-    || year || '.csv' AS file FROM prep_later_rto"""
-SQL["stage_load"] = "SELECT * FROM stage_rto"
+    || year || '.csv' AS file FROM prep_min_rto"""
+SQL["stage_load"] = "SELECT * FROM rescraped_rto"
 SQL["archive_manifest"] = """
     SELECT p AS path, substr(p, length('reports/rto/') + 1) AS object_name FROM (
         SELECT DISTINCT unnest([path, replace(path, '.xlsx', ' (1).xlsx')]) AS p FROM raw_rto)"""
@@ -357,8 +357,13 @@ SQL["tag_metadata"] = f"""
            '1/' || upper(strftime(month_start, '%b')) || strftime(month_start, '/%Y') AS "Date"
     FROM raw_rto"""
 SQL["fill_missing_columns"] = _prep(STATE, "raw_state", raw_dims=True)
-SQL["unexpected_columns"] = f"""SELECT DISTINCT '{a.NEW_HEADER}' AS header FROM raw_oem
-    WHERE "CNG ONLY" IS NOT NULL AND year(month_start) >= {a.NEW_HEADER_YEAR}"""
+_known = ", ".join(f"'{h}'" for h in OEM.rename_map)
+SQL["unexpected_columns"] = f"""SELECT DISTINCT header FROM (
+        SELECT unnest(map_keys(MAP {{'Unnamed: 1': 1, 'Unnamed: 38': 1,
+                   {', '.join(f"'{h}': 1" for h in a.CELL_HEADERS if h != a.NEW_HEADER)}}})) AS header FROM raw_oem
+        UNION ALL SELECT '{a.NEW_HEADER}' FROM raw_oem WHERE year(month_start) >= {a.NEW_HEADER_YEAR}
+        UNION ALL SELECT 'REMARK ' || inner_dir FROM raw_oem WHERE month(month_start) = 12)
+    WHERE header NOT IN ({_known})"""
 SQL["default_dimensions"] = f"""SELECT path, "Unnamed: 1", {_others('Vehicle Type')} AS "Vehicle Type",
     {_others('Vehicle Category')} AS "Vehicle Category", {_others('Vehicle Use Type')} AS "Vehicle Use Type"
     FROM raw_state LEFT JOIN mapping ON {_mapped(STATE)}"""
@@ -374,6 +379,8 @@ SQL["first_existing_timestamp"] = """SELECT date, state, vehicle_class, insert_d
     FROM legacy_state"""
 SQL["null_repair"] = """SELECT * REPLACE (CAST(NULL AS VARCHAR) AS electric_bov,
     CAST(NULL AS VARCHAR) AS ethanol_e100) FROM fact_state"""
+for _n in ("rto", "oem"):
+    SQL[f"null_repair_{_n}"] = SQL["null_repair"].replace("fact_state", f"fact_{_n}")
 
 
 def _legacy_cells(names: dict[str, str], total: str) -> str:
@@ -420,7 +427,7 @@ SQL["repair_check"] = " UNION ALL ".join(
     f"""SELECT '{g.fact_table}' AS table_name, count(*) AS non_null_rows FROM fact_{g.name}
         WHERE electric_bov IS NOT NULL OR ethanol_e100 IS NOT NULL"""
     for g in GRAINS.values()
-) + f" UNION ALL SELECT '{STATE.fact_table}_repaired', 0"
+) + "".join(f" UNION ALL SELECT '{g.fact_table}_repaired', 0" for g in GRAINS.values())
 SQL["backfill_counts"] = " UNION ALL ".join(
     f"""SELECT '{g.fact_table}' AS table_name,
         count(*) FILTER (WHERE backfilled) AS electric_bov_rows_updated FROM filled_{g.name}"""

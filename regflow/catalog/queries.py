@@ -64,19 +64,19 @@ def valid_workbooks(spark, sf):
 
 @query
 def read_workbooks(spark, sf):
-    valid = reports.with_validity(a.workbooks(spark, sf)).filter("valid")
-    rows = conform.skip_empty_reports(reports.read_workbooks(valid))
+    # The reader checks each file itself, so the bytes cross to Python once.
+    rows = conform.skip_empty_reports(reports.read_workbooks(a.workbooks(spark, sf, damaged=False)))
     return reports.widen(rows, a.RAW_HEADERS)
 
 
 @query
 def mapping_dim(spark, sf):
-    return a.mapping(spark, sf)
+    return a.whole_mapping(spark, sf)
 
 
 @query
 def mapping_dim_normalized(spark, sf):
-    return dimensions.normalized_mapping(a.mapping(spark, sf))
+    return dimensions.normalized_mapping(a.whole_mapping(spark, sf))
 
 
 @query
@@ -101,14 +101,15 @@ def csv_stage_scan(spark, sf):
 @query
 def csv_monthly_sink(spark, sf):
     path = work_path(spark, "csv")
-    frame = a.preprocessed(spark, sf, RTO, "min", a.RESCRAPE_FROM)
+    frame = a.preprocessed(spark, sf, RTO, "min")
     staging.write_monthly_csvs(frame, path, RTO)
     return staging.read_csv_stage(spark, path)
 
 
 @query
 def stage_load(spark, sf):
-    return a.stage(spark, sf, RTO).drop("inserted_at")
+    rescraped = a.preprocessed(spark, sf, RTO, "min")
+    return load.stage_load(rescraped, RTO.columns).drop("inserted_at")
 
 
 @query
@@ -228,6 +229,12 @@ def null_repair(spark, sf):
     return migrate.null_repair(fact, a.legacy(spark, sf, STATE))
 
 
+@per_grain(RTO, OEM)
+def null_repair_(spark, sf, grain):
+    fact = a.fact(spark, sf, grain).drop("inserted_at")
+    return migrate.null_repair(fact, a.legacy(spark, sf, grain))
+
+
 @query
 def history_defaults(spark, sf):
     return conform.history_defaults(_legacy_rows(spark, sf), monthly.LEGACY_HEADERS).drop("title")
@@ -359,8 +366,11 @@ def reconcile_counts(spark, sf):
 @query
 def repair_check(spark, sf):
     tables = {g.fact_table: a.fact(spark, sf, g) for g in GRAINS.values()}
-    repaired = migrate.null_repair(tables[STATE.fact_table], a.legacy(spark, sf, STATE))
-    return migrate.repair_check(tables | {f"{STATE.fact_table}_repaired": repaired})
+    repaired = {
+        f"{g.fact_table}_repaired": migrate.null_repair(tables[g.fact_table], a.legacy(spark, sf, g))
+        for g in GRAINS.values()
+    }
+    return migrate.repair_check(tables | repaired)
 
 
 @query
