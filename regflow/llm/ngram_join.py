@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +37,12 @@ WORDS = 5
 KEYS = 4
 #: Members of a group on each side of one block.
 BLOCK = 512
-#: Tokens per block of the frequency count, and the least count there that is reported.
-COUNTED, LEAST = 4_000_000, 3
-#: Tokens from this document count on leave the hash order; at most `FREQUENT` of them, the
-#: most frequent, are told apart. This bounds the broadcast, and only affects the order.
-OFTEN, FREQUENT = 32, 1 << 20
+#: Tokens per block of the frequency count, and the least count there that is reported. A
+#: token of d documents over b blocks is reported once d is some twice the root of b.
+COUNTED, LEAST = 4_000_000, 2
+#: Tokens from this count on leave the hash order; at most `FREQUENT` of them, the most
+#: frequent, are told apart. This bounds the broadcast, and only affects the order.
+OFTEN, FREQUENT = 4, 1 << 20
 #: Bits of the filter that spares most texts a shuffle; its size does not depend on the data.
 MARKS = 1 << 24
 
@@ -59,28 +59,52 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) < 500_000:
-            self[word] = value
-        return value
+class WordHashes:
+    """64-bit hashes of the words of a text, A-Z lower-cased, in a few passes over its bytes: a
+    polynomial of a random number per byte, taken as a difference of running sums."""
+
+    def __init__(self):
+        random = np.random.default_rng(20_240_607)
+        self.numbers = random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        upper = np.arange(ord("A"), ord("Z") + 1)
+        self.numbers[upper] = self.numbers[upper + 32]
+        self.blank = np.zeros(256, bool)
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
+        self._extend(1 << 16)
+
+    def _extend(self, size: int) -> None:
+        base = 0x9E3779B97F4A7C15
+        self.powers = np.cumprod(np.full(size, base, np.uint64))
+        self.inverses = np.cumprod(np.full(size, pow(base, -1, 1 << 64), np.uint64))
+
+    def words(self, text: str) -> np.ndarray:
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        if len(data) > len(self.powers):
+            self._extend(2 * len(data))
+        blank = np.ones(len(data) + 2, np.int8)
+        blank[1:-1] = self.blank[data]
+        edge = np.diff(blank)
+        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.numbers[data] * self.powers[: len(data)], out=total[1:])
+        if not len(start):
+            return np.empty(0, np.uint64)
+        size = (end - start).astype(np.uint64)
+        return mix((total[end] - total[start]) * self.inverses[start] + size)
 
 
 def shingles(text: str, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
     """The sorted distinct tokens of a text. With fewer words the sequence is one shingle; no
     words, no tokens."""
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    width = min(words, len(found))
+    each = hashes.words(text)
+    if not len(each):
+        return each
+    width = min(words, len(each))
     token = np.full(len(each) - width + 1, _SEEDS[0] + np.uint64(width), np.uint64)
     for k in range(width):
-        token = mix(token * _SEEDS[1] + each[k : len(each) - width + 1 + k])
-    return np.unique(token)
+        token = token * _SEEDS[1] + each[k : len(each) - width + 1 + k]
+    token = np.sort(mix(token))
+    return token[np.r_[True, token[1:] != token[:-1]]]
 
 
 def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
@@ -148,9 +172,9 @@ def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 tokens = shingles(text, hashes, words)
                 n.append(len(tokens))
-                mixed = [mix(tokens ^ seed) for seed in _SEEDS[: 2 + KEYS]]
+                mixed = [tokens, *(mix(tokens ^ seed) for seed in _SEEDS[1:KEYS])]
                 sums.append([int(m.sum(dtype=np.uint64).view(np.int64)) for m in mixed[:2]])
-                keys.append([int(m.min().view(np.int64)) if len(m) else 0 for m in mixed[2:]])
+                keys.append([int(m.min().view(np.int64)) if len(m) else 0 for m in mixed])
                 length, quota = prefix_sizes(len(tokens), percent)
                 if len(tokens) and len(tokens_often):
                     at = np.minimum(np.searchsorted(tokens_often, tokens), len(tokens_often) - 1)
@@ -356,11 +380,11 @@ def _pair_counts(one: list[np.ndarray], two: list[np.ndarray]) -> pa.RecordBatch
 
 
 def _between_groups(
-    docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, percent: int
+    docs: DataFrame, profiles: DataFrame, groups: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Links (a, b) between different groups."""
     matrix = (
-        classes.select("id", F.explode("prefix").alias("token"))
+        profiles.select("id", F.explode("prefix").alias("token"))
         .join(groups.select("id", "grp"), "id")
         .groupBy("token")
         .agg(F.collect_set("grp").alias("groups"))
@@ -420,7 +444,7 @@ def similar_documents(
     texts = ids_and_texts(docs, id_col, text_col)
     profiles = _profiles(texts, words, percent)
     same = ["n", "sum1", "sum2"]
-    able = profiles.filter("id IS NOT NULL AND n > 0")
+    able = profiles.filter("id IS NOT NULL AND n > 0").drop("prefix")
     firsts = checkpointed(able.groupBy(*same).agg(F.min("id").alias("class")))
     classed = checkpointed(
         able.select("id", *same).join(firsts, same).select("id", F.col("class").alias("other")).distinct()
@@ -433,7 +457,7 @@ def similar_documents(
         "classes",
     )
     groups = _groups(texts, classes, words, percent)
-    between = _between_groups(texts, classes, groups, words, percent)
+    between = _between_groups(texts, profiles, groups, words, percent)
     links = (
         between.union(groups.select("id", "grp"))
         .union(classed.select("id", "other"))
