@@ -35,6 +35,8 @@ ship_by_value(__name__)
 
 #: Vectors in a block, on average.
 BLOCK = 4096
+#: Pairs of trees in a task, on average.
+PAIRS = 4
 #: A node of so few vectors gets no further level.
 LEAF = 64
 #: Levels end at this radius.
@@ -45,7 +47,7 @@ ROUGH, SLACK = 1e-4, 0.02
 _ROWS = 512
 
 # A node is (centres, radii, kids): row numbers, covering radii, and the node below each
-# centre, or -1 for a single vector. A tree is (vectors, nodes, root, vectors in single precision).
+# centre, or -1 for a single vector. A tree is (vectors, nodes, root).
 
 
 def _distance(cosines: np.ndarray) -> np.ndarray:
@@ -106,7 +108,7 @@ def cover_tree(vectors: np.ndarray, near: float = 0.3) -> tuple:
         return len(nodes) - 1
 
     root = grow(np.arange(len(vectors)), 1.0) if len(vectors) else -1
-    return vectors, nodes, root, rough
+    return vectors, nodes, root
 
 
 def _single(row: int) -> tuple:
@@ -118,6 +120,8 @@ def traverse(a: tuple, b: tuple, cosine: float) -> Iterator[tuple[np.ndarray, np
     order, and no vector with itself."""
     same = a is b
     near = float(_distance(np.float64(cosine))) + SLACK
+    rough_a = a[0].astype(np.float32)
+    rough_b = rough_a if same else b[0].astype(np.float32)
     if a[2] < 0 or b[2] < 0:
         return
     todo = [(a[1][a[2]], b[1][b[2]])]
@@ -128,7 +132,7 @@ def traverse(a: tuple, b: tuple, cosine: float) -> Iterator[tuple[np.ndarray, np
         for start in range(0, len(one[0]), _ROWS):
             centres, radii, kids = (x[start : start + _ROWS] for x in one)
             single, inner = kids < 0, np.flatnonzero(kids >= 0)
-            rough = a[3][centres] @ b[3][centres_b].T
+            rough = rough_a[centres] @ rough_b[centres_b].T
             place = np.arange(start, start + len(centres))
             if same and one is two:
                 todo += [(a[1][k], a[1][k]) for k in kids[inner]]
@@ -293,8 +297,10 @@ def near_duplicates(
     pairs = one.join(two, ["size", "meets"]).select(
         "size", "block", "meets", "one", F.when(F.col("block") != F.col("meets"), F.col("two")).alias("two")
     )
+    # A pair of trees is some MB: few of them to a task.
+    n_pairs = blocks.agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 0
     met = checkpointed(
-        pairs.repartition("size", "block", "meets")
+        pairs.repartition(1 + int(n_pairs) // PAIRS, "size", "block", "meets")
         .select("one", "two")
         .mapInArrow(_meet(cosine), "cid long, partners long, a long, b long")
     )

@@ -57,8 +57,8 @@ def test_traversal_finds_each_pair_once(cosine):
     tree, other = cover_tree(x), cover_tree(x[::3])
     for a, b in ((tree, tree), (tree, other)):
         seen = np.zeros((len(a[0]), len(b[0])), int)
-        for rows, columns, hit in traverse(a, b, cosine):
-            np.add.at(seen, np.ix_(rows, columns), hit.astype(int))
+        for rows, columns in traverse(a, b, cosine):
+            np.add.at(seen, (rows, columns), 1)
         want = a[0] @ b[0].T >= cosine
         if a is b:
             np.fill_diagonal(want, False)
