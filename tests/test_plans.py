@@ -4,8 +4,8 @@ import pytest
 from helpers import fact_rows, plan_text
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from regflow.catalog import adapter
+from regflow.catalog.queries import QUERIES
 from regflow.operators import load, logs, migrate
 from regflow.schema import OEM, RTO, STATE
 
@@ -14,9 +14,9 @@ SF = "/root/testdata/sf0.001"
 PYTHON = {"valid_workbooks", "read_workbooks"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
-    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in PYTHON:
         assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
