@@ -20,11 +20,12 @@ are exact. Sets are compared as sets of 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regflow.llm.common import checkpointed, ids_and_texts, pieces, stored
@@ -347,19 +348,41 @@ def _groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     )
 
 
+#: Bits of a size step in a group's code.
+STEP = 6
+
+
+def _step(n: Column, percent: int, slack: float) -> Column:
+    """Sizes in steps of the largest ratio that two partners can have."""
+    step = F.floor(F.log(n) / math.log(100 / percent) + slack)
+    return F.greatest(F.least(step, F.lit((1 << STEP) - 1)), F.lit(0)).cast("long")
+
+
+def _least_quota(code: Column, percent: int) -> Column:
+    """A lower bound of the quotas in a group, from its code."""
+    step = F.shiftright(code, STEP).bitwiseAND((1 << STEP) - 1)
+    return 1 + F.floor(F.pow(F.lit(100 / percent), step) * 0.999 / 20)
+
+
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of groups in each token's row of the matrix, with the number of tokens, added up
-    before they are shuffled."""
+    """Pairs of groups in each token's row of the matrix whose sizes can go together, with the
+    number of tokens, added up before they are shuffled."""
+    mask = (1 << STEP) - 1
     for batch in batches:
         for part in pieces([batch], "groups", 1 << 18):
             one, two = [], []
             size = 0
             for groups in part.column("groups"):
                 members = np.sort(groups.values.to_numpy(zero_copy_only=False))
+                low, high = members >> STEP & mask, members & mask
                 for k in range(len(members) - 1):
-                    one.append(np.full(len(members) - k - 1, members[k]))
-                    two.append(members[k + 1 :])
-                    size += len(members) - k - 1
+                    fit = (high[k + 1 :] >= low[k] - 1) & (high[k] >= low[k + 1 :] - 1)
+                    others = members[k + 1 :][fit]
+                    if not len(others):
+                        continue
+                    one.append(np.full(len(others), members[k]))
+                    two.append(others)
+                    size += len(others)
                     if size > 1_000_000:
                         yield _pair_counts(one, two)
                         one, two, size = [], [], 0
@@ -383,30 +406,44 @@ def _between_groups(
     docs: DataFrame, profiles: DataFrame, groups: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Links (a, b) between different groups."""
+    about = groups.groupBy("grp").agg(
+        F.min("quota").alias("quota"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.count("*").alias("members"),
+    )
+    # A group's code: a number of its own, then the size steps of its smallest and largest set.
+    about = checkpointed(
+        about.withColumn(
+            "code",
+            F.shiftleft(F.monotonically_increasing_id(), 2 * STEP)
+            + F.shiftleft(_step(F.col("least"), percent, -1e-6), STEP)
+            + _step(F.col("most"), percent, 1e-6),
+        )
+    )
+    coded = checkpointed(groups.join(about.select("grp", "code"), "grp").select("id", "code"))
     matrix = (
         profiles.select("id", F.explode("prefix").alias("token"))
-        .join(groups.select("id", "grp"), "id")
+        .join(coded, "id")
         .groupBy("token")
-        .agg(F.collect_set("grp").alias("groups"))
+        .agg(F.collect_set("code").alias("groups"))
         .filter(F.size("groups") > 1)
         .select("groups")
     )
-    bounds = matrix.mapInArrow(_shared_tokens, "one long, two long, shared long")
-    bounds = bounds.groupBy("one", "two").agg(F.sum("shared").alias("shared"))
-    about = checkpointed(
-        groups.groupBy("grp").agg(
-            F.min("quota").alias("quota"),
-            F.min("n").alias("least"),
-            F.max("n").alias("most"),
-            F.count("*").alias("members"),
-        )
+    quota = F.least(_least_quota(F.col("one"), percent), _least_quota(F.col("two"), percent))
+    bounds = (
+        matrix.mapInArrow(_shared_tokens, "one long, two long, shared long")
+        .groupBy("one", "two")
+        .agg(F.sum("shared").alias("shared"))
+        .filter(F.col("shared") >= quota)
     )
 
     def side(name: str, prefix: str) -> DataFrame:
         return about.select(
-            F.col("grp").alias(name), *(F.col(c).alias(f"{prefix}_{c}") for c in about.columns[1:])
+            F.col("code").alias(name), *(F.col(c).alias(f"{prefix}_{c}") for c in about.columns)
         )
 
+    larger = F.col("x_members") >= F.col("y_members")
     opened = checkpointed(
         bounds.join(side("one", "x"), "one")
         .join(side("two", "y"), "two")
@@ -414,8 +451,8 @@ def _between_groups(
         .filter(100 * F.col("x_most") >= percent * F.col("y_least"))
         .filter(100 * F.col("y_most") >= percent * F.col("x_least"))
         .select(
-            F.when(F.col("x_members") >= F.col("y_members"), F.col("one")).otherwise(F.col("two")).alias("grp"),
-            F.when(F.col("x_members") >= F.col("y_members"), F.col("two")).otherwise(F.col("one")).alias("other"),
+            F.when(larger, F.col("x_grp")).otherwise(F.col("y_grp")).alias("grp"),
+            F.when(larger, F.col("y_grp")).otherwise(F.col("x_grp")).alias("other"),
         )
     )
     members = groups.select("id", "grp")
