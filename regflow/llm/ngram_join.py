@@ -116,6 +116,12 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
     return n - -(-n * percent // 100) + quota, quota
 
 
+def early_size(n: Column, quota: Column, percent: int) -> Column:
+    """Of two partners the smaller, of n tokens, lacks at most n - ceil(2 t n / (1 + t)) of
+    them, t the threshold: the first `quota` common tokens are among so many of its own."""
+    return n - F.ceil(n * 2 * percent / (100 + percent) - 1e-9) + quota
+
+
 def linked(common: np.ndarray, a: np.ndarray, b: int, percent: int) -> np.ndarray:
     return 100 * common >= percent * (a + b - common)
 
@@ -365,18 +371,26 @@ def _least_quota(code: Column, percent: int) -> Column:
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of groups in each token's row of the matrix whose sizes can go together, with the
-    number of tokens, added up before they are shuffled."""
+    """Pairs of groups in each token's row of the matrix, with the number of tokens, added up
+    before they are shuffled: pairs whose sizes can go together, and of which one has the
+    token early (see `early_size`)."""
     mask = (1 << STEP) - 1
     for batch in batches:
         for part in pieces([batch], "groups", 1 << 18):
             one, two = [], []
             size = 0
             for groups in part.column("groups"):
-                members = np.sort(groups.values.to_numpy(zero_copy_only=False))
+                entries = np.sort(groups.values.to_numpy(zero_copy_only=False))
+                # A group may be there with both flags; the early one counts.
+                members, early = entries >> 1, (entries & 1).astype(bool)
+                last = np.r_[members[1:] != members[:-1], True]
+                members, early = members[last], early[last]
+                if not early.any():
+                    continue
                 low, high = members >> STEP & mask, members & mask
                 for k in range(len(members) - 1):
                     fit = (high[k + 1 :] >= low[k] - 1) & (high[k] >= low[k + 1 :] - 1)
+                    fit &= early[k] | early[k + 1 :]
                     others = members[k + 1 :][fit]
                     if not len(others):
                         continue
@@ -423,10 +437,15 @@ def _between_groups(
     )
     coded = checkpointed(groups.join(about.select("grp", "code"), "grp").select("id", "code"))
     matrix = (
-        profiles.select("id", F.explode("prefix").alias("token"))
+        profiles.select(
+            "id",
+            early_size(F.col("n"), F.col("quota"), percent).alias("early"),
+            F.posexplode("prefix").alias("place", "token"),
+        )
         .join(coded, "id")
+        .select("token", (F.col("code") * 2 + (F.col("place") < F.col("early")).cast("long")).alias("entry"))
         .groupBy("token")
-        .agg(F.collect_set("code").alias("groups"))
+        .agg(F.collect_set("entry").alias("groups"))
         .filter(F.size("groups") > 1)
         .select("groups")
     )

@@ -98,6 +98,10 @@ def test_prefixes_keep_their_promise():
         cut = lambda s: set(sorted(s, key=order.get)[: ngram_join.prefix_sizes(len(s), 80)[0]])
         quota = min(ngram_join.prefix_sizes(len(a), 80)[1], ngram_join.prefix_sizes(len(b), 80)[1])
         assert len(cut(a) & cut(b)) >= quota
+        small, large = sorted((a, b), key=len)
+        own = ngram_join.prefix_sizes(len(small), 80)[1]
+        early = set(sorted(small, key=order.get)[: len(small) - -(-len(small) * 160 // 180) + own])
+        assert len(early & cut(large)) >= quota
 
 
 def test_components(spark):
