@@ -44,6 +44,9 @@ COUNTED, LEAST = 4_000_000, 2
 #: Tokens from this count on leave the hash order; at most `FREQUENT` of them, the most
 #: frequent, are told apart. This bounds the broadcast, and only affects the order.
 OFTEN, FREQUENT = 4, 1 << 20
+#: A set of n tokens has a quota of 1 + n / EASE. More than 1 costs longer prefixes, which reach
+#: more frequent tokens, and saves openings.
+EASE = 400
 #: Bits of the filter that spares most texts a shuffle; its size does not depend on the data.
 MARKS = 1 << 24
 
@@ -112,7 +115,7 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int]:
     """(prefix length, quota) of a set of n tokens. A partner over the threshold lacks at most
     n - ceil(n * percent / 100) of the tokens, so that the first `quota` common tokens lie in
     the prefix; of two partners the smaller quota holds."""
-    quota = 1 + n // 20
+    quota = 1 + n // EASE
     return n - -(-n * percent // 100) + quota, quota
 
 
@@ -367,7 +370,7 @@ def _step(n: Column, percent: int, slack: float) -> Column:
 def _least_quota(code: Column, percent: int) -> Column:
     """A lower bound of the quotas in a group, from its code."""
     step = F.shiftright(code, STEP).bitwiseAND((1 << STEP) - 1)
-    return 1 + F.floor(F.pow(F.lit(100 / percent), step) * 0.999 / 20)
+    return 1 + F.floor(F.pow(F.lit(100 / percent), step) * 0.999 / EASE)
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
