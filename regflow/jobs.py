@@ -7,13 +7,15 @@ from __future__ import annotations
 
 import argparse
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regflow.functions import text
-from regflow.operators import archive, coverage, load
+from regflow.operators import archive, conform, coverage, load
 from regflow.plans import monthly, tables
 from regflow.schema import GRAINS, MONTHS, OEM, STATE, Grain
 from regflow.session import get_session
@@ -48,14 +50,42 @@ def state_folders(spark: SparkSession, args: argparse.Namespace) -> list[str] |
     return [folders[name] for name in args.states]
 
 
+@contextmanager
+def month_rows(
+    spark: SparkSession, args: argparse.Namespace, grain: Grain
+) -> Iterator[DataFrame]:
+    """Sheet rows of a month's reports, parsed once and set aside for all that use them."""
+    month, year = month_and_year(args)
+    pattern = reports.report_glob(args.reports, grain, [year], [month], state_folders(spark, args))
+    rows = reports.read_workbooks(reports.scan_files(spark, pattern))
+    with load.set_aside(rows, "rows") as kept:
+        yield kept
+
+
+def write_month(
+    spark: SparkSession, args: argparse.Namespace, grain: Grain, rows: DataFrame
+) -> tuple[str, DataFrame]:
+    """Monthly CSV of the rows, and below `--out` the run's summary and unknown headers.
+    Returns the CSV's path and the preprocessed frame."""
+    month, year = month_and_year(args)
+    frame = monthly.preprocess_rows(rows, dimensions.load_mapping(spark, args.mapping), grain)
+    path = staging.write_monthly_csv(frame, args.csv, grain, month, year)
+    if args.out:
+        tagged = reports.path_dimensions(rows, grain)
+        lists = {
+            "summary": conform.preprocess_summary(tagged, ["State", "Year"]),
+            "unexpected_columns": conform.unexpected_columns(rows, grain),
+        }
+        for name, found in lists.items():
+            target = f"{args.out.rstrip('/')}/{name}"
+            found.write.mode("overwrite").option("header", True).csv(target)
+    return path, frame
+
+
 def preprocess(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
     """Reports of a month -> monthly CSV; returns its path."""
-    month, year = month_and_year(args)
-    mapping = dimensions.load_mapping(spark, args.mapping)
-    frame = monthly.preprocess_tree(
-        spark, args.reports, mapping, grain, month, year, state_folders(spark, args)
-    )
-    return staging.write_monthly_csv(frame, args.csv, grain, month, year)
+    with month_rows(spark, args, grain) as rows:
+        return write_month(spark, args, grain, rows)[0]
 
 
 def load_csv(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> int:
@@ -158,8 +188,10 @@ def archive_month(spark: SparkSession, args: argparse.Namespace, grain: Grain) -
 
 def run(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> None:
     """A month from reports to the curated table; the state grain stops at the facts."""
-    preprocess(spark, args, grain)
-    print(f"staged rows: {load_csv(spark, args, grain)}")
+    with month_rows(spark, args, grain) as rows:
+        _, frame = write_month(spark, args, grain, rows)
+        staged = load.load_fact(args.fact, load.stage_load(frame, grain.columns), grain)
+    print(f"staged rows: {staged}")
     if args.archive:
         print(f"archived reports: {archive_month(spark, args, grain)}")
     if args.curated and grain is not STATE:
@@ -186,7 +218,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--curated", help="path of the curated table")
     options.add_argument("--districts", help="parquet table (rto_code, district)")
     options.add_argument("--archive", help="URI below which raw reports are copied")
-    options.add_argument("--out", help="folder of the lists that the missing job writes")
+    options.add_argument("--out", help="folder of the lists: missing reports, or a run's summary")
     options.add_argument("--force", action="store_true", help="plan to fetch every report again")
     options.add_argument("--as-of", help="reference date of the curated window")
     options.add_argument("--full-refresh", action="store_true")

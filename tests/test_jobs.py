@@ -129,7 +129,19 @@ def test_work_folders_are_removed(spark, paths, monkeypatch):
     month = month_options(options) + ["--as-of", "2026-07-02"]
     jobs.main(["run", *month], spark)
     jobs.main(["curate", "--full-refresh", *month], spark)
-    assert len(made) == 5 and not any(Path(p).exists() for p in made)
+    assert len(made) == 6 and not any(Path(p).exists() for p in made)
+
+
+def test_run_reports_drift(spark, paths):
+    root, options = paths
+    save(root / "reports", "Goa/Panaji_GA1/2026/JUN", report(["MOTOR CAR", "BUS"], extra=["FLYING"]))
+    save(root / "reports", "Goa/Mapusa_GA3/2026/JUN", report([]))
+    jobs.main(["run", *month_options(options), "--as-of", "2026-07-02", "--out", str(root / "out")], spark)
+    lists = {n: spark.read.option("header", True).csv(str(root / "out" / n)) for n in ("summary", "unexpected_columns")}
+    assert [tuple(r) for r in lists["summary"].collect()] == [("Goa", "2026", "2", "1", "2")]
+    # The blank headers of the fuels that the report leaves out are reported as well.
+    headers = {r.header for r in lists["unexpected_columns"].collect()}
+    assert {h for h in headers if not h.startswith("Unnamed: ")} == {"FLYING"}
 
 
 def test_no_shared_folder_on_a_cluster():
