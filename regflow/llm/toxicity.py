@@ -336,11 +336,10 @@ def score_text(text: str, model: Model) -> float:
 
 def clean_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows that are not predicted toxic, with all their columns; nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def toxic(texts: pd.Series) -> pd.Series:
-        return pd.Series([score_text(text or "", shared.value) for text in texts])
+        return pd.Series([score_text(text or "", model) for text in texts])
 
     return docs.filter(toxic(F.col(f"`{text_col}`").cast("string")) < THRESHOLD)
 
@@ -351,11 +350,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Only the text is an input of the score; a null text scores as an empty one. A null id is
     not held out; repeated rows each give a row; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            scores = [score_text(text, shared.value) for text in batch.column("text").to_pylist()]
+            scores = [score_text(text, model) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(scores, pa.float64())], names=["id", "score"]
             )
