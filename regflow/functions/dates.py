@@ -26,7 +26,7 @@ def month_label(label: Column) -> Column:
     """Trimmed, upper-case month label; an unknown one raises."""
     clean = F.upper(strip(label))
     return F.when(label.isNull() | clean.isin(*MONTHS), clean).otherwise(
-        F.raise_error(F.concat(F.lit("Unsupported month label: "), label)).cast("string")
+        F.raise_error(F.concat(F.lit("no such month: "), label)).cast("string")
     )
 
 

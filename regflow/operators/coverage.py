@@ -24,7 +24,7 @@ def month_sequence(first: Column, last: Column) -> Column:
     start = F.to_date(F.trunc(first, "month"))
     end = F.to_date(F.trunc(last, "month"))
     months = F.sequence(start, end, F.expr("interval 1 month"))
-    message = "Start month/year must be earlier than or equal to end month/year."
+    message = "a range of months cannot end before it starts"
     return F.when(start > end, F.raise_error(F.lit(message)).cast("array<date>")).otherwise(
         months
     )

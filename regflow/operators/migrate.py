@@ -26,7 +26,7 @@ def read_backup(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        raise FileNotFoundError(f"Required backup {path} does not exist. Aborting.") from error
+        raise FileNotFoundError(f"nothing to restore from: no backup at {path}") from error
 
 
 def project_if_exists(legacy: DataFrame, grain: Grain) -> DataFrame:

@@ -63,5 +63,5 @@ def read_csv_stage(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(
-            f"the file {path} does not exist. did you run {hint} yet?"
+            f"no CSV at {path}; {hint} writes it"
         ) from error

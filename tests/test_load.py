@@ -52,7 +52,7 @@ def test_csv_round_trip(spark, tmp_path):
     ]
     path.write_text("date,state,vehicle_class\n")
     assert staging.read_csv_stage(spark, str(path)).count() == 0
-    with pytest.raises(FileNotFoundError, match="did you run"):
+    with pytest.raises(FileNotFoundError, match="no CSV at"):
         staging.read_csv_stage(spark, str(tmp_path / "none.csv"))
 
 
