@@ -45,7 +45,6 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _merge_sorted(batches: Iterator[pa.RecordBatch], largest: bool) -> Iterator[pa.RecordBatch]:
     """Merge neighbours with equal (cell, digest, size, guard) in a sorted stream. Null ids
     lose to any other. The last entry of a batch is held back, as it may go on in the next."""
-    pick = pc.max if largest else pc.min
     held = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
