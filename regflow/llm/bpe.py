@@ -30,7 +30,7 @@ from regflow.session import ship_by_value
 ship_by_value(__name__)
 
 SHORT = 256
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # The white space of the vocabulary's normaliser.
 _SPACE = r"[\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Letters and numbers that the local pattern module knows, but the Unicode
