@@ -51,6 +51,9 @@ _SCOPE = frozenset("html table td th caption button object template".split())
 _CELLS = frozenset(("td", "th"))
 _SECTIONS = frozenset("thead tbody tfoot".split())
 _TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
+#: What a head and a column group hold; anything else ends them.
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
+_IN_COLUMNS = frozenset(("col", "template"))
 
 _NAME = re.compile(r"[A-Za-z][^\s/>\x00]*")
 _ATTRIBUTE = re.compile(
@@ -143,6 +146,8 @@ class TreeBuilder:
 
     def text(self, raw: str) -> None:
         text = unescape(raw) if "&" in raw else raw
+        if self.stack[-1].tag in ("head", "colgroup") and text.strip():
+            self._pop()
         top = self.stack[-1]
         if top.tag in _TABLE_PARTS and text.strip():
             self._before_table(text)
@@ -195,14 +200,15 @@ class TreeBuilder:
 
     def start(self, tag: str, attributes: dict[str, str]) -> None:
         if tag in ("html", "body", "head"):
-            if tag == "head":
+            if tag == "head" and len(self.stack) == 1:
                 self._push(tag, attributes)
             elif tag == "body":
                 self._close(("head",), ())
                 self.root.attributes |= attributes
             return
-        if self.stack[-1].tag == "head" and tag not in _NOT_SHOWN:
-            self._close(("head",), ())
+        top = self.stack[-1].tag
+        if (top == "head" and tag not in _IN_HEAD) or (top == "colgroup" and tag not in _IN_COLUMNS):
+            self._pop()
         if tag == "table" and self.stack[-1].tag in _TABLE_PARTS:
             self._close(("table",), _CELLS)
         if tag in _ENDS_P:
@@ -238,7 +244,7 @@ class TreeBuilder:
             if tag == "head":
                 self._close(("head",), ())
         elif tag == "br":
-            self._push("br", {})
+            self.start("br", {})
         elif tag == "p" and not self._close(("p",), _SCOPE):
             self._push("p", {})
             self._pop() if self.stack[-1].tag == "p" else None

@@ -83,6 +83,32 @@ def test_no_text_is_lost(parts):
     assert sorted(re.sub(r"[\s-]", "", text_of(html))) == sorted(letters)
 
 
+LEFT_OUT = [
+    ("<table><colgroup><col><tr><td>text</table>", "text"),
+    ("<table><colgroup><col><thead><tr><th>h<tbody><tr><td>b</table>", "h\nb"),
+    ("<table><colgroup><col><td>a<td>b</table>c", "a  b\n\nc"),
+    ("<table><colgroup>loose<tr><td>x</table>", "loose\n\nx"),
+    ("<table><colgroup><col><caption>cap</caption><tr><td>x</table>", "cap\nx"),
+    ("<head><title>t</title>Hello <b>you</b>", "Hello you"),
+    ("<head><title>t</title> <meta a=b>\n&amp; more<p>next", "& more\n\nnext"),
+    ("<html><head><style>p{}</style><script>s</script>x</html>", "x"),
+    ("<div>a<head>b</div>c", "ab\nc"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), LEFT_OUT)
+def test_tags_left_out(html, text):
+    assert text_of(html) == text
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["<head>", "</head>", "<body>", "<colgroup>", "</colgroup>", "<col>", "<table>", "</table>", "<thead>", "<tbody>", "<tr>", "<td>", "</td>", "<caption>", "<p>", "</p>", "</br>", "<b>", "<div>", "</div>", "<meta>", "w ", "x", " "]), max_size=30))
+def test_no_text_is_lost_in_columns_and_heads(parts):
+    html = "".join(parts)
+    letters = re.sub(r"<[^>]*>|\s", "", html)
+    assert sorted(re.sub(r"[\s-]", "", text_of(html))) == sorted(letters)
+
+
 @pytest.mark.parametrize("html", ["<div>" * 50_000 + "x", "<b>" * 50_000 + "x" + "</i>" * 50_000, "<table><tr><td>" * 3_000 + "x", "<p>y" * 50_000 + "x", "<ul><li>" * 20_000 + "x", "<a b='" * 20_000 + "<i>x", "<" * 100_000 + " x", "w " * 500_000 + "x"])
 def test_long_and_deep(html):
     assert "x" in text_of(html) or "'" in html
