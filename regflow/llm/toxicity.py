@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 1. Lexicons. Words and word beginnings that mark labelled toxic documents far more than
-   others are collected from a bounded sample of labelled rows. Support is counted in families
+   others are collected from a bounded sample of labelled rows. All counts are of families
    of documents, so that the copies of one document count once.
 2. Voters. The lexicons, split into shards, and a few text patterns each fire or stay silent
    on a document: `VOTERS` bits, so that the votes of all documents are a histogram of at most
@@ -39,7 +39,7 @@ SAMPLE = 20_000
 #: At most so many words or beginnings in a lexicon, the best supported.
 TERMS = 20_000
 #: A term needs this many families of toxic documents, and to be this many times as frequent
-#: among toxic documents as among others.
+#: among families of toxic documents as among those of others.
 SUPPORT, LIFT = 3, 10.0
 #: Assumed accuracy of a given label as a voter.
 TRUST = 0.98
@@ -140,70 +140,57 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame
     return rows, counts.get(0, 0), counts.get(1, 0)
 
 
-_TERM_ROWS = "kind int, term string, family long"
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        families = [_family(_terms(text)[1]) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("toxic"), pa.array(families, pa.int64())], names=["toxic", "family"]
+        )
 
 
-def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, most=1 << 20):
-        rows = []
-        for text in batch.column("text").to_pylist():
+        toxic, kinds, terms, families = [], [], [], []
+        for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
             distinct, words = _terms(text)
             family = _family(words)
-            rows += [(0, w, family) for w in distinct]
-            for size in _BEGINNINGS:
-                rows += [(size, w, family) for w in {w[:size] for w in distinct if len(w) >= size}]
-        yield pa.RecordBatch.from_pylist(
-            [{"kind": k, "term": t, "family": f} for k, t, f in rows],
-            pa.schema([("kind", pa.int32()), ("term", pa.string()), ("family", pa.int64())]),
+            for kind in (0, *_BEGINNINGS):
+                found = {w[:kind] for w in distinct if len(w) >= kind} if kind else distinct
+                terms += found
+                kinds += [kind] * len(found)
+                toxic += [label] * len(found)
+                families += [family] * len(found)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(toxic, pa.int32()),
+                pa.array(kinds, pa.int32()),
+                pa.array(terms, pa.string()),
+                pa.array(families, pa.int64()),
+            ],
+            names=["toxic", "kind", "term", "family"],
         )
 
 
-def _learn_lexicons(sample: DataFrame, clean: int, toxic: int, terms: int) -> Model:
+def _learn_lexicons(sample: DataFrame, terms: int) -> Model:
     model = Model()
-    candidates = (
-        sample.filter("toxic = 1")
-        .select("text")
-        .mapInArrow(_toxic_terms, _TERM_ROWS)
+    labelled = sample.select("toxic", "text")
+    families = labelled.mapInArrow(_families, "toxic int, family long").distinct()
+    total = {r["toxic"]: r["count"] for r in families.groupBy("toxic").count().collect()}
+    counted = (
+        labelled.mapInArrow(_term_rows, "toxic int, kind int, term string, family long")
         .distinct()
         .groupBy("kind", "term")
-        .count()
-        .filter(F.col("count") >= SUPPORT)
-        # Bounded: the best supported terms of each kind.
-        .orderBy(F.desc("count"), "kind", "term")
-        .limit(terms * (1 + len(_BEGINNINGS)))
-        .collect()
+        .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+        .filter(F.col("toxic") >= SUPPORT)
     )
-    support = {(r["kind"], r["term"]): r["count"] for r in candidates}
-    wanted = {k: {t for kind, t in support if kind == k} for k in (0, *_BEGINNINGS)}
-
-    def clean_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                distinct, _ = _terms(text)
-                seen.update((0, w) for w in distinct & wanted[0])
-                for size in _BEGINNINGS:
-                    seen.update((size, w) for w in {w[:size] for w in distinct} & wanted[size])
-        yield pa.RecordBatch.from_pylist(
-            [{"kind": k, "term": t, "n": n} for (k, t), n in seen.items()],
-            pa.schema([("kind", pa.int32()), ("term", pa.string()), ("n", pa.int64())]),
-        )
-
-    usual = {
-        (r["kind"], r["term"]): r["n"]
-        for r in sample.filter("toxic = 0")
-        .select("text")
-        .mapInArrow(clean_counts, "kind int, term string, n long")
-        .groupBy("kind", "term")
-        .agg(F.sum("n").alias("n"))
-        .collect()
-    }
-    for (kind, term), n in support.items():
-        if n / toxic >= LIFT * usual.get((kind, term), 0) / max(1, clean):
-            if kind:
-                model.starts[kind][term] = shard(term, 2)
+    # Bounded: the best supported terms of each kind.
+    best = counted.orderBy(F.desc("toxic"), "kind", "term").limit(terms * (1 + len(_BEGINNINGS)))
+    for row in best.collect():
+        if row["toxic"] / total[1] >= LIFT * row["clean"] / total[0]:
+            if row["kind"]:
+                model.starts[row["kind"]][row["term"]] = shard(row["term"], 2)
             else:
-                model.words[term] = shard(term, SHARDS)
+                model.words[row["term"]] = shard(row["term"], SHARDS)
     return model
 
 
@@ -277,7 +264,7 @@ def fit(
     rows, clean, toxic = _sampled(texts, labels, sample)
     if not clean or not toxic:
         return Model(prior=toxic / max(1, toxic + clean))
-    model = _learn_lexicons(rows, clean, toxic, terms)
+    model = _learn_lexicons(rows, terms)
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()

@@ -58,3 +58,24 @@ def test_label_model_finds_accuracies_and_correlations():
     prior, found, weights, correlations = toxicity.label_model(patterns.astype(float), counts.astype(float))
     assert abs(prior - 0.2) < 0.02 and np.abs(found[1] - 0.7).max() < 0.05
     assert correlations[1][0, 1] > 0.9 and weights[0] < 0.8 * weights[2]
+
+
+def labelled(spark, docs_of, texts):
+    """Documents and labels from (text, toxic), with ids whose labels are learned from."""
+    free = [i for i in range(3 * len(texts)) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, t, y) for i, (t, y) in zip(free, texts, strict=False)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    return docs_of([(i, t) for i, t, _ in rows]), labels
+
+
+def test_copies_do_not_change_the_lexicon(spark, docs_of):
+    rng = np.random.default_rng(3)
+    plain = lambda: " ".join(f"w{k}" for k in rng.integers(0, 5000, 12))
+    texts = [(plain(), 0) for _ in range(59)] + [(f"{plain()} scum", 0)]
+    texts += [(f"{plain()} scum", 1) for _ in range(8)] + [(f"{plain()} vile", 1) for _ in range(22)]
+    one = toxicity.fit(*labelled(spark, docs_of, texts))
+    assert {"scum", "vile"} <= one.words.keys()
+    clean = toxicity.fit(*labelled(spark, docs_of, texts + [(texts[59][0], 0)] * 45))
+    toxic = toxicity.fit(*labelled(spark, docs_of, texts + [(texts[-1][0], 1)] * 45))
+    assert clean.words == toxic.words == one.words
+    assert clean.starts == toxic.starts == one.starts
