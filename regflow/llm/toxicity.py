@@ -36,7 +36,8 @@ ship_by_value(__name__)
 
 #: At most so many labelled rows, those with the smallest hashes of their ids, are learned from.
 SAMPLE = 20_000
-#: At most so many words or beginnings in a lexicon, the best supported.
+#: At most so many words, and so many beginnings of each length, in a lexicon: the best
+#: supported of those that pass the test of lift.
 TERMS = 20_000
 #: A term needs this many families of toxic documents, and to be this many times as frequent
 #: among families of toxic documents as among those of others.
@@ -183,14 +184,13 @@ def _learn_lexicons(sample: DataFrame, terms: int) -> Model:
         .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
         .filter(F.col("toxic") >= SUPPORT)
     )
-    # Bounded: the best supported terms of each kind.
-    best = counted.orderBy(F.desc("toxic"), "kind", "term").limit(terms * (1 + len(_BEGINNINGS)))
-    for row in best.collect():
-        if row["toxic"] / total[1] >= LIFT * row["clean"] / total[0]:
-            if row["kind"]:
-                model.starts[row["kind"]][row["term"]] = shard(row["term"], 2)
-            else:
-                model.words[row["term"]] = shard(row["term"], SHARDS)
+    lift = F.col("toxic") / total[1] >= LIFT * F.col("clean") / total[0]
+    marks = checkpointed(counted.filter(lift))
+    for kind in (0, *_BEGINNINGS):
+        # Bounded: the best supported terms of each kind.
+        best = marks.filter(F.col("kind") == kind).orderBy(F.desc("toxic"), "term").limit(terms)
+        lexicon, shards = (model.starts[kind], 2) if kind else (model.words, SHARDS)
+        lexicon.update((r["term"], shard(r["term"], shards)) for r in best.select("term").collect())
     return model
 
 

@@ -79,3 +79,13 @@ def test_copies_do_not_change_the_lexicon(spark, docs_of):
     toxic = toxicity.fit(*labelled(spark, docs_of, texts + [(texts[-1][0], 1)] * 45))
     assert clean.words == toxic.words == one.words
     assert clean.starts == toxic.starts == one.starts
+
+
+def test_frequent_words_do_not_use_up_the_lexicon(spark, docs_of):
+    rng = np.random.default_rng(4)
+    plain = lambda: " ".join(f"w{k:03}ab" for k in rng.permutation(40)[:30])
+    texts = [(plain(), 0) for _ in range(60)]
+    texts += [(f"{plain()} {('scum', 'vile', 'filth')[k % 3]}", 1) for k in range(30)]
+    model = toxicity.fit(*labelled(spark, docs_of, texts), terms=3)
+    assert model.words.keys() == {"scum", "vile", "filth"}
+    assert model.starts[4].keys() == {"scum", "vile", "filt"} and model.starts[5].keys() == {"filth"}
