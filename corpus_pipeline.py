@@ -7,7 +7,7 @@ columns of `documents`. A null id is an id of its own, equal to other nulls.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regflow.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
@@ -19,14 +19,25 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean_rows(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def _id_keys(name: str) -> list[Column]:
+    """Two columns that are never null and agree only for equal ids, null being one of them."""
+    column = F.col(name)
+    return [F.coalesce(column, F.lit(0)).alias("_id"), column.isNull().alias("_no_id")]
+
+
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id stays."""
+    """Of equal texts, one row stays: a row with the largest id, or with a null id if all ids
+    are null. Which of several rows with that id and text it is makes no difference."""
     kept = exact_dedup.exact_duplicates(docs).filter("kept").select(
-        F.col("doc_id").alias("kept_id"), "text_sha256"
+        F.col("text_sha256").alias("_digest"), *_id_keys("doc_id")
     )
-    digest = F.sha2(ascii_lower(whole_text("text")), 256)
-    same = digest.eqNullSafe(kept["text_sha256"]) & docs["doc_id"].eqNullSafe(kept["kept_id"])
-    return docs.join(kept, same, "left_semi")
+    keys = kept.columns
+    keyed = docs.withColumns(
+        {"_digest": F.sha2(ascii_lower(whole_text("text")), 256), **dict(zip(keys[1:], _id_keys("doc_id"), strict=True))}
+    )
+    # Repeated rows meet before the join, combined on the map side, and the join keeps their
+    # exchange.
+    return keyed.dropDuplicates(keys).join(kept, keys, "left_semi").select(docs.columns)
 
 
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,16 +48,12 @@ def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = (
-        mixing.mix(docs)
-        .groupBy(F.col("doc_id").alias("taken_id"))
-        .agg(F.max("copies").alias("copies"))
-        .filter("copies > 0")
-    )
+    """Each row as often as the mix takes it: not at all, once or twice."""
+    # Written once, so that a row has the same key in the mix and here, whatever its id.
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    taken = mixing.mix(keyed, row_col="_row").filter("copies > 0").select("_row", "copies")
     times = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("time")
-    found = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"]))
-    return found.select(*(docs[c] for c in docs.columns), times).drop("time")
+    return keyed.join(taken, "_row").select(*docs.columns, times).drop("time")
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

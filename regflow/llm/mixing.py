@@ -192,22 +192,26 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken.
+    """One row per document: doc_id, size, source_size, target, copies, taken, and the column
+    `row_col`, if named, which tells rows apart that repeat an id.
 
     `size` counts words (0 for a null text), `copies` is 0 to `limit`, and `taken` is
     size * copies. A source without words has target 0, and its documents take 0 words. A null
     source is a source of its own, ranked last. The choice among documents of one length goes
     by a hash of the id and the seed, so reruns agree; rows that repeat an id share its hash,
     and which of such equal rows is taken makes no difference. An empty table gives an empty
-    result; columns other than the three named are not read.
+    result; columns other than those named are not read.
     """
     salted = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    row = [row_col] if row_col else []
     rows = checkpointed(
         docs.select(
             F.col(f"`{id_col}`").cast("long").alias("doc_id"),
             source_key(F.col(f"`{source_col}`")).alias("key"),
             word_count(whole_text(f"`{text_col}`")).alias("size"),
+            *row,
         ).withColumn("bucket", F.pmod(salted, F.lit(BUCKETS)).cast("int"))
     )
     cell = ["key", "size", "bucket"]
@@ -232,11 +236,11 @@ def mix(
     )
     # Buckets of which more than none and fewer than all is taken: one per length at most.
     at_cut = rows.join(cut.filter("n > 0 AND n < docs"), cell)
-    order = Window.partitionBy(*cell).orderBy(salted, "doc_id")
+    order = Window.partitionBy(*cell).orderBy(salted, "doc_id", *row)
     at_cut = at_cut.withColumn("extra", (F.row_number().over(order) <= F.col("n")).cast("int"))
     clear = rows.join(cut.filter("n = 0 OR n = docs"), cell)
     clear = clear.withColumn("extra", (F.col("n") > 0).cast("int"))
-    columns = ["doc_id", "key", "size", "whole", "extra"]
+    columns = ["doc_id", "key", "size", "whole", "extra", *row]
     chosen = clear.select(columns).union(at_cut.select(columns))
     copies = (F.col("whole") + F.col("extra")).cast("int")
     return chosen.join(goals, "key").select(
@@ -246,4 +250,5 @@ def mix(
         "target",
         copies.alias("copies"),
         (F.col("size") * copies).cast("long").alias("taken"),
+        *row,
     )

@@ -84,3 +84,28 @@ def test_run_and_odd_rows(spark, corpus, tmp_path):
         for _, stage in cp.STAGES:
             docs = stage(spark, docs, folder)
         docs.collect()
+
+
+def test_repeated_and_null_ids(spark, corpus):
+    folder, _ = corpus
+    rows = [(5, "a b"), (5, "a b"), (4, "A b"), (None, "a b"), (None, "c d"), (None, "C D"), (5, "other"), (None, ""), (None, None), (0, "z"), (None, "z")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 3) for i, t in rows], SCHEMA)
+    got = Counter((r.doc_id, (r.text or "").lower()) for r in cp.distinct(spark, docs, folder).collect())
+    assert got == Counter([(5, "a b"), (None, "c d"), (5, "other"), (None, ""), (0, "z")])
+
+
+def test_rows_that_share_an_id_keep_to_the_target(spark, corpus):
+    folder, _ = corpus
+    rng = random.Random(5)
+    texts = [" ".join("w" for _ in range(rng.randrange(1, 30))) for _ in range(240)]
+    rows = [((None, 7, i)[i % 3], t, "en", f"s{i % 4}", 3) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got, sizes, taken = collected(cp.mixed(spark, docs, folder)), Counter(), Counter()
+    for r in rows:
+        sizes[r[3]] += len(r[1].split())
+    for r, n in got.items():
+        taken[r[3]] += n * len(r[1].split())
+    held = Counter(rows)
+    assert all(n <= 2 * held[r] for r, n in got.items())
+    for source, goal in goals_of(sizes).items():
+        assert abs(taken[source] - goal) <= 3
