@@ -5,7 +5,11 @@ list items, table parts and options, rows and table bodies around loose cells, a
 before the table for text that stands between its cells. A renderer then walks the tree the
 way a page is laid out: hidden parts are left out, blocks start on new lines with blank lines
 where margins would be, list items get bullets or numbers and indentation, preformatted text
-keeps its blanks, and table cells are aligned in columns.
+keeps its blanks, and table cells are aligned in columns. Of drawings (svg) the text elements
+are shown, of formulas (math) all but annotations.
+
+Exceptions: elements nested deeper than `DEPTH` lose their own kind, so that hidden ones there
+are shown, and texts of a drawing that itself lies that deep are not.
 """
 
 from __future__ import annotations
@@ -34,23 +38,25 @@ _RAW = frozenset("script style xmp iframe noembed noframes".split())
 _TEXT_ONLY = frozenset("title textarea".split())
 _NOT_SHOWN = frozenset(
     "head title script style template noscript noembed noframes iframe object audio video canvas "
-    "svg math datalist param source track meta link base col colgroup area".split()
+    "datalist param source track meta link base col colgroup area annotation annotation-xml".split()
 )
-_MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl figure hr fieldset table ul ol menu".split())
+_MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl figure hr fieldset table ul ol menu xmp".split())
 _BLOCK = _MARGIN | frozenset(
     "address article aside body center dd details dialog dir div dt fieldset figcaption footer "
     "form header hgroup html legend li main nav optgroup option search section summary caption "
-    "thead tbody tfoot tr td th".split()
+    "thead tbody tfoot tr td th mtr".split()
 )
 _ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section "
-    "summary table ul dd dt".split()
+    "summary table ul dd dt xmp".split()
 )
 _SCOPE = frozenset("html table td th caption button object template".split())
 _CELLS = frozenset(("td", "th"))
 _SECTIONS = frozenset("thead tbody tfoot".split())
 _TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
+#: Parts of a drawing that are not drawn where they stand.
+_NOT_DRAWN = frozenset("defs symbol clippath mask pattern marker lineargradient radialgradient filter metadata desc".split())
 #: What a head and a column group hold; anything else ends them.
 _IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 _IN_COLUMNS = frozenset(("col", "template"))
@@ -132,11 +138,18 @@ class TreeBuilder:
             self.end(tag)
             return after
         self.start(tag, attributes)
+        if html[after - 2] == "/" and (self.open.get("svg") or self.open.get("math")):
+            # Drawings and formulas have elements that end where they start.
+            if tag not in _VOID:
+                self.end(tag)
+            return after
         if tag in _RAW or tag in _TEXT_ONLY:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, after)
             content = html[after : close.start() if close else size]
             if tag in _TEXT_ONLY:
                 self.text(content)
+            elif tag == "xmp":
+                self.stack[-1].children.append(content)
             self.end(tag)
             if not close:
                 return size
@@ -340,6 +353,11 @@ class Renderer:
             elif self.lines:
                 self.margin = max(self.margin, 1)
             return
+        if tag == "svg":
+            self._drawing(node, hidden)
+            return
+        if tag == "mtd":
+            self.text(" ")
         if tag not in _BLOCK:
             self.children(node, hidden)
             return
@@ -361,10 +379,10 @@ class Renderer:
             self.children(node, hidden)
             self.close()
             self.indent.pop()
-        elif tag == "pre":
+        elif tag in ("pre", "xmp"):
             self.pre += 1
             first = node.children[0] if node.children else None
-            if isinstance(first, str) and first[:1] == "\n":
+            if tag == "pre" and isinstance(first, str) and first[:1] == "\n":
                 node.children[0] = first[1:]
             self.children(node, hidden)
             self.close()
@@ -373,6 +391,23 @@ class Renderer:
             self.children(node, hidden)
         self.block(margin)
 
+    def _drawing(self, node: Node, hidden: bool) -> None:
+        """The texts of a drawing and the pages in it, each on lines of its own."""
+        for child in node.children:
+            if isinstance(child, str) or child.tag in _NOT_SHOWN | _NOT_DRAWN or _gone(child):
+                continue
+            given = child.attributes
+            if given.get("display") == "none":
+                continue
+            seen = _VISIBILITY.findall(given.get("style", "")) or [given.get("visibility", "")]
+            veiled = seen[-1].lower() != "visible" if seen[-1] else hidden
+            if child.tag in ("text", "foreignobject"):
+                self.block(0)
+                self.children(child, veiled)
+                self.block(0)
+            else:
+                self._drawing(child, veiled)
+
     def _list(self, node: Node, hidden: bool) -> None:
         number = _number(node.attributes.get("start"), 1, 10**9)
         for child in node.children:

@@ -119,3 +119,19 @@ def test_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, html string, text string, id int")
     assert sorted(map(tuple, extract_text(pages).collect()), key=str) == [(1, "a"), (1, "a"), (None, "")]
     assert extract_text(pages.limit(0)).count() == 0
+
+
+SHOWN = [
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> b", "a x=2 b"),
+    ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr><mtr><mtd>3</mtd></mtr></mtable></math>", "1 2\n3"),
+    ("a<svg><title>no</title><defs><text>no</text></defs><path d='M0'/><g><text x=1>one <tspan>two</tspan></text></g>no<text>three</text></svg>b", "a\none two\nthree\nb"),
+    ("<svg><defs/><title/><text>yes</text><text visibility='hidden'>no</text></svg>", "yes"),
+    ("<a><svg><path/></svg> link</a>", "link"),
+    ("a<xmp><b>x</b> &amp;\n  y</xmp>b", "a\n\n<b>x</b> &amp;\n  y\n\nb"),
+    ("<table><tr><xmp>loose</xmp><svg><text>t</text></svg><td>x</table>", "loose\n\nt\n\nx"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), SHOWN)
+def test_formulas_drawings_and_xmp(html, text):
+    assert text_of(html) == text
