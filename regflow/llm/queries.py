@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regflow.llm import bpe, embedding_dedup, exact_dedup, html_text, mixing, ngram_join, pii, secret_scan, toxicity, warc
+from regflow.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    fuzzy_hash,
+    html_text,
+    importance,
+    merkle,
+    mixing,
+    ngram_join,
+    pii,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from regflow.llm.common import fresh_path, table
 
 
@@ -91,6 +105,27 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, vocabulary))
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fuzzy_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy_hash.compare_with_edits(table(spark, folder, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = merkle.manifest(table(spark, folder, "documents"))
+    tampered = F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 0
+    leaf = F.when(tampered, F.col("altered")).otherwise(F.col("leaf"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(merkle.hex_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")),
+        merkle.proof_digest().alias("proof_sha256"),
+        merkle.hex_text(merkle.folded_root(leaf)).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -102,6 +137,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_text": op9_html_text,
     "op10_bpe": op10_bpe,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_fuzzy_hash": op12_fuzzy_hash,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _OP2_SQL = """
