@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from regflow.functions.dates import try_report_date
+from regflow.operators import versions
 from regflow.operators.keys import anti_join
 from regflow.schema import Grain
 from regflow.session import remove_path, work_path
@@ -54,29 +54,22 @@ def fact_schema(grain: Grain) -> str:
     return f"{text}, inserted_at timestamp, {PERIOD} date"
 
 
-def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Stored table with its declared types; empty before the first load."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def read_fact(spark: SparkSession, path: str, grain: Grain) -> DataFrame:
-    return read_stored(spark, path, fact_schema(grain))
+    """A stored fact table as its newest load left it; empty before the first."""
+    return versions.read(spark, path, PERIOD, fact_schema(grain))
 
 
 @contextmanager
 def set_aside(frame: DataFrame, label: str) -> Iterator[DataFrame]:
     """The frame, written to the shared work folder and read back. The folder goes when the
-    block ends without an error."""
+    block ends."""
     spark = frame.sparkSession
     path = work_path(spark, label)
-    frame.write.parquet(path)
-    yield spark.read.schema(frame.schema).parquet(path)
-    remove_path(spark, path)
+    try:
+        frame.write.parquet(path)
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
 
 
 def merge_partitions(
@@ -87,22 +80,29 @@ def merge_partitions(
 ) -> int:
     """Merge rows into a stored table, partition by partition; returns their number.
 
-    `fresh` decides which partitions are read and rewritten. The merged rows go to the
-    shared work folder before the overwrite. So the overwrite reads no file that it
-    replaces, and a job that fails half way can be run again.
+    `fresh` decides which partitions are read and rewritten. All of them change in one step
+    (`versions`), so a reader or a job that fails half way sees the old table whole. Merged with
+    nothing, the new rows stay as they are: a first load writes them once, and does not merge.
     """
+    spark = fresh.sparkSession
+    if not versions.current(spark, path, partition).parts:
+        return _first_load(path, fresh, partition)
     with set_aside(fresh, "fresh") as rows:
         return _merge_stored(path, rows, partition, merge)
 
 
-def touched_partitions(stored: DataFrame, fresh: DataFrame, partition: str) -> DataFrame:
-    """Stored rows in the partitions of `fresh`. The values are literals of a partition
-    filter, so no other partition is listed or read; there are no more of them than
-    partitions to rewrite, which the driver lists in any case."""
-    values = [row[0] for row in fresh.select(partition).distinct().collect()]
-    key = F.col(partition)
-    wanted = key.isin([v for v in values if v is not None])
-    return stored.filter(wanted | key.isNull() if None in values else wanted)
+def _first_load(path: str, fresh: DataFrame, partition: str) -> int:
+    numbers = Observation()
+    base = versions.current(fresh.sparkSession, path, partition)
+    versions.replace(fresh.observe(numbers, F.count("*").alias("rows")), path, partition, base)
+    return numbers.get["rows"]
+
+
+def touched_partitions(fresh: DataFrame, partition: str) -> list[str]:
+    """The partition folders that rows belong to. There are no more of them than partitions to
+    rewrite, which the driver lists in any case."""
+    values = fresh.select(partition).distinct().collect()
+    return [versions.part_name(partition, row[0]) for row in values]
 
 
 def _merge_stored(
@@ -115,16 +115,10 @@ def _merge_stored(
     rows = fresh.count()
     if rows == 0:
         return 0
-    current = touched_partitions(read_stored(spark, path, fresh.schema), fresh, partition)
-    with set_aside(merge(current, fresh), "merged") as merged:
-        # The rebalance hint writes few files per partition value and splits a large one.
-        (
-            merged.hint("rebalance", partition)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(path)
-        )
+    base = versions.current(spark, path, partition)
+    touched = touched_partitions(fresh, partition)
+    old = versions.read(spark, path, partition, fresh.schema, base, touched)
+    versions.replace(merge(old, fresh), path, partition, base, touched)
     return rows
 
 

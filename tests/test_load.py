@@ -50,6 +50,9 @@ def test_csv_round_trip(spark, tmp_path):
     assert [tuple(r) for r in rows.orderBy("date").collect()] == [
         ("01/06/2026", "Telangana", "MOTOR CAR"), ("02/06/2026", None, 'a "q",\nb'),
     ]
+    for size in (1, 7, 30, 1000):
+        split = staging.read_csv_stage(spark, str(path), split=size)
+        assert sorted(map(str, split.collect())) == sorted(map(str, rows.collect()))
     path.write_text("date,state,vehicle_class\n")
     assert staging.read_csv_stage(spark, str(path)).count() == 0
     with pytest.raises(FileNotFoundError, match="no CSV at"):
@@ -78,12 +81,12 @@ def test_stored_fact_rewrites_only_touched_periods(spark, tmp_path):
     bad = KEYS["state"] | {"date": "no date"}
     first = fact_rows(spark, STATE, [june | {"total": "1"}, may | {"total": "2"}, bad | {"total": "9"}])
     assert load.load_fact(path, first, STATE) == 3
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("period=2026-05-01/*.parquet")}
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("load=*/period=2026-05-01/*.parquet")}
     again = fact_rows(spark, STATE, [june | {"total": "7"}, june | {"vehicle_class": "CAR", "total": "8"}])
     assert load.load_fact(path, again, STATE) == 2
     totals = sorted(r.total for r in load.read_fact(spark, path, STATE).collect())
     assert totals == ["2", "7", "8", "9"]
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("period=2026-05-01/*.parquet")}
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").glob("load=*/period=2026-05-01/*.parquet")}
     assert before and before == after
     assert load.load_fact(path, again.limit(0), STATE) == 0
     assert load.load_fact(path, bad_stage := fact_rows(spark, STATE, [bad | {"total": "3"}]), STATE) == 1
