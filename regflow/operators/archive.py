@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regflow.schema import MONTHS
 from regflow.session import ship_by_value
 from regflow.sources.reports import path_piece
-
+from regflow.sources.store import Store, open_store
 
 ship_by_value(__name__)
 
@@ -42,24 +43,57 @@ def pick_csv(files: DataFrame, prefix: Column, by: str, name: str = "name") -> D
     return files.groupBy(by).agg(F.min(F.when(matching, F.col(name))).alias("csv_name"))
 
 
-def copy_files(files: DataFrame, root: str, target: str) -> int:
-    """Copy files (path, content) below `target` from the executors; returns their number.
+#: Bytes that a copy holds at a time.
+CHUNK = 4 << 20
 
-    An object is overwritten, so a task that runs again does no harm.
-    """
 
-    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+def _digest(stream, sink=None) -> tuple[str, int]:
+    """SHA-256 and length of a stream, which goes on to `sink` chunk by chunk."""
+    found, length = hashlib.sha256(), 0
+    while chunk := stream.read(CHUNK):
+        found.update(chunk)
+        length += len(chunk)
+        if sink is not None:
+            sink.write(chunk)
+    return found.hexdigest(), length
+
+
+def copy_listed(files: DataFrame, root: str, target: str) -> DataFrame:
+    """Copy listed files (path) from below `root` to below `target`: path, object_name, length, sha256.
+
+    The tasks stream each file in chunks and read the copy again: one whose length
+    or digest differs fails the job. An object is overwritten, so a task that runs again does no
+    harm. The copies are made whenever the result is computed.
+    """
 
-        store, base = fs.FileSystem.from_uri(target)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Store(root)
+        goals, base = open_store(target)
         for batch in batches:
-            for name, content in zip(batch["object_name"], batch["content"]):
+            paths = batch.column("path").to_pylist()
+            names = [path[len(store.root) + 1 :] for path in paths]
+            done = []
+            for path, name in zip(paths, names, strict=True):
                 goal = f"{base.rstrip('/')}/{name}"
-                store.create_dir(goal.rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(goal) as stream:
-                    stream.write(content)
-            yield pd.DataFrame({"copied": [len(batch)]})
-
-    named = files.select(object_name(F.col("path"), root).alias("object_name"), "content")
-    copied = named.mapInPandas(copy, "copied long").agg(F.sum("copied"))
-    return copied.first()[0] or 0
+                goals.create_dir(goal.rsplit("/", 1)[0], recursive=True)
+                with store.files.open_input_stream(store.inner(path)) as source:
+                    with goals.open_output_stream(goal) as sink:
+                        read = _digest(source, sink)
+                with goals.open_input_stream(goal) as copy:
+                    written = _digest(copy)
+                if read != written:
+                    raise OSError(f"the copy of {path} differs: {read} and {written}")
+                done.append(read)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(paths, pa.string()),
+                    pa.array(names, pa.string()),
+                    pa.array([length for _, length in done], pa.int64()),
+                    pa.array([digest for digest, _ in done], pa.string()),
+                ],
+                names=["path", "object_name", "length", "sha256"],
+            )
+
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = files.select("path").repartition(tasks, "path")
+    return spread.mapInArrow(run, "path string, object_name string, length long, sha256 string")

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regflow.functions import dates
 from regflow.schema import (
     CLASS_HEADERS,
     DEFAULT_DIMENSION,
+    LABEL_HEADER,
     LEGACY_TOTAL_FALLBACK,
     LEGACY_TOTAL_HEADER,
+    MEASURE_HEADERS,
     STATE_SPELLINGS,
+    TOTAL_HEADER,
     Grain,
 )
 from regflow.sources.dimensions import normalized_mapping
@@ -45,6 +48,39 @@ def unexpected_columns(rows: DataFrame, grain: Grain) -> DataFrame:
     return headers.filter(~F.col("header").isin(*grain.rename_map)).distinct()
 
 
+def header_drift(rows: DataFrame, grain: Grain, by: Sequence[str] = ()) -> DataFrame:
+    """How the headers of non-empty reports differ from the known ones: kind, header, reports.
+
+    Kinds are `absent` (a known column that a report lacks, which turns NULL), `unknown` (a
+    column that is dropped) and `moved total` (the last blank header of a report without one at the total's
+    place). One aggregation over the first row of each report; `by` splits the counts.
+    """
+    known = F.array(*[F.lit(h) for h in (LABEL_HEADER, *MEASURE_HEADERS)])
+    headers = F.map_keys("cells")
+    unknown = F.filter(headers, lambda h: ~h.isin(*grain.rename_map))
+    place = F.array_max(
+        F.transform(
+            F.filter(unknown, lambda h: h.rlike("^Unnamed: [0-9]+$")),
+            lambda h: F.substring(h, len("Unnamed: ") + 1, 9).cast("int"),
+        )
+    )
+    moved = ~F.array_contains(headers, TOTAL_HEADER) & place.isNotNull()
+    total = F.concat(F.lit("Unnamed: "), place.cast("string"))
+
+    def kind(name: str, found: Column) -> Column:
+        return F.transform(found, lambda h: F.struct(F.lit(name).alias("kind"), h.alias("header")))
+
+    # Blank headers inside a report stand for fuels that it leaves out.
+    named = F.filter(unknown, lambda h: ~h.rlike("^Unnamed: [0-9]+$"))
+    found = F.concat(
+        kind("absent", F.array_except(known, headers)),
+        kind("unknown", named),
+        kind("moved total", F.when(moved, F.array(total)).otherwise(F.array().cast("array<string>"))),
+    )
+    drift = rows.filter("row_no = 0").select(*by, F.explode(found).alias("drift")).select(*by, "drift.*")
+    return drift.groupBy(*by, "kind", "header").agg(F.count("*").alias("reports"))
+
+
 def enrich_class(reports: DataFrame, mapping: DataFrame, grain: Grain) -> DataFrame:
     """Left join to the vehicle-class mapping.
 

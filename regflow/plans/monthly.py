@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,10 @@ from regflow.schema import (
 )
 from regflow.sources.reports import (
     path_piece,
-    read_workbooks,
-    report_glob,
-    scan_files,
+    read_listed,
     widen,
 )
+from regflow.sources.tree import in_months, list_folder, list_reports
 
 
 def preprocess(reports: DataFrame, mapping: DataFrame, grain: Grain) -> DataFrame:
@@ -51,8 +51,8 @@ def preprocess_tree(
     states: Sequence[str] | None = None,
 ) -> DataFrame:
     """One month of a report tree. Without reports the frame is empty, with all columns."""
-    files = scan_files(spark, report_glob(root, grain, [year], [month], states))
-    return preprocess_rows(read_workbooks(files), mapping, grain)
+    files = list_reports(spark, root, grain, [year], [month], states)
+    return preprocess_rows(read_listed(files, root), mapping, grain)
 
 
 @dataclass(frozen=True)
@@ -159,5 +159,59 @@ def history_state_preprocess(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def history_state_tree(spark: SparkSession, pattern: str, mapping: DataFrame) -> DataFrame:
-    return history_state_preprocess(read_workbooks(scan_files(spark, pattern)), mapping)
+def history_state_tree(
+    spark: SparkSession, root: str, mapping: DataFrame, pattern: str = "*.xlsx"
+) -> DataFrame:
+    """The legacy state files below a folder; an invalid one, such as one of zero length, fails."""
+    return history_state_preprocess(read_listed(list_folder(spark, root, pattern), root), mapping)
+
+
+_UNIT = ["State", "Year", "Month"]
+
+
+def load_history(
+    spark: SparkSession,
+    root: str,
+    mapping: DataFrame,
+    fact_path: str,
+    grain: Grain,
+    months: Sequence[tuple[str, str]],
+    states: Sequence[str] | None = None,
+    journal: str | None = None,
+) -> tuple[int, int]:
+    """Load the reports of a range of (year, month label) pairs in one upsert; returns the numbers of
+    state months and of rows loaded.
+
+    Only folders of the range are listed and only their files are opened, so that broken ones elsewhere
+    do no harm. With a journal, a folder, state months whose files have the same
+    paths, lengths and times as when they were loaded are left out; months that fail are not noted,
+    and run again.
+    """
+    listed = list_reports(spark, root, grain, sorted({y for y, _ in months}), sorted({m for _, m in months}), states)
+    listed = in_months(listed, months)
+    mark = F.xxhash64("path", "length", "modified").cast("decimal(20,0)")
+    units = listed.groupBy(*_UNIT).agg(F.count("*").alias("files"), F.sum(mark).alias("mark"))
+    with load.set_aside(listed, "listed") as files, load.set_aside(units, "units") as found:
+        todo = found.withColumn("grain", F.lit(grain.name))
+        if journal:
+            done = _read_journal(spark, journal, todo.schema)
+            todo = todo.join(done, todo.columns, "left_anti")
+        with load.set_aside(todo, "todo") as chosen:
+            count = chosen.count()
+            if not count:
+                return 0, 0
+            wanted = files.join(chosen, _UNIT, "left_semi")
+            frame = preprocess_rows(read_listed(wanted, root), mapping, grain)
+            rows = load.load_fact(fact_path, load.stage_load(frame, grain.columns), grain)
+            if journal:
+                chosen.coalesce(1).write.mode("append").parquet(journal)
+    return count, rows
+
+
+def _read_journal(spark: SparkSession, path: str, schema) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

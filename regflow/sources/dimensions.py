@@ -19,10 +19,19 @@ def load_mapping(spark: SparkSession, path: str) -> DataFrame:
     found = scan_files(spark, path)
     if found.select("path").isEmpty():
         raise FileNotFoundError(f"no mapping workbook at {path}")
-    rows = read_workbooks(found, sheet="Mapping", skip=0, drop_first=False)
-    return widen(rows.filter(F.col("row_no").isNotNull()), MAPPING_HEADERS).drop(
-        "path", "row_no"
+    return mapping_rows(found, path)
+
+
+def mapping_rows(files: DataFrame, name: str = "the mapping workbook") -> DataFrame:
+    """The mapping of workbooks (path, content). One without rows would turn every class to the
+    default, so that is an error."""
+    rows = read_workbooks(files, sheet="Mapping", skip=0, drop_first=False)
+    checked = rows.filter(
+        F.when(F.col("row_no").isNotNull(), True).otherwise(
+            F.raise_error(F.lit(f"no rows in sheet Mapping of {name}")).cast("boolean")
+        )
     )
+    return widen(checked, MAPPING_HEADERS).drop("path", "row_no")
 
 
 def normalized_mapping(mapping: DataFrame) -> DataFrame:
@@ -58,3 +67,11 @@ def load_office_map(spark: SparkSession, path: str, strict: bool = False) -> Dat
         if strict:
             raise FileNotFoundError(f"no office file at {path}") from error
         return spark.createDataFrame([], "state string, office_label string")
+
+
+def write_office_map(offices: DataFrame, path: str) -> None:
+    """Rows (state, office_label) as a folder with one JSON document, which `load_office_map` reads
+    again. A map has some thousand labels, however large the reports are."""
+    labels = offices.groupBy("state").agg(F.array_sort(F.collect_list("office_label")).alias("labels"))
+    whole = labels.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("state", "labels"))).alias("m"))
+    whole.select(F.to_json("m").alias("value")).write.mode("overwrite").text(path)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator, Sequence
-from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -14,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regflow.functions import text
-from regflow.schema import HEADER_ROWS_SKIPPED, REPORT_FILE, Grain
+from regflow.schema import HEADER_ROWS_SKIPPED, Grain
 from regflow.session import ship_by_value
+from regflow.sources.store import Store
+from regflow.sources.tree import list_reports
 from regflow.sources.workbook import is_workbook, table_rows
 
 ship_by_value("regflow.sources.workbook")
@@ -36,59 +36,16 @@ FILE_SCHEMA = T.StructType(
 ROW_SCHEMA = "path string, title string, row_no int, cells map<string, string>"
 
 
-def _escape(name: str) -> str:
-    return re.sub(r"([\\{}\[\]*?,^])", r"\\\1", name)
-
-
-def _any_of(names: Iterable[str] | None) -> str:
-    names = [_escape(str(name)) for name in names or []]
-    return "{" + ",".join(names) + "}" if names else "*"
-
-
-def report_glob(
-    root: str,
-    grain: Grain,
-    years: Sequence[str] | None = None,
-    months: Sequence[str] | None = None,
-    states: Sequence[str] | None = None,
-    file_glob: str = REPORT_FILE,
-) -> str:
-    """Path pattern that limits the listing itself to the wanted states and months."""
-    folders = [_any_of(states)] + ["*"] * (len(grain.folders) - 1)
-    return "/".join([root.rstrip("/"), *folders, _any_of(years), _any_of(months), file_glob])
-
-
 def scan_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Files that match, those of zero length included; an empty frame when nothing does.
-
-    Spark's file scans leave out files of zero length. Their names come from the listing
-    the scan already holds, and only the names are compared with what the scan returns.
-    """
+    """The few files of a pattern, such as one workbook, with their content; an empty frame when
+    nothing matches. Files of zero length are left out by Spark; report trees, where these
+    matter, are listed by `tree.list_reports`."""
     try:
-        found = spark.read.format("binaryFile").load(pattern)
+        return spark.read.schema(FILE_SCHEMA).format("binaryFile").load(pattern)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FILE_SCHEMA)
-    names = [(_plain_path(name),) for name in found.inputFiles()]
-    listed = spark.createDataFrame(names, "path string")
-    empty = listed.join(found.select("path"), "path", "left_anti").selectExpr(
-        "path", "cast(null as timestamp) as modificationTime", "0L as length", "X'' as content"
-    )
-    return found.unionByName(empty)
-
-
-def qualified(spark: SparkSession, root: str) -> str:
-    """A root as the `path` column of a scan spells it: scheme and authority included, no
-    slash at the end."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.makeQualified(path).toString().rstrip("/")
-
-
-def _plain_path(uri: str) -> str:
-    """A listed URI as the scan's `path` column spells it."""
-    return re.sub("^file:///", "file:/", unquote(uri))
 
 
 def discover(
@@ -100,10 +57,8 @@ def discover(
     states: Sequence[str] | None = None,
 ) -> DataFrame:
     """Reports of a month with the dimensions their path carries."""
-    pattern = report_glob(
-        root, grain, [year] if year else None, [month] if month else None, states
-    )
-    return path_dimensions(scan_files(spark, pattern), grain)
+    found = list_reports(spark, root, grain, [year] if year else None, [month] if month else None, states)
+    return path_dimensions(found.select("path", "modified", "length"), grain)
 
 
 def path_piece(path: Column, from_end: int) -> Column:
@@ -153,36 +108,86 @@ def with_validity(files: DataFrame) -> DataFrame:
     )
 
 
+def _sheet_rows(sheet: str | None, skip: int, drop_first: bool):
+    """Sheet rows of (path, content) pairs as batches; an invalid file raises."""
+
+    def parse(files: Iterator[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for path, content in files:
+            if not is_workbook(content):
+                raise ValueError(f"Invalid Excel report file: {path}")
+            title, rows = table_rows(content, sheet, skip, drop_first)
+            out += [(path, title, i, list(row.items())) for i, row in enumerate(rows)]
+            if not rows:
+                out.append((path, title, None, None))
+            if len(out) >= _ROWS_PER_BATCH:
+                yield _row_batch(out)
+                out = []
+        if out:
+            yield _row_batch(out)
+
+    return parse
+
+
 def read_workbooks(
     files: DataFrame,
     sheet: str | None = None,
     skip: int = HEADER_ROWS_SKIPPED,
     drop_first: bool = True,
 ) -> DataFrame:
-    """Sheet rows of each file as `ROW_SCHEMA`; an invalid file fails the job.
+    """Sheet rows of each file (path, content) as `ROW_SCHEMA`; an invalid file fails the job.
 
     Cells stay text. They travel as a map, so files with different headers need no
     union and the wide form is a projection without a shuffle.
     """
+    parse = _sheet_rows(sheet, skip, drop_first)
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = zip_pairs(batches, "path", "content")
+        yield from parse((path.as_py(), content.as_py()) for path, content in pairs)
+
+    return files.select("path", "content").mapInArrow(run, ROW_SCHEMA)
+
+
+def zip_pairs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c) for c in columns), strict=True)
+
+
+def _spread(listed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Listed files dealt to tasks by path. Their number is fixed: the rows are small, and the
+    adaptive reader would pack files that take long to read into one task."""
+    tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return listed.select(*columns).repartition(tasks, "path")
+
+
+def read_listed(listed: DataFrame, root: str) -> DataFrame:
+    """Sheet rows of listed files (path), which the tasks read themselves, so that no file's
+    bytes pass through the JVM."""
+    parse = _sheet_rows(None, HEADER_ROWS_SKIPPED, True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Store(root)
+        names = (path.as_py() for (path,) in zip_pairs(batches, "path"))
+        yield from parse((name, store.read(name)) for name in names)
+
+    return _spread(listed, ["path"]).mapInArrow(run, ROW_SCHEMA)
+
+
+def check_listed(listed: DataFrame, root: str) -> DataFrame:
+    """(path, valid) of listed files (path, length): not empty, a zip, and holding the workbook
+    parts. A file of zero length is not opened."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Store(root)
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                path, content = path.as_py(), content.as_py()
-                if not is_workbook(content):
-                    raise ValueError(f"Invalid Excel report file: {path}")
-                title, rows = table_rows(content, sheet, skip, drop_first)
-                out += [(path, title, i, list(row.items())) for i, row in enumerate(rows)]
-                if not rows:
-                    out.append((path, title, None, None))
-                if len(out) >= _ROWS_PER_BATCH:
-                    yield _row_batch(out)
-                    out = []
-        if out:
-            yield _row_batch(out)
+            names, lengths = batch.column("path").to_pylist(), batch.column("length").to_pylist()
+            valid = [bool(n) and is_workbook(store.read(p)) for p, n in zip(names, lengths, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(valid, pa.bool_())], names=["path", "valid"]
+            )
 
-    return files.select("path", "content").mapInArrow(parse, ROW_SCHEMA)
+    return _spread(listed, ["path", "length"]).mapInArrow(run, "path string, valid boolean")
 
 
 def widen(rows: DataFrame, headers: Iterable[str]) -> DataFrame:

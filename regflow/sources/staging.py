@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regflow.functions.dates import month_name
 from regflow.schema import Grain
+from regflow.sources.csv_split import RANGE, read_csv
 
 # Doubled quotes inside quoted text, blanks kept as they are, empty text for NULL.
 _CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -53,15 +55,15 @@ def write_monthly_csvs(frame: DataFrame, folder: str, grain: Grain) -> str:
 
 
 def read_csv_stage(
-    spark: SparkSession, path: str, hint: str = "preprocessing", multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    hint: str = "preprocessing",
+    columns: Sequence[str] | None = None,
+    split: int = RANGE,
 ) -> DataFrame:
-    """Every column as text, blanks as NULL. `multiline=False` lets Spark split large
-    files whose quoted values hold no line breaks."""
-    try:
-        return spark.read.options(**_CSV, multiLine=multiline).csv(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(
-            f"no CSV at {path}; {hint} writes it"
-        ) from error
+    """Every column as text, blanks as NULL. Values may hold line breaks, and files are
+    read in ranges of `split` bytes; `columns` spares looking at a header."""
+    found = read_csv(spark, path, {k: v for k, v in _CSV.items() if k != "header"}, columns, split)
+    if found is None:
+        raise FileNotFoundError(f"no CSV at {path}; {hint} writes it")
+    return found

@@ -1,20 +1,43 @@
-from helpers import as_dicts, save
+import hashlib
+
+import pytest
+from helpers import as_dicts, plan_text, save
 from pyspark.sql import functions as F
 
 from regflow.operators import archive, logs
-from regflow.sources.reports import scan_files
+from regflow.schema import RTO, STATE
+from regflow.sources.tree import list_reports
 
 
 def test_object_names_and_copy(spark, tmp_path):
     source, target = tmp_path / "src", tmp_path / "dst"
-    for name in ("reportTable.xlsx", "reportTable (1).xlsx", "zero.xlsx"):
-        save(source, "Goa/A_G1/2026/JUN", b"" if name == "zero.xlsx" else b"x", name)
-    files = scan_files(spark, f"{source}/*/*/2026/JUN/*.xlsx")
+    bodies = {"reportTable.xlsx": b"x" * (2 * archive.CHUNK + 7), "reportTable (1).xlsx": b"y", "zero.xlsx": b""}
+    for name, body in bodies.items():
+        save(source, "Goa/A_G1/2026/JUN", body, name)
+    files = list_reports(spark, str(source), RTO, pattern="*.xlsx")
     names = {r["object_name"] for r in as_dicts(archive.archive_manifest(files, str(source)))}
-    assert names == {f"Goa/A_G1/2026/JUN/{n}" for n in ("reportTable.xlsx", "reportTable (1).xlsx", "zero.xlsx")}
+    assert names == {f"Goa/A_G1/2026/JUN/{n}" for n in bodies}
     for _ in range(2):  # copying again overwrites
-        assert archive.copy_files(files, str(source), f"file://{target}") == 3
-    assert sorted(p.name for p in target.rglob("*.xlsx")) == sorted(n.rsplit("/", 1)[1] for n in names)
+        copies = archive.copy_listed(files, str(source), f"file://{target}")
+        assert "content" not in plan_text(copies)
+        found = {r.object_name: (r.length, r.sha256) for r in copies.collect()}
+        assert found == {
+            f"Goa/A_G1/2026/JUN/{n}": (len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items()
+        }
+    assert {p.name: p.read_bytes() for p in target.rglob("*.xlsx")} == bodies
+
+
+def test_copy_that_differs_fails(spark, tmp_path):
+    save(tmp_path / "src", "Goa/2026/JUN", b"x")
+    files = list_reports(spark, str(tmp_path / "src"), STATE)
+    # Writing to this device loses everything.
+    (tmp_path / "dst" / "Goa" / "2026" / "JUN").mkdir(parents=True)
+    (tmp_path / "dst" / "Goa" / "2026" / "JUN" / "reportTable.xlsx").symlink_to("/dev/null")
+    with pytest.raises(Exception, match="differs"):
+        archive.copy_listed(files, str(tmp_path / "src"), str(tmp_path / "dst")).collect()
+
+
+def test_object_names_of_other_paths(spark):
     slashed = spark.createDataFrame([("C:\\root\\Goa\\f.xlsx",)], "path string")
     assert slashed.select(archive.object_name(F.col("path"), "C:/root")).first()[0] == "Goa/f.xlsx"
 

@@ -2,13 +2,14 @@ import io
 import zipfile
 
 import pytest
-from helpers import FIVE_ABSENT_COLUMNS, MOTOR_CAR, mapping_frame, report, save
+from helpers import ABSENT, FIVE_ABSENT_COLUMNS, MOTOR_CAR, mapping_frame, plan_text, report, save
 
 from regflow.catalog.adapter import workbook_bytes
 from regflow.operators import conform
 from regflow.plans import monthly
 from regflow.schema import GRAINS, MEASURES, OEM, RTO, STATE
 from regflow.sources import dimensions, reports
+from regflow.sources.tree import list_reports
 from regflow.sources.workbook import is_workbook, table_rows
 
 SHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -95,7 +96,7 @@ def test_preprocess_tree(spark, tmp_path, grain):
 
 def test_total_on_another_position_is_not_guessed(spark, tmp_path):
     save(tmp_path, TREES["state"], report(["MOTOR CAR"], gap=False))
-    rows = reports.read_workbooks(reports.scan_files(spark, f"{tmp_path}/*/*/*/*.xlsx"))
+    rows = reports.read_listed(list_reports(spark, str(tmp_path), STATE), str(tmp_path))
     [row] = monthly.preprocess_rows(rows, mapping_frame(spark, [MOTOR_CAR]), STATE).collect()
     assert row.total is None
     assert [r.header for r in conform.unexpected_columns(rows, STATE).collect()] == ["Unnamed: 33"]
@@ -122,8 +123,8 @@ def test_states_months_and_absent_trees(spark, tmp_path):
 def test_empty_invalid_and_drifting_reports(spark, tmp_path):
     save(tmp_path, "A/2026/JUN", report(["MOTOR CAR", "BUS"], extra=["NEW FUEL"]))
     save(tmp_path, "B/2026/JUN", report([], extra=["ONLY IN EMPTY"]))
-    files = reports.scan_files(spark, f"{tmp_path}/*/2026/JUN/*.xlsx")
-    rows = reports.read_workbooks(files)
+    files = list_reports(spark, str(tmp_path), STATE, ["2026"], ["JUN"])
+    rows = reports.read_listed(files, str(tmp_path))
     blanks = {f"Unnamed: {i}" for i in range(33, 38)}
     headers = {r.header for r in conform.unexpected_columns(rows, STATE).collect()}
     assert headers - blanks == {"NEW FUEL"}
@@ -131,11 +132,29 @@ def test_empty_invalid_and_drifting_reports(spark, tmp_path):
     assert tuple(summary) == ("2026", 2, 1, 2)
 
     save(tmp_path, "C/2026/JUN", b"")
-    files = reports.scan_files(spark, f"{tmp_path}/*/2026/JUN/*.xlsx")
-    valid = reports.with_validity(files).select("valid").collect()
+    files = list_reports(spark, str(tmp_path), STATE, ["2026"], ["JUN"])
+    valid = reports.check_listed(files, str(tmp_path)).select("valid").collect()
     assert sorted(v.valid for v in valid) == [False, True, True]
     with pytest.raises(Exception, match="Invalid Excel report file"):
-        reports.read_workbooks(files).collect()
+        reports.read_listed(files, str(tmp_path)).collect()
+
+
+def test_drift_of_headers(spark, tmp_path):
+    save(tmp_path, "A/2026/JUN", report(["MOTOR CAR", "BUS"], extra=["NEW FUEL"]))
+    save(tmp_path, "B/2026/JUN", report(["MOTOR CAR"], gap=False))
+    save(tmp_path, "C/2026/JUN", report([], extra=["ONLY IN EMPTY"]))
+    root = str(tmp_path)
+    rows = reports.path_dimensions(reports.read_listed(list_reports(spark, root, STATE), root), STATE)
+    drift = {tuple(r) for r in conform.header_drift(rows, STATE).collect()}
+    assert {d for d in drift if d[0] != "absent"} == {("unknown", "NEW FUEL", 1), ("moved total", "Unnamed: 33", 1)}
+    assert {d for d in drift if d[0] == "absent"} == {
+        *(("absent", h, 2) for h in ABSENT), ("absent", "Unnamed: 38", 1),
+    }
+    by_state = conform.header_drift(rows, STATE, ["State"]).filter("kind = 'unknown'").collect()
+    assert [tuple(r) for r in by_state] == [("A", "unknown", "NEW FUEL", 1)]
+    plan = plan_text(conform.header_drift(rows, STATE)).split("== Initial Plan ==")[0]
+    # The exchange of the counts, and that which deals the files to tasks.
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") == 2
 
 
 def test_mapping_workbook_and_office_map(spark, tmp_path):
@@ -143,6 +162,9 @@ def test_mapping_workbook_and_office_map(spark, tmp_path):
     path = tmp_path / "mapping.xlsx"
     path.write_bytes(workbook_bytes(rows, sheet="Mapping"))
     assert [tuple(r) for r in dimensions.load_mapping(spark, str(path)).collect()] == [MOTOR_CAR]
+    path.write_bytes(workbook_bytes(rows[:1], sheet="Mapping"))
+    with pytest.raises(Exception, match="no rows in sheet Mapping"):
+        dimensions.load_mapping(spark, str(path)).collect()
 
     offices = tmp_path / "offices.json"
     offices.write_text('{\n "A": ["x - A1(", "y"],\n "B": []\n}')
@@ -159,10 +181,13 @@ def test_legacy_history_tree(spark, tmp_path):
     body = ["1", "MOTOR CAR", "7", "3", *[None] * 19, "10"]
     (tmp_path / "one.xlsx").write_bytes(workbook_bytes([[title], [], [], head, body]))
     mapping = mapping_frame(spark, [MOTOR_CAR])
-    [row] = monthly.history_state_tree(spark, f"{tmp_path}/*.xlsx", mapping).collect()
+    [row] = monthly.history_state_tree(spark, str(tmp_path), mapping).collect()
     assert (row.state, row.year, row.month, row.date) == (
         "Andaman and Nicobar", "2015", 6, "01/06/2015",
     )
     assert (row.diesel, row.electric_vehicles, row.pure_ev, row.ethanol) == ("7", "3", "0", None)
     # The total sat at position 23 before three EV columns were added.
     assert row.total == "10" and row.vehicle_type == "Passenger"
+    (tmp_path / "two.xlsx").write_bytes(b"")
+    with pytest.raises(Exception, match="Invalid Excel report file"):
+        monthly.history_state_tree(spark, str(tmp_path), mapping).collect()
