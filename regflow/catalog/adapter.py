@@ -23,6 +23,7 @@ from regflow.schema import (
     FUEL_HEADERS,
     GRAINS,
     LABEL_HEADER,
+    MAPPING_HEADERS,
     REPORT_FILE,
     STATES,
     TOTAL_HEADER,
@@ -156,16 +157,24 @@ def _cells(pick: str) -> list[Column]:
 
 
 def raw_reports(
-    spark: SparkSession, sf: str, grain: Grain, pick: str = "max", since: str | None = None
+    spark: SparkSession,
+    sf: str,
+    grain: Grain,
+    pick: str = "max",
+    since: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
-    """Wide report rows as text, with the path of their report.
+    """Wide report rows as text, with the path of their report; `since` and `until`, the first day
+    that does not count, limit what is read, as a listing of some months would.
 
-    One aggregation that combines on the map side; the supplier's name and state are
-    joined to the aggregated rows.
+    One aggregation that combines on the map side. At the office grain the office is joined to
+    the aggregated rows, else the supplier's nation to the lines.
     """
     lines = table(spark, sf, "lineitem")
     if since:
         lines = lines.filter(f"l_shipdate >= timestamp_ntz'{since} 00:00:00'")
+    if until:
+        lines = lines.filter(f"l_shipdate < timestamp_ntz'{until} 00:00:00'")
     parts = table(spark, sf, "part")
     lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn(
         "month_start", month_start(F.col("l_shipdate"))
@@ -174,15 +183,14 @@ def raw_reports(
         totals = lines.groupBy("l_suppkey", "p_type", "month_start").agg(*_cells(pick))
         placed = totals.join(offices(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
     else:
-        # Aggregated by supplier first, as above, so that few rows meet the supplier table.
-        keys = ["p_type", "month_start"] + (["p_brand"] if grain.name == "oem" else [])
-        by_supplier = lines.groupBy("l_suppkey", *keys).agg(*_cells(pick))
+        # Supplier, class and month are nearly unique for a line: the narrow lines meet the
+        # supplier table, and are aggregated once.
+        suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+        keys = ["s_nationkey", "p_type", "month_start"] + (["p_brand"] if grain.name == "oem" else [])
         totals = (
-            by_supplier.join(
-                table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-            )
-            .groupBy("s_nationkey", *keys)
-            .agg(*[F.expr(f"{pick}(`{h}`)").alias(h) for h in CELL_HEADERS])
+            lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+            .groupBy(*keys)
+            .agg(*_cells(pick))
         )
         placed = totals.withColumn("state", state_of(F.col("s_nationkey")))
     folders = [text.state_folder(F.col("state"))]
@@ -365,6 +373,19 @@ def workbook_bytes(rows: list[list[str | None]], whole: bool = True, sheet: str
     return buffer.getvalue()
 
 
+def mapping_workbook(spark: SparkSession, sf: str) -> DataFrame:
+    """The mapping as one workbook (path, content); it has as many rows as there are classes."""
+
+    @F.pandas_udf(T.BinaryType())
+    def build(rows: pd.Series) -> pd.Series:
+        head = list(MAPPING_HEADERS)
+        return rows.map(lambda held: workbook_bytes([head, *(list(r.values()) for r in held)], sheet="Mapping"))
+
+    row = F.struct(*(F.col(f"`{h}`") for h in MAPPING_HEADERS))
+    whole = whole_mapping(spark, sf).groupBy().agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    return whole.select(F.lit("mapping.xlsx").alias("path"), build("rows").alias("content"))
+
+
 def workbooks(spark: SparkSession, sf: str, damaged: bool = True) -> DataFrame:
     """Office reports as XLSX bytes (path, content), built on the executors.
 

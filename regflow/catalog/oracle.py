@@ -329,13 +329,17 @@ SQL["read_workbooks"] = f"""
     SELECT path, row_no, "Unnamed: 1", {_columns(_CELLS)}, "Unnamed: 38" FROM (
         SELECT *, CAST(row_number() OVER (PARTITION BY path ORDER BY "Unnamed: 1") - 1 AS INTEGER)
                   AS row_no FROM raw_rto)"""
-SQL["mapping_dim"] = "SELECT * FROM whole_mapping"
+# An empty cell of a workbook is NULL.
+SQL["mapping_dim"] = """SELECT * REPLACE (nullif("Vehicle Use Type", '') AS "Vehicle Use Type")
+    FROM whole_mapping"""
 SQL["mapping_dim_normalized"] = f"""SELECT * REPLACE ({_class_key('"Vehicle Class"')} AS "Vehicle Class")
     FROM whole_mapping"""
 SQL["office_map_scan"] = "SELECT state, office_label FROM offices WHERE n_regionkey <> 4"
 SQL["csv_stage_scan"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text,
     nullif(lang, '') AS lang, nullif(source, '') AS source, CAST(n_chars AS VARCHAR) AS n_chars
     FROM documents"""
+SQL["csv_ranges_scan"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+    nullif(replace(text, '. ', '."' || chr(10)), '') AS text, nullif(lang, '') AS lang FROM documents"""
 SQL["csv_monthly_sink"] = f"""SELECT {', '.join(f"nullif(CAST({_q(c)} AS VARCHAR), '') AS {_q(c)}" for c in RTO.columns)},
     'rto_level_ev_data_' || upper(strftime(make_date(CAST(year AS INTEGER), month, 1), '%b')) || '_'
     || year || '.csv' AS file FROM prep_min_rto"""
@@ -364,6 +368,14 @@ SQL["unexpected_columns"] = f"""SELECT DISTINCT header FROM (
         UNION ALL SELECT '{a.NEW_HEADER}' FROM raw_oem WHERE year(month_start) >= {a.NEW_HEADER_YEAR}
         UNION ALL SELECT 'REMARK ' || inner_dir FROM raw_oem WHERE month(month_start) = 12)
     WHERE header NOT IN ({_known})"""
+_unused = [h for h in FUEL_HEADERS if h not in a.FUELS.values()]
+CTES["drift_found"] = "SELECT DISTINCT path, inner_dir, month_start FROM raw_oem"
+SQL["header_drift"] = f"""
+    SELECT 'absent' AS kind, unnest([{', '.join(f"'{h}'" for h in _unused)}]) AS header, count(*) AS reports FROM drift_found
+    UNION ALL SELECT 'unknown', '{a.NEW_HEADER}', count(*) FROM drift_found
+        WHERE year(month_start) >= {a.NEW_HEADER_YEAR} HAVING count(*) > 0
+    UNION ALL SELECT 'unknown', 'REMARK ' || inner_dir, count(*) FROM drift_found
+        WHERE month(month_start) = 12 GROUP BY inner_dir"""
 SQL["default_dimensions"] = f"""SELECT path, "Unnamed: 1", {_others('Vehicle Type')} AS "Vehicle Type",
     {_others('Vehicle Category')} AS "Vehicle Category", {_others('Vehicle Use Type')} AS "Vehicle Use Type"
     FROM raw_state LEFT JOIN mapping ON {_mapped(STATE)}"""
@@ -413,11 +425,14 @@ SQL["merge_office_map"] = """
     SELECT state, 'OLD ' || office_label FROM offices WHERE n_regionkey >= 1
     AND state NOT IN (SELECT state FROM offices WHERE n_regionkey <= 2)"""
 SQL["states_without_offices"] = """SELECT state FROM state_list
-    WHERE state NOT IN (SELECT state FROM offices WHERE n_regionkey <> 4)"""
+    WHERE state NOT IN (SELECT state FROM offices)"""
 SQL["redownload_plan"] = """
     SELECT state, office_label, month, year,
            CASE WHEN path IS NULL THEN 'malformed' ELSE 'download' END AS action
     FROM grid_rto WHERE path IS NULL OR path NOT IN (SELECT path FROM files_rto WHERE valid)"""
+SQL["redownload_plan_force"] = """
+    SELECT state, office_label, month, year,
+           CASE WHEN path IS NULL THEN 'malformed' ELSE 'download' END AS action FROM grid_rto"""
 SQL["reconcile_counts"] = " UNION ALL ".join(
     f"""SELECT '{g.fact_table}_backup' AS table_name, count(*) AS row_count FROM legacy_{g.name}
         UNION ALL SELECT '{g.fact_table}', count(*) FROM fact_{g.name}"""
@@ -555,9 +570,24 @@ for _g in GRAINS.values():
         WHERE path IS NOT NULL AND path NOT IN (SELECT path FROM files_{_n} WHERE valid)"""
     SQL[f"preprocess_{_n}"] = f"SELECT * FROM prep_{_n}"
     SQL[f"schema_migration_{_n}"] = f"SELECT * FROM migrated_{_n}"
+    SQL[f"stored_migration_{_n}"] = f"SELECT * FROM migrated_{_n}"
+    SQL[f"stored_backfill_{_n}"] = f"SELECT {_columns(_g.backfill_key)}, electric_bov FROM filled_{_n}"
+    SQL[f"stored_repair_{_n}"] = f"""SELECT * REPLACE (CAST(NULL AS VARCHAR) AS electric_bov,
+        CAST(NULL AS VARCHAR) AS ethanol_e100) FROM fact_{_n}"""
+    SQL[f"quarantine_{_n}"] = f"""SELECT {_columns(_g.load_key)},
+        CASE WHEN diesel IS NULL THEN '1st' ELSE day END AS day,
+        total || CASE WHEN petrol IS NULL THEN '.0' ELSE '' END AS total,
+        concat_ws(',', CASE WHEN diesel IS NULL THEN 'day' END, CASE WHEN petrol IS NULL THEN 'total' END) AS faults
+        FROM fact_{_n} WHERE diesel IS NULL OR petrol IS NULL"""
+    _no_key = " OR ".join(f"{_q(k)} IS NULL" for k in _g.curated_key)
+    _same_key = ", ".join("date" if k == "date" else f"lower(rtrim({_q(k)}))" for k in _g.curated_key)
+    SQL[f"curated_counted_{_n}"] = f"""SELECT {_columns(_g.curated_key)}, total,
+        CASE WHEN {_no_key} THEN 1 ELSE count(*) OVER (PARTITION BY {_same_key}) END AS copies FROM ({_curated_upsert(_g, f"fresh_{_n}")})"""
     SQL[f"monthly_run_{_n}"] = (
         f"SELECT * FROM run_fact_{_n}" if _g is STATE else _curated_upsert(_g, f"run_fresh_{_n}")
     )
+SQL["preprocess_rows_oem"] = "SELECT * FROM prep_oem"
+SQL["preprocess_workbooks_rto"] = "SELECT * FROM prep_rto"
 SQL["full_refresh_rto"] = "SELECT * FROM curated_rto"
 CTES["history_raw"] = """SELECT * FROM rawmin_rto WHERE state_dir = 'Maharashtra'
     AND month_start BETWEEN DATE '1996-03-01' AND DATE '1999-08-01'"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from regflow.catalog import adapter as a
 from regflow.functions import dates, numbers, text
 from regflow.operators import archive, conform, coverage, curate, load, logs, migrate
-from regflow.plans import migration, monthly
+from regflow.plans import migration, monthly, tables
 from regflow.schema import GRAINS, LABEL_HEADER, OEM, RTO, STATE, TOTAL_HEADER, Grain
 from regflow.session import work_path
 from regflow.sources import dimensions, reports, staging
@@ -71,7 +71,7 @@ def read_workbooks(spark, sf):
 
 @query
 def mapping_dim(spark, sf):
-    return a.whole_mapping(spark, sf)
+    return dimensions.mapping_rows(a.mapping_workbook(spark, sf))
 
 
 @query
@@ -98,12 +98,22 @@ def csv_stage_scan(spark, sf):
     return staging.read_csv_stage(spark, path)
 
 
+@query
+def csv_ranges_scan(spark, sf):
+    # Ranges much smaller than a file, many of which begin inside a text with line breaks.
+    path = work_path(spark, "csv")
+    lined = F.replace("text", F.lit(". "), F.lit('."\n'))
+    pages = a.table(spark, sf, "documents").select("doc_id", lined.alias("text"), "lang")
+    pages.write.options(**staging.CSV_WRITE).csv(path)
+    return staging.read_csv_stage(spark, path, columns=["doc_id", "text", "lang"], split=1 << 18)
+
+
 @query
 def csv_monthly_sink(spark, sf):
     path = work_path(spark, "csv")
     frame = a.preprocessed(spark, sf, RTO, "min")
     staging.write_monthly_csvs(frame, path, RTO)
-    return staging.read_csv_stage(spark, path)
+    return staging.read_csv_stage(spark, path, columns=RTO.columns)
 
 
 @query
@@ -175,6 +185,11 @@ def unexpected_columns(spark, sf):
     return conform.unexpected_columns(a.sheet_rows(spark, sf, OEM), OEM)
 
 
+@query
+def header_drift(spark, sf):
+    return conform.header_drift(a.sheet_rows(spark, sf, OEM), OEM)
+
+
 @query
 def default_dimensions(spark, sf):
     columns = ["path", LABEL_HEADER, *conform.CLASS_HEADERS]
@@ -206,6 +221,17 @@ def curate_(spark, sf, grain):
     return curate.curate(fact, grain, districts_for(spark, sf, grain)).drop("inserted_at")
 
 
+@every_grain
+def quarantine(spark, sf, grain):
+    """Facts whose total or day does not parse, with the names of the columns."""
+    fact = a.fact(spark, sf, grain)
+    total = F.when(F.col("petrol").isNull(), F.concat("total", F.lit(".0"))).otherwise(F.col("total"))
+    day = F.when(F.col("diesel").isNull(), F.lit("1st")).otherwise(F.col("day"))
+    _, bad = curate.quarantine(fact.withColumns({"total": total, "day": day}))
+    faults = F.array_join("bad_columns", ",").alias("faults")
+    return bad.select(*grain.load_key, "day", "total", faults)
+
+
 @query
 def incremental_window(spark, sf):
     return curate.incremental_window(a.fact(spark, sf, RTO), as_of()).drop("inserted_at")
@@ -294,6 +320,16 @@ def curated_upsert(spark, sf, grain):
     return curate.upsert_curated(current, fresh, grain).drop("inserted_at")
 
 
+@every_grain
+def curated_counted(spark, sf, grain):
+    """The same as `curated_upsert`, with the number of rows that share a unique key."""
+    lookup = districts_for(spark, sf, grain)
+    current = curate.curate(a.fact(spark, sf, grain), grain, lookup)
+    window = curate.incremental_window(a.stage(spark, sf, grain), as_of())
+    fresh = curate.curate(window, grain, lookup)
+    return curate.merge_counted(current, fresh, grain).select(*grain.curated_key, "total", "copies")
+
+
 @every_grain
 def backfill_electric(spark, sf, grain):
     filled = migrate.backfill_electric(
@@ -341,8 +377,7 @@ def merge_office_map(spark, sf):
 
 @query
 def states_without_offices(spark, sf):
-    listed = a.offices(spark, sf).filter("n_regionkey <> 4")
-    return coverage.states_without_offices(coverage.state_list(spark), listed)
+    return coverage.states_without_offices(coverage.state_list(spark), a.offices(spark, sf))
 
 
 @query
@@ -351,6 +386,12 @@ def redownload_plan(spark, sf):
     return plan.select("state", "office_label", "month", "year", "action")
 
 
+@query
+def redownload_plan_force(spark, sf):
+    plan = coverage.redownload_plan(_expected(spark, sf, RTO), a.files(spark, sf, RTO), force=True)
+    return plan.select("state", "office_label", "month", "year", "action")
+
+
 # Aggregations
 
 
@@ -660,19 +701,38 @@ def preprocess(spark, sf, grain):
     return a.preprocessed(spark, sf, grain)
 
 
+@query
+def preprocess_rows_oem(spark, sf):
+    # Through sheet rows, with an empty report for many classes and months.
+    return monthly.preprocess_rows(a.sheet_rows(spark, sf, OEM), a.mapping(spark, sf), OEM)
+
+
+@query
+def preprocess_workbooks_rto(spark, sf):
+    # Through workbooks and their reader.
+    rows = reports.read_workbooks(a.workbooks(spark, sf, damaged=False))
+    return monthly.preprocess_rows(rows, a.mapping(spark, sf), RTO)
+
+
 @every_grain
 def monthly_run(spark, sf, grain):
-    fact = a.fact(spark, sf, grain)
+    """A month loaded into stored tables that hold all months before."""
+    facts, curated = work_path(spark, "fact"), work_path(spark, "curated")
     lookup = districts_for(spark, sf, grain)
-    current = None if grain is STATE else curate.curate(fact, grain, lookup)
+    load.load_fact(facts, a.fact(spark, sf, grain), grain)
+    if grain is not STATE:
+        tables.refresh_curated(spark, facts, curated, grain, as_of(), lookup, full=True)
     latest = a.preprocessed(spark, sf, grain, "min", "2001-10-01")
-    run = monthly.monthly_run(latest, fact, current, grain, as_of(), lookup)
-    return (run.fact if run.curated is None else run.curated).drop("inserted_at")
+    load.load_fact(facts, load.stage_load(latest, grain.columns), grain)
+    if grain is STATE:
+        return load.read_fact(spark, facts, grain).drop("inserted_at", load.PERIOD)
+    tables.refresh_curated(spark, facts, curated, grain, as_of(), lookup)
+    return tables.read_curated(spark, curated, grain).drop("inserted_at")
 
 
 @query
 def history_backfill(spark, sf):
-    rescraped = a.raw_reports(spark, sf, RTO, "min")
+    rescraped = a.raw_reports(spark, sf, RTO, "min", "1996-03-01", "1999-09-01")
     merged = monthly.history_backfill(
         rescraped, a.mapping(spark, sf), a.fact(spark, sf, RTO), RTO,
         ["Maharashtra"], F.lit("1996-03-01").cast("date"), F.lit("1999-08-01").cast("date"),
@@ -687,6 +747,35 @@ def schema_migration(spark, sf, grain):
     return result.fact.drop("inserted_at")
 
 
+@every_grain
+def stored_migration(spark, sf, grain):
+    """A stored table migrated by way of its backup, a count and a switch."""
+    path = work_path(spark, f"legacy-{grain.name}")
+    a.legacy(spark, sf, grain).write.parquet(path)
+    migration.migrate_table(spark, path, grain, work_path(spark, f"backup-{grain.name}"))
+    return load.read_fact(spark, path, grain).drop("inserted_at", load.PERIOD)
+
+
+@every_grain
+def stored_backfill(spark, sf, grain):
+    """A stored table of which only the periods that change are written."""
+    path, backup = work_path(spark, "fact"), work_path(spark, "backup")
+    target = a.backfill_target(spark, sf, grain).withColumn("inserted_at", F.current_timestamp())
+    load.load_fact(path, target, grain)
+    a.legacy_with_copies(spark, sf, grain).write.parquet(backup)
+    migration.backfill_table(spark, path, grain, backup)
+    return load.read_fact(spark, path, grain).select(*grain.backfill_key, "electric_bov")
+
+
+@every_grain
+def stored_repair(spark, sf, grain):
+    path, backup = work_path(spark, "fact"), work_path(spark, "backup")
+    load.load_fact(path, a.fact(spark, sf, grain), grain)
+    a.legacy(spark, sf, grain).write.parquet(backup)
+    migration.repair_table(spark, path, grain, backup)
+    return load.read_fact(spark, path, grain).drop("inserted_at", load.PERIOD)
+
+
 @query
 def history_state_preprocess(spark, sf):
     return monthly.history_state_preprocess(_legacy_rows(spark, sf), a.mapping(spark, sf))

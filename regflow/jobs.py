@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regflow.functions import text
-from regflow.operators import archive, conform, coverage, load
-from regflow.plans import monthly, tables
+from regflow.operators import archive, conform, coverage, load, versions
+from regflow.plans import migration, monthly, tables
 from regflow.schema import GRAINS, MONTHS, OEM, STATE, Grain
 from regflow.session import get_session
 from regflow.sources import dimensions, reports, staging
+from regflow.sources.tree import in_months, list_folder, list_reports
 
 
 def previous_month(today: date) -> tuple[str, str]:
@@ -37,6 +38,19 @@ def month_and_year(args: argparse.Namespace) -> tuple[str, str]:
     return month, year
 
 
+def month_range(args: argparse.Namespace) -> list[tuple[str, str]]:
+    """(year, month label) of every month from --first to --last, both included."""
+    ends = []
+    for name in ("first", "last"):
+        found = re.fullmatch("([0-9]{4})-(0[1-9]|1[0-2])", str(getattr(args, name) or ""))
+        if not found:
+            raise ValueError(f"give --{name} as a month such as 2013-01")
+        ends.append(int(found[1]) * 12 + int(found[2]) - 1)
+    if ends[0] > ends[1]:
+        raise ValueError("a range of months cannot end before it starts")
+    return [(str(n // 12), MONTHS[n % 12]) for n in range(ends[0], ends[1] + 1)]
+
+
 def state_folders(spark: SparkSession, args: argparse.Namespace) -> list[str] | None:
     """The folders of the states asked for, which may be named by label or by folder."""
     if not args.states:
@@ -56,8 +70,8 @@ def month_rows(
 ) -> Iterator[DataFrame]:
     """Sheet rows of a month's reports, parsed once and set aside for all that use them."""
     month, year = month_and_year(args)
-    pattern = reports.report_glob(args.reports, grain, [year], [month], state_folders(spark, args))
-    rows = reports.read_workbooks(reports.scan_files(spark, pattern))
+    listed = list_reports(spark, args.reports, grain, [year], [month], state_folders(spark, args))
+    rows = reports.read_listed(listed, args.reports)
     with load.set_aside(rows, "rows") as kept:
         yield kept
 
@@ -75,6 +89,7 @@ def write_month(
         lists = {
             "summary": conform.preprocess_summary(tagged, ["State", "Year"]),
             "unexpected_columns": conform.unexpected_columns(rows, grain),
+            "drift": conform.header_drift(tagged, grain, ["State", "Year", "Month"]),
         }
         for name, found in lists.items():
             target = f"{args.out.rstrip('/')}/{name}"
@@ -91,15 +106,28 @@ def preprocess(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> s
 def load_csv(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> int:
     """Monthly CSV -> fact table; returns the number of staged rows."""
     path = f"{args.csv.rstrip('/')}/{staging.csv_name(grain, *month_and_year(args))}"
-    rows = staging.read_csv_stage(spark, path, hint=f"the {grain.name} preprocess job")
+    hint = f"the {grain.name} preprocess job"
+    rows = staging.read_csv_stage(spark, path, hint, grain.columns)
     return load.load_fact(args.fact, load.stage_load(rows, grain.columns), grain)
 
 
 def curate(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> None:
     districts = spark.read.parquet(args.districts) if args.districts else None
     today = F.lit(args.as_of).cast("date") if args.as_of else F.current_date()
-    tables.refresh_curated(
-        spark, args.fact, args.curated, grain, today, districts, args.full_refresh
+    done = tables.refresh_curated(
+        spark,
+        args.fact,
+        args.curated,
+        grain,
+        today,
+        districts,
+        args.full_refresh,
+        args.quarantine,
+        args.duplicates,
+    )
+    print(
+        f"facts read: {done.read}, curated: {done.curated}, in quarantine: {done.quarantined}, "
+        f"rows with a repeated key: {done.repeated}"
     )
 
 
@@ -132,14 +160,8 @@ def expected_classes(spark: SparkSession, args: argparse.Namespace) -> Column:
 def found_reports(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> DataFrame:
     """A month's files with their validity; paths begin with the root as it was given."""
     month, year = month_and_year(args)
-    pattern = reports.report_glob(
-        args.reports, grain, [year], [month], state_folders(spark, args)
-    )
-    below = F.substring("path", len(reports.qualified(spark, args.reports)) + 1, 1 << 20)
-    located = reports.scan_files(spark, pattern).withColumn(
-        "path", F.concat(F.lit(args.reports.rstrip("/")), below)
-    )
-    return reports.with_validity(located)
+    listed = list_reports(spark, args.reports, grain, [year], [month], state_folders(spark, args))
+    return reports.check_listed(listed, args.reports)
 
 
 def missing(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> DataFrame:
@@ -156,34 +178,100 @@ def report_missing(spark: SparkSession, args: argparse.Namespace, grain: Grain)
         raise ValueError("give --out, the folder of the lists")
     out = args.out.rstrip("/")
     expected = expected_reports(spark, args, grain)
-    found = found_reports(spark, args, grain).select("path", "valid")
-    written = {
-        "missing": coverage.missing_reports(expected, found).select("path"),
-        "summary": coverage.coverage_summary(expected, found),
-        "plan": coverage.redownload_plan(expected, found, args.force).select("path", "action"),
-    }
-    if "office_label" in expected.columns:
-        written["malformed"] = coverage.malformed_labels(expected).select("state", "office_label")
-    for name, frame in written.items():
-        frame.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+    # Every file is opened and checked once, for all lists.
+    with load.set_aside(found_reports(spark, args, grain), "found") as found:
+        written = {
+            "missing": coverage.missing_reports(expected, found).select("path"),
+            "summary": coverage.coverage_summary(expected, found),
+            "plan": coverage.redownload_plan(expected, found, args.force).select("path", "action"),
+        }
+        if "office_label" in expected.columns:
+            written["malformed"] = coverage.malformed_labels(expected).select("state", "office_label")
+        for name, frame in written.items():
+            frame.write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
     count = spark.read.option("header", True).schema("path string").csv(f"{out}/missing").count()
     print(f"missing reports: {count}, listed in {out}/missing")
 
 
 def archive_month(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> int:
-    """Copy a month's raw reports and its CSV below the archive; returns the report count."""
-    month, year = month_and_year(args)
-    pattern = reports.report_glob(
-        args.reports, grain, [year], [month], state_folders(spark, args), "*.xlsx"
+    """Copy raw reports below the archive and return their number: those of a month and its CSV, or
+    with --first and --last those of a range of months. With --out, the list of copies is written."""
+    if args.first or args.last:
+        months = month_range(args)
+    else:
+        month, year = month_and_year(args)
+        months = [(year, month)]
+    years, names = sorted({y for y, _ in months}), sorted({m for _, m in months})
+    listed = list_reports(spark, args.reports, grain, years, names, state_folders(spark, args), "*.xlsx")
+    copies = archive.copy_listed(in_months(listed, months), args.reports, args.archive)
+    with load.set_aside(copies, "copies") as copied:
+        if args.out:
+            target = f"{args.out.rstrip('/')}/archived"
+            copied.write.mode("overwrite").option("header", True).csv(target)
+        count = copied.count()
+    if args.csv and len(months) == 1:
+        folder = f"{args.csv.rstrip('/')}/{staging.csv_name(grain, months[0][1], months[0][0])}"
+        parts = list_folder(spark, folder, "*.csv")
+        archive.copy_listed(parts, args.csv, args.archive).write.format("noop").mode("overwrite").save()
+    return count
+
+
+def history(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
+    """Load a range of months from the tree in one upsert; months that the journal beside the
+    fact table lists as loaded, with the same files, are left out."""
+    mapping = dimensions.load_mapping(spark, args.mapping)
+    journal = f"{args.fact.rstrip('/')}_history"
+    units, rows = monthly.load_history(
+        spark,
+        args.reports,
+        mapping,
+        args.fact,
+        grain,
+        month_range(args),
+        state_folders(spark, args),
+        None if args.force else journal,
     )
-    root = reports.qualified(spark, args.reports)
-    copied = archive.copy_files(reports.scan_files(spark, pattern), root, args.archive)
-    if args.csv:
-        parts = f"{args.csv.rstrip('/')}/{staging.csv_name(grain, month, year)}/*.csv"
-        archive.copy_files(
-            reports.scan_files(spark, parts), reports.qualified(spark, args.csv), args.archive
-        )
-    return copied
+    return f"state months: {units}, rows: {rows}"
+
+
+def migrate(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
+    """Bring the fact table to the current columns, by way of a backup."""
+    done = migration.migrate_table(spark, args.fact, grain, args.backup)
+    return f"steps done: {', '.join(done) or 'none'}"
+
+
+def backfill(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
+    return _rewritten(migration.backfill_table(spark, args.fact, grain, args.backup))
+
+
+def repair(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
+    return _rewritten(migration.repair_table(spark, args.fact, grain, args.backup))
+
+
+def _rewritten(periods: list[str]) -> str:
+    return "\n".join([f"periods rewritten: {len(periods)}", *periods])
+
+
+def merge_offices(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
+    """Merge freshly collected office labels into the known ones and write both as one JSON document
+    per state below --out; a state that no file covers is an error, and nothing is written."""
+    if not args.out:
+        raise ValueError("give --out, the folder of the merged office map")
+    fresh = dimensions.load_office_map(spark, args.fresh_offices, strict=True)
+    merged = coverage.merge_office_maps(dimensions.load_office_map(spark, args.offices), fresh)
+    bare = coverage.states_without_offices(coverage.state_list(spark), merged)
+    # At most as many as there are states.
+    names = sorted(row.state for row in bare.collect())
+    if names and not args.force:
+        raise ValueError(f"states without offices: {', '.join(names)}")
+    dimensions.write_office_map(merged, args.out)
+    return f"states without offices: {len(names)}"
+
+
+def sweep(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> str:
+    """Remove what stopped jobs left in the stored tables more than two days ago."""
+    gone = [name for path in (args.fact, args.curated) if path for name in versions.sweep(spark, path)]
+    return f"folders removed: {len(gone)}"
 
 
 def run(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> None:
@@ -198,11 +286,23 @@ def run(spark: SparkSession, args: argparse.Namespace, grain: Grain) -> None:
         curate(spark, args, grain)
 
 
+JOBS = {
+    "preprocess": preprocess,
+    "load": load_csv,
+    "curate": curate,
+    "archive": archive_month,
+    "history": history,
+    "migrate": migrate,
+    "backfill": backfill,
+    "repair": repair,
+    "offices": merge_offices,
+    "sweep": sweep,
+}
+
+
 def parser() -> argparse.ArgumentParser:
     options = argparse.ArgumentParser(description=__doc__)
-    options.add_argument(
-        "job", choices=["preprocess", "load", "curate", "missing", "archive", "run"]
-    )
+    options.add_argument("job", choices=[*JOBS, "missing", "run"])
     options.add_argument("--grain", choices=list(GRAINS), required=True)
     options.add_argument("--month", help="label such as JUN")
     options.add_argument("--year")
@@ -219,7 +319,19 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--districts", help="parquet table (rto_code, district)")
     options.add_argument("--archive", help="URI below which raw reports are copied")
     options.add_argument("--out", help="folder of the lists: missing reports, or a run's summary")
-    options.add_argument("--force", action="store_true", help="plan to fetch every report again")
+    options.add_argument("--first", help="first month of a range, such as 2013-01")
+    options.add_argument("--last", help="last month of a range")
+    options.add_argument("--backup", help="path of the copy of a fact table from before a migration")
+    options.add_argument("--fresh-offices", help="JSON file of newly collected office labels")
+    options.add_argument("--quarantine", help="folder for facts that do not parse; default: they fail the job")
+    options.add_argument(
+        "--duplicates", help="`refuse`, or a folder that lists unique keys that occur more than once"
+    )
+    options.add_argument(
+        "--force",
+        action="store_true",
+        help="plan to fetch every report again; load months again; write offices that leave out states",
+    )
     options.add_argument("--as-of", help="reference date of the curated window")
     options.add_argument("--full-refresh", action="store_true")
     return options
@@ -229,13 +341,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parser().parse_args(argv)
     spark = spark or get_session()
     grain = GRAINS[args.grain]
-    jobs = {"preprocess": preprocess, "load": load_csv, "curate": curate, "archive": archive_month}
     if args.job == "run":
         run(spark, args, grain)
     elif args.job == "missing":
         report_missing(spark, args, grain)
     else:
-        result = jobs[args.job](spark, args, grain)
+        result = JOBS[args.job](spark, args, grain)
         if result is not None:
             print(result)
 

@@ -2,12 +2,16 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from helpers import MOTOR_CAR, fact_rows, plan_text, report, save
+from helpers import MOTOR_CAR, fact_rows, report, save
+
+from pyspark.sql import functions as F
 
 from regflow import jobs, session
 from regflow.catalog.adapter import workbook_bytes
-from regflow.operators import load
+from regflow.operators import load, versions
+from regflow.plans import tables
 from regflow.schema import GRAINS, OEM, RTO
+from regflow.sources import dimensions, reports
 
 
 @pytest.fixture
@@ -38,7 +42,7 @@ def test_monthly_run_from_files(spark, paths, capsys):
     for _ in range(2):  # a second run replaces, and adds nothing
         jobs.main(["run", *month], spark)
         fact = load.read_fact(spark, str(root / "fact"), RTO)
-        curated = spark.read.parquet(str(root / "curated"))
+        curated = tables.read_curated(spark, str(root / "curated"), RTO)
         assert fact.count() == 2 and curated.count() == 2
         assert {(r.district, r.total, str(r.date)) for r in curated.collect()} == {
             ("North Goa", 1032, "2026-06-01")
@@ -46,7 +50,7 @@ def test_monthly_run_from_files(spark, paths, capsys):
     assert len(list((root / "archive").rglob("*.xlsx"))) == 1
     assert list((root / "archive").glob("rto_level_ev_data_JUN_2026.csv/*.csv"))
     jobs.main(["curate", "--full-refresh", *month], spark)
-    assert spark.read.parquet(str(root / "curated")).count() == 2
+    assert tables.read_curated(spark, str(root / "curated"), RTO).count() == 2
     args = jobs.parser().parse_args(["missing", *month])
     gone = [r.path for r in jobs.missing(spark, args, RTO).collect()]
     assert gone == [f"{root}/reports/Goa/Mapusa_GA3/2026/JUN/reportTable.xlsx"]
@@ -59,7 +63,7 @@ def test_curated_window_keeps_older_months(spark, paths):
     for name, as_of in (("MAR", "2026-04-02"), ("JUN", "2026-07-02")):
         save(root / "reports", f"Goa/MOTOR CAR/2026/{name}", report(["Maker A", "Maker B"]))
         jobs.main(["run", "--month", name, "--as-of", as_of, *month], spark)
-    curated = spark.read.parquet(str(root / "curated"))
+    curated = tables.read_curated(spark, str(root / "curated"), OEM)
     assert curated.groupBy("date").count().count() == 2 and curated.count() == 4
     assert load.read_fact(spark, str(root / "fact"), OEM).count() == 4
 
@@ -129,7 +133,12 @@ def test_work_folders_are_removed(spark, paths, monkeypatch):
     month = month_options(options) + ["--as-of", "2026-07-02"]
     jobs.main(["run", *month], spark)
     jobs.main(["curate", "--full-refresh", *month], spark)
-    assert len(made) == 6 and not any(Path(p).exists() for p in made)
+    assert len(made) > 2 and not any(Path(p).exists() for p in made)
+    made.clear()
+    save(root / "reports", "Goa/Broken_GA9/2026/JUN", b"no workbook")
+    with pytest.raises(Exception, match="Invalid Excel report file"):
+        jobs.main(["run", *month], spark)
+    assert made and not any(Path(p).exists() for p in made)
 
 
 def test_run_reports_drift(spark, paths):
@@ -162,13 +171,114 @@ def test_merge_reads_only_the_touched_periods(spark, tmp_path):
     old = fact_rows(spark, RTO, [{"date": f"01/{m:02d}/{y}", "state": "Goa"} for y, m in months] + [{"state": "x"}])
     load.load_fact(path, old, RTO)
     stage = load.with_period(fact_rows(spark, RTO, [{"date": d} for d in ("01/01/2010", "01/12/2014")]))
-    stored = load.read_fact(spark, path, RTO)
-    current = load.touched_partitions(stored, stage, load.PERIOD)
-    assert "Filter" not in plan_text(current).replace("PartitionFilters", "").replace("PushedFilters", "").replace("DataFilters", "")
-    assert len(current.inputFiles()) == 15 + 1 and current.count() == 2
-    files = current.select("_metadata.file_path").distinct().count()
-    assert files == 2
+    touched = load.touched_partitions(stage, load.PERIOD)
+    assert sorted(touched) == ["period=2010-01-01", "period=2014-12-01"]
+    current = versions.read(spark, path, load.PERIOD, load.fact_schema(RTO), only=touched)
+    # Other partitions are not even listed.
+    assert len(current.inputFiles()) == 2 and current.count() == 2
     load.load_fact(path, fact_rows(spark, RTO, [{"date": "01/06/2012", "state": "Goa"}, {"state": None}]), RTO)
     after = load.read_fact(spark, path, RTO)
     assert after.count() == len(months) + 1 + 2
     assert after.filter("period is null").count() == 2
+
+
+HISTORY = ["--first", "2014-11", "--last", "2015-02"]
+
+
+def test_history_of_a_tree(spark, paths, capsys):
+    root, options = paths
+    for year, months in {"2014": ("OCT", "NOV", "DEC"), "2015": ("JAN", "FEB", "MAR")}.items():
+        for month in months:
+            inside = month not in ("OCT", "MAR")
+            body = report(["MOTOR CAR", "BUS"]) if inside else b"broken"
+            save(root / "reports", f"Goa/Panaji_GA1/{year}/{month}", body)
+    save(root / "reports", "Goa/Panaji_GA1/2014/FEB", b"between the years and not in the range")
+    save(root / "reports", "Bihar/Patna_BR1/2014/DEC", b"of a state that is not asked for")
+    command = ["history", "--grain", "rto", *options, *HISTORY]
+    jobs.main([*command, "--states", "Goa"], spark)
+    assert "state months: 4, rows: 8" in capsys.readouterr().out
+    fact = load.read_fact(spark, str(root / "fact"), RTO)
+    assert fact.groupBy("period").count().count() == 4 and fact.count() == 8
+    number = versions.current(spark, str(root / "fact"), load.PERIOD).number
+    assert number == 1
+    # Finished months are left out; a changed one is loaded again.
+    jobs.main([*command, "--states", "Goa"], spark)
+    assert "state months: 0, rows: 0" in capsys.readouterr().out
+    save(root / "reports", "Goa/Panaji_GA1/2015/FEB", report(["MOTOR CAR", "BUS", "TRAM"]))
+    jobs.main([*command, "--states", "Goa"], spark)
+    assert "state months: 1, rows: 3" in capsys.readouterr().out
+    assert load.read_fact(spark, str(root / "fact"), RTO).count() == 9
+    # A month that fails is not noted, nor are others of its run.
+    with pytest.raises(Exception, match="Invalid Excel report file"):
+        jobs.main(command, spark)
+    save(root / "reports", "Bihar/Patna_BR1/2014/DEC", report(["BUS"]))
+    jobs.main(command, spark)
+    assert "state months: 1, rows: 1" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="before it starts"):
+        jobs.main([*command, "--last", "2013-01"], spark)
+    with pytest.raises(ValueError, match="--first"):
+        jobs.main([*command, "--first", "2013-13"], spark)
+
+
+def test_archive_of_a_range(spark, paths, capsys):
+    root, options = paths
+    for place in ("2014/NOV", "2015/JAN", "2015/MAR", "2013/NOV"):
+        save(root / "reports", f"Goa/Panaji_GA1/{place}", b"any bytes")
+    command = ["archive", "--grain", "rto", *options, *HISTORY, "--out", str(root / "out")]
+    jobs.main(command, spark)
+    assert capsys.readouterr().out.strip() == "2"
+    copied = sorted(str(p.relative_to(root / "archive")) for p in (root / "archive").rglob("*.xlsx"))
+    assert copied == [f"Goa/Panaji_GA1/{m}/reportTable.xlsx" for m in ("2014/NOV", "2015/JAN")]
+    listed = spark.read.option("header", True).csv(str(root / "out" / "archived"))
+    assert sorted(r.object_name for r in listed.collect()) == copied
+
+
+def test_offices_are_merged_or_refused(spark, paths, capsys):
+    root, options = paths
+    fresh = root / "fresh.json"
+    fresh.write_text('{"Goa": ["New - GA9( x )"], "Kerala": ["K - KL1( x )"]}')
+    command = ["offices", "--grain", "rto", *options, "--fresh-offices", str(fresh), "--out", str(root / "map")]
+    with pytest.raises(ValueError, match="states without offices: .*Telangana"):
+        jobs.main(command, spark)
+    assert not (root / "map").exists()
+    jobs.main([*command, "--force"], spark)
+    assert "states without offices: 34" in capsys.readouterr().out
+    merged = dimensions.load_office_map(spark, str(root / "map"), strict=True)
+    assert sorted(map(tuple, merged.collect())) == [("Goa", "New - GA9( x )"), ("Kerala", "K - KL1( x )")]
+
+
+def test_every_file_is_checked_once_for_all_lists(spark, paths, monkeypatch):
+    root, options = paths
+    save(root / "reports", "Goa/Panaji_GA1/2026/JUN", report(["MOTOR CAR"]))
+    seen = []
+    plain = reports.check_listed
+    monkeypatch.setattr(reports, "check_listed", lambda *a: seen.append(plain(*a)) or seen[-1])
+    jobs.main(["missing", *month_options(options), "--out", str(root / "out")], spark)
+    assert len(seen) == 1 and lines_of(root / "out" / "plan")
+
+
+def test_quarantine_and_duplicates_of_the_curated_refresh(spark, paths, capsys):
+    root, options = paths
+    save(root / "reports", "Goa/Panaji_GA1/2026/JUN", report(["MOTOR CAR", "BUS", "BUS"]))
+    month = [*month_options(options), "--as-of", "2026-07-02"]
+    jobs.main(["run", *month, "--duplicates", str(root / "twice")], spark)
+    assert "facts read: 3, curated: 3, in quarantine: 0, rows with a repeated key: 2" in capsys.readouterr().out
+    [twice] = spark.read.parquet(str(root / "twice")).collect()
+    assert (twice.vehicle_class, twice.rows) == ("BUS", 2)
+    before = versions.current(spark, str(root / "curated"), tables.DAY)
+    with pytest.raises(tables.DuplicateKeys, match="2 rows share"):
+        jobs.main(["curate", *month, "--duplicates", "refuse"], spark)
+    assert versions.current(spark, str(root / "curated"), tables.DAY) == before
+    bad = fact_rows(spark, RTO, [
+        {"date": "01/06/2026", "state": "Goa", "rto_code": "X", "rto_name": "N", "vehicle_class": "CAR", "total": t}
+        for t in ("5.0", "12")
+    ]).withColumn("rto_code", F.concat("rto_code", "total"))
+    load.load_fact(str(root / "fact"), bad, RTO)
+    with pytest.raises(Exception, match="5.0"):
+        jobs.main(["curate", *month], spark)
+    assert versions.current(spark, str(root / "curated"), tables.DAY) == before
+    jobs.main(["curate", *month, "--quarantine", str(root / "bad")], spark)
+    assert "facts read: 5, curated: 4, in quarantine: 1" in capsys.readouterr().out
+    [row] = spark.read.parquet(str(root / "bad")).collect()
+    assert (row.total, row.bad_columns, row.vehicle_class) == ("5.0", ["total"], "CAR")
+    assert tables.read_curated(spark, str(root / "curated"), RTO).count() == 4

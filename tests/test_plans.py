@@ -10,8 +10,8 @@ from regflow.operators import load, logs, migrate
 from regflow.schema import OEM, RTO, STATE
 
 SF = "/root/testdata/sf0.001"
-# Reading and checking workbook bytes is the only work done in Python.
-PYTHON = {"valid_workbooks", "read_workbooks"}
+# Reading and checking files, and cutting CSV into records, is the only work done in Python.
+PYTHON = {"valid_workbooks", "read_workbooks", "mapping_dim", "csv_stage_scan", "csv_monthly_sink"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
