@@ -227,8 +227,9 @@ def manifest(
     )
     placed = positions(leaves, F.asc_nulls_first("grp"), F.asc_nulls_first("id"), F.col("digest"))
     # A tree goes by the place of its first leaf, which also orders the trees.
-    groups = checkpointed(
-        placed.groupBy("grp").agg(F.min("position").alias("tree"), F.count("*").alias("n"))
+    # Written as a table, whose size is known to the joins with it.
+    groups = stored(
+        placed.groupBy("grp").agg(F.min("position").alias("tree"), F.count("*").alias("n")), "groups"
     ).withColumn("height", _height(F.col("n"), run))
     own = groups.withColumnRenamed("grp", "own")
     items = placed.join(own, F.col("grp").eqNullSafe(F.col("own"))).select(
@@ -242,7 +243,7 @@ def manifest(
     tops = tops.withColumn("n", F.lit(tops.count())).withColumn("height", _height(F.col("n"), run))
     top_tiers, root = _tiers(tops, run, depth)
     over = _with_paths(tops.select("tree", "rank", "member", "digest", "height"), top_tiers, run, depth)
-    over = checkpointed(
+    over = stored(
         over.join(root.select("tree", F.col("digest").alias("root")), "tree").select(
             F.col("member").alias("tree"),
             F.col("digest").alias("subroot"),
@@ -250,7 +251,8 @@ def manifest(
             F.col("height").alias("top_height"),
             F.col("path").alias("top_path"),
             "root",
-        )
+        ),
+        "tops",
     )
     paths = _with_paths(items.drop("n"), tiers, run, depth)
     return paths.join(over, "tree").withColumnRenamed("digest", "leaf").drop("tree")

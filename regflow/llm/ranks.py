@@ -36,7 +36,8 @@ def positions(frame: DataFrame, *order: Column) -> DataFrame:
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     return (
         ranged.withColumn("_part", part)
-        .join(starts, "_part")
+        # One row for each range.
+        .join(F.broadcast(starts), "_part")
         .withColumn("position", F.col("_start") + place)
         .drop("_part", "_start", "_at")
     )
