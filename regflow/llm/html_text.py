@@ -8,13 +8,14 @@ where margins would be, list items get bullets or numbers and indentation, prefo
 keeps its blanks, and table cells are aligned in columns. Of drawings (svg) the text elements
 are shown, of formulas (math) all but annotations.
 
-Exceptions: elements nested deeper than `DEPTH` lose their own kind, so that hidden ones there
-are shown, and texts of a drawing that itself lies that deep are not.
+Elements nested deeper than `DEPTH` lose their layout, such as a list item's bullet or a table's columns, but not
+their text; what is hidden or drawn there is treated as elsewhere.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
 
@@ -26,7 +27,8 @@ from regflow.session import ship_by_value
 
 ship_by_value(__name__)
 
-#: Elements nested deeper than this join their ancestor at this depth; their text is kept.
+#: Elements nested deeper than this join their ancestor at this depth; their text is kept. Those
+#: that decide whether text is shown stay what they are.
 DEPTH = 200
 #: Table columns are padded up to this width; longer cells run on, so a page's text stays of
 #: the order of its markup.
@@ -71,11 +73,12 @@ _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "parent")
+    __slots__ = ("tag", "attributes", "children", "parent", "shown_as")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Node | str] = []
+        self.shown_as = ""
 
 
 def _attributes(html: str, at: int) -> tuple[dict[str, str], int, bool]:
@@ -100,7 +103,12 @@ class TreeBuilder:
         self.root = Node("html", {}, None)
         self.stack = [self.root]
         self.open: dict[str, int] = {"html": 1}
+        #: Open elements below `DEPTH` that are none in the tree, those in the innermost element there, and those
+        #: outside of it.
         self.flat: dict[str, int] = {}
+        self.outer: list[dict[str, int]] = []
+        #: Place of the element below `DEPTH` that conceals what is in it, and most open elements.
+        self.concealed, self.deepest = 0, 1
 
     def build(self, html: str) -> Node:
         at, size = 0, len(html)
@@ -162,11 +170,19 @@ class TreeBuilder:
         if self.stack[-1].tag in ("head", "colgroup") and text.strip():
             self._pop()
         top = self.stack[-1]
-        if top.tag in _TABLE_PARTS and text.strip():
+        if top.tag in _TABLE_PARTS and text.strip() and not self._in_unseen_cell():
             self._before_table(text)
         else:
             top.children.append(text)
 
+    def _in_unseen_cell(self) -> bool:
+        """Whether the cell that text belongs to is one below `DEPTH`, in a table that is not shown."""
+        if not any(self.flat.get(t) for t in ("td", "th", "caption")):
+            return False
+        table = next(node for node in reversed(self.stack) if node.tag == "table")
+        seen = _VISIBILITY.findall(table.attributes.get("style", ""))
+        return _gone(table) or bool(seen and seen[-1].lower() != "visible")
+
     def _before_table(self, child: Node | str) -> None:
         place = next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i].tag == "table")
         holder, table = self.stack[place].parent, self.stack[place]
@@ -179,7 +195,7 @@ class TreeBuilder:
         top = self.stack[-1]
         node = Node(tag, attributes, top)
         outside = top.tag in _TABLE_PARTS and tag not in _NOT_SHOWN | _TABLE_PARTS | _CELLS | {"caption"}
-        if outside:
+        if outside and not self._in_unseen_cell():
             place = next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i].tag == "table")
             node.parent = self.stack[place].parent
             self._before_table(node)
@@ -188,13 +204,37 @@ class TreeBuilder:
         if tag in _VOID:
             return
         if len(self.stack) >= DEPTH:
-            self.flat[tag] = self.flat.get(tag, 0) + 1
-            return
+            if not self._decides(node):
+                self.flat[tag] = self.flat.get(tag, 0) + 1
+                return
+            if _conceals(node):
+                self.concealed = len(self.stack)
+            self.outer.append(self.flat)
+            self.flat = {}
         self.stack.append(node)
+        self.deepest = max(self.deepest, len(self.stack))
         self.open[tag] = self.open.get(tag, 0) + 1
 
+    def _decides(self, node: Node) -> bool:
+        """Whether text in an element is shown or not because of it. Below `DEPTH` only these
+        stay elements, without a layout of their own, and none inside one that conceals all it holds."""
+        if self.concealed:
+            return False
+        if _conceals(node) or node.tag == "svg":
+            return True
+        if self.open.get("svg") and node.tag in _NOT_DRAWN | {"text", "foreignobject"}:
+            return True
+        if _VISIBILITY.search(node.attributes.get("style", "")):
+            node.shown_as = "span"
+            return True
+        return False
+
     def _pop(self) -> None:
         self.open[self.stack.pop().tag] -= 1
+        if len(self.stack) >= DEPTH:
+            self.flat = self.outer.pop()
+        if len(self.stack) <= self.concealed:
+            self.concealed = 0
 
     def _close(self, tags, stops) -> bool:
         """Close the innermost open element of `tags` and all inside it, if it comes before
@@ -222,10 +262,10 @@ class TreeBuilder:
         top = self.stack[-1].tag
         if (top == "head" and tag not in _IN_HEAD) or (top == "colgroup" and tag not in _IN_COLUMNS):
             self._pop()
-        if tag == "table" and self.stack[-1].tag in _TABLE_PARTS:
-            self._close(("table",), _CELLS)
         if tag in _ENDS_P:
             self._close(("p",), _SCOPE)
+        if tag == "table" and self.stack[-1].tag in _TABLE_PARTS:
+            self._close(("table",), _CELLS)
         if tag == "li":
             self._close(("li",), _SCOPE | {"ul", "ol", "menu", "dir"})
         elif tag in ("dt", "dd"):
@@ -271,6 +311,12 @@ class TreeBuilder:
             self._close((tag,), _SCOPE)
 
 
+def _conceals(node: Node) -> bool:
+    """Whether nothing in an element is shown, whatever it is."""
+    closed = node.tag == "dialog" and "open" not in node.attributes
+    return closed or node.tag in _NOT_SHOWN or _gone(node)
+
+
 def _number(text: str | None, default: int, most: int = 1000) -> int:
     match = re.match(r"\s*(-?\d{1,9})", text or "", re.ASCII)
     return min(int(match[1]), most) if match else default
@@ -334,7 +380,7 @@ class Renderer:
                 self.element(child, hidden)
 
     def element(self, node: Node, hidden: bool) -> None:
-        tag, attributes = node.tag, node.attributes
+        tag, attributes = node.shown_as or node.tag, node.attributes
         if tag in _NOT_SHOWN or "hidden" in attributes:
             return
         if tag == "dialog" and "open" not in attributes:
@@ -518,9 +564,16 @@ def text_of(html: str | None) -> str:
     """The visible text of one page; empty for null."""
     if not html:
         return ""
-    root = TreeBuilder().build(html.replace("\r\n", "\n").replace("\x00", ""))
+    builder = TreeBuilder()
+    root = builder.build(html.replace("\r\n", "\n").replace("\x00", ""))
     renderer = Renderer()
-    renderer.element(root, False)
+    limit = sys.getrecursionlimit()
+    # Elements below `DEPTH` take two calls each, which need no more of the machine's stack.
+    sys.setrecursionlimit(max(limit, 2000 + 3 * builder.deepest))
+    try:
+        renderer.element(root, False)
+    finally:
+        sys.setrecursionlimit(limit)
     return "\n".join(renderer.done())
 
 

@@ -93,6 +93,7 @@ LEFT_OUT = [
     ("<head><title>t</title> <meta a=b>\n&amp; more<p>next", "& more\n\nnext"),
     ("<html><head><style>p{}</style><script>s</script>x</html>", "x"),
     ("<div>a<head>b</div>c", "ab\nc"),
+    ("<table><p><table>w", "w"),
 ]
 
 
@@ -135,3 +136,26 @@ SHOWN = [
 @pytest.mark.parametrize(("html", "text"), SHOWN)
 def test_formulas_drawings_and_xmp(html, text):
     assert text_of(html) == text
+
+
+DEEP = [
+    ("a<i hidden>no<b>no</b></i>b", "ab"),
+    ("a<script>no</script><template>no<template>no</template></template><p style='display:none'>no<p>b", "ab"),
+    ("<i style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</i>b", "yesb"),
+    ("<dialog>no<p hidden>no</p></dialog><dialog open>yes</dialog>", "yes"),
+    ("a<svg><title>no</title><defs><text>no</text></defs><text>t</text>no</svg>b", "atb"),
+    ("a<noscript>no<noscript>no</noscript>no</noscript><table hidden><tr><td>no</table>b", "ab"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), DEEP)
+@pytest.mark.parametrize("depth", [150, 199, 200, 201, 260, 3000])
+def test_hidden_is_hidden_at_any_depth(html, text, depth):
+    for wrap in ("<b>", "<div>", "<section><i>"):
+        got = text_of(wrap * depth + html + "z")
+        assert re.sub(r"\s", "", got) == text + "z", (wrap, got)
+
+
+@pytest.mark.parametrize("part", ["<i style='visibility:visible'>", "<i hidden>", "<svg>", "<svg><text>", "<template>", "<p style='visibility:inherit'>"])
+def test_many_deep_elements_that_decide(part):
+    assert "a" in text_of("a" + part * 30_000 + "x")
