@@ -1,11 +1,12 @@
 """Exact duplicates by a tree merge of sorted digest runs.
 
-Each partition turns its texts into a run: one entry per distinct digest with the surviving
-identifier and the number of rows. The runs then meet in binomial rounds of radix `RADIX`. In
-a round, cells that differ in one digit of their number exchange entries: an entry moves to
-the cell whose digit equals that digit of its digest, and each cell merges the sorted runs it
-receives, keeping one identifier per digest. After the last round a cell holds every entry of
-its share of the digests, fully merged, so no cell ever sees the whole corpus, and a text that
+Each partition turns its texts into a sorted run: one entry per distinct digest with the surviving
+identifier and the number of rows. Runs are cut into blocks and meet in binomial rounds of radix
+`RADIX`. In a round, cells that differ in one digit of their number exchange entries: an entry moves to
+the cell whose digit equals that digit of its digest, and each cell merges all the sorted runs it
+receives: blocks arrive in the order of their first entries, each is merged whole into what is pending, and
+pending entries before the next block's first are done. No entry is sorted again. After the last round a
+cell holds every entry of its share of the digests, fully merged, so no cell ever sees the whole corpus, and a text that
 fills a third of all rows is one entry per run from the first round on.
 
 An entry counts as equal only when SHA-256, length and a second, independent hash all agree,
@@ -15,10 +16,11 @@ and this is verified at every level of the merge.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,13 @@ from regflow.session import ship_by_value
 ship_by_value(__name__)
 
 RADIX = 8
-_RUN = "cell int, digest binary, size int, guard long, id long, n long"
+#: Entries of a block.
+BLOCK = 4096
+_KEY = 48
+#: Turns the order of signed numbers into that of their bytes.
+_SIGN = np.uint64(1 << 63)
+_ENTRY = "digest binary, size int, guard long, id long, n long"
+_RUN = "cell int, first binary, keys binary, ids binary, known binary, counts binary"
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -42,61 +50,193 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def _merge_sorted(batches: Iterator[pa.RecordBatch], largest: bool) -> Iterator[pa.RecordBatch]:
-    """Merge neighbours with equal (cell, digest, size, guard) in a sorted stream. Null ids
-    lose to any other. The last entry of a batch is held back, as it may go on in the next."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if held is not None:
-            table = pa.concat_tables([held, table]).combine_chunks()
-        if not table.num_rows:
-            continue
-        keys = [table[k].combine_chunks() for k in ("cell", "digest", "size", "guard")]
-        new = np.ones(table.num_rows, dtype=bool)
-        if table.num_rows > 1:
-            new[1:] = False
-            for key in keys:
-                new[1:] |= pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy(
-                    zero_copy_only=False
-                )
-        starts = np.flatnonzero(new)
-        ids = table["id"].combine_chunks()
-        lowest = np.iinfo(np.int64).min if largest else np.iinfo(np.int64).max
-        known = ids.is_valid().to_numpy(zero_copy_only=False)
-        filled = ids.fill_null(lowest).to_numpy()
-        best = (np.maximum if largest else np.minimum).reduceat(filled, starts)
-        any_known = np.logical_or.reduceat(known, starts)
-        counts = np.add.reduceat(table["n"].to_numpy(), starts)
-        merged = pa.Table.from_arrays(
-            [key.take(pa.array(starts)) for key in keys]
-            + [pa.array(best, pa.int64(), mask=~any_known), pa.array(counts, pa.int64())],
-            names=["cell", "digest", "size", "guard", "id", "n"],
+@dataclass
+class Run:
+    """Sorted entries. A key is the digest, then length and second hash, all as bytes."""
+
+    keys: np.ndarray
+    ids: np.ndarray
+    known: np.ndarray
+    counts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __getitem__(self, part) -> Run:
+        return Run(self.keys[part], self.ids[part], self.known[part], self.counts[part])
+
+    def folded(self, largest: bool) -> Run:
+        """One entry for each key. Null ids lose to any other."""
+        if len(self) < 2:
+            return self
+        starts = np.flatnonzero(np.r_[True, self.keys[1:] != self.keys[:-1]])
+        best = np.maximum if largest else np.minimum
+        return Run(
+            self.keys[starts],
+            best.reduceat(self.ids, starts),
+            np.logical_or.reduceat(self.known, starts),
+            np.add.reduceat(self.counts, starts),
+        )
+
+    def merged(self, other: Run, largest: bool) -> Run:
+        """Both sorted runs as one: each entry of `other` is put in its place."""
+        at = np.searchsorted(self.keys, other.keys) + np.arange(len(other))
+        own = np.ones(len(self) + len(other), bool)
+        own[at] = False
+
+        def laid(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            both = np.empty(len(own), a.dtype)
+            both[own], both[at] = a, b
+            return both
+
+        return Run(
+            laid(self.keys, other.keys),
+            laid(self.ids, other.ids),
+            laid(self.known, other.known),
+            laid(self.counts, other.counts),
+        ).folded(largest)
+
+
+def joined(runs: list[Run]) -> Run:
+    """Runs that follow each other."""
+    return Run(*(np.concatenate([getattr(r, f) for r in runs]) for f in ("keys", "ids", "known", "counts")))
+
+
+def _lowest(largest: bool) -> int:
+    return np.iinfo(np.int64).min if largest else np.iinfo(np.int64).max
+
+
+def _run_of(batch: pa.RecordBatch, largest: bool) -> Run:
+    """Entries of rows (digest, size, guard, id) in the order of their keys."""
+    size = np.asarray(batch.column("size")).astype(">u8")
+    guard = (np.asarray(batch.column("guard")).view(np.uint64) ^ _SIGN).astype(">u8")
+    digest = np.frombuffer(b"".join(batch.column("digest").to_pylist()), np.uint8).reshape(-1, 32)
+    parts = [digest, size.view(np.uint8).reshape(-1, 8), guard.view(np.uint8).reshape(-1, 8)]
+    keys = np.ascontiguousarray(np.concatenate(parts, axis=1)).view(f"S{_KEY}").ravel()
+    ids = batch.column("id")
+    return Run(
+        keys,
+        ids.fill_null(_lowest(largest)).to_numpy(zero_copy_only=False),
+        ids.is_valid().to_numpy(zero_copy_only=False),
+        np.ones(len(keys), np.int64),
+    )
+
+
+class Blocks:
+    """Cuts runs into blocks for the cells to which their entries move in a round."""
+
+    def __init__(self, level: int):
+        self.level, self.held, self.size = level, {}, {}
+
+    def add(self, cell: int, run: Run) -> Iterator[pa.RecordBatch]:
+        bytes_ = np.ascontiguousarray(run.keys).view(np.uint8).reshape(-1, _KEY)
+        place = bytes_[:, self.level] % RADIX if len(run) else np.empty(0, np.uint8)
+        unit = RADIX**self.level
+        for digit in np.unique(place).tolist():
+            goal = cell + (digit - cell // unit % RADIX) * unit
+            part = run[place == digit]
+            # Runs of different cells stay apart, so that every block is sorted.
+            way = cell, goal
+            self.held.setdefault(way, []).append(part)
+            self.size[way] = self.size.get(way, 0) + len(part)
+            if self.size[way] >= BLOCK:
+                yield self._block(way)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for way in list(self.held):
+            yield self._block(way)
+
+    def _block(self, way: tuple[int, int]) -> pa.RecordBatch:
+        run = joined(self.held.pop(way))
+        del self.size[way]
+        keys = run.keys.tobytes()
+        columns = [keys[:_KEY], keys, run.ids.tobytes(), run.known.tobytes(), run.counts.tobytes()]
+        names = ["cell", "first", "keys", "ids", "known", "counts"]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([way[1]], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)], names=names
         )
-        held = merged.slice(merged.num_rows - 1)
-        if merged.num_rows > 1:
-            yield from merged.slice(0, merged.num_rows - 1).combine_chunks().to_batches()
-    if held is not None:
-        yield from held.combine_chunks().to_batches()
 
 
-def _runs_of(largest: bool):
+def _first_runs(cells: int, largest: bool):
+    """Rows in the order of their keys to the blocks of the first round."""
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = TaskContext.get().partitionId() % cells
+        blocks, held = Blocks(0), None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            order = [(k, "ascending") for k in ("cell", "digest", "size", "guard")]
-            yield from _merge_sorted(iter(table.sort_by(order).combine_chunks().to_batches()), largest)
+            if not batch.num_rows:
+                continue
+            run = _run_of(batch, largest)
+            run = (run if held is None else joined([held, run])).folded(largest)
+            # The last entry may go on in the next batch.
+            held, run = run[-1:], run[:-1]
+            yield from blocks.add(cell, run)
+        if held is not None:
+            yield from blocks.add(cell, held)
+        yield from blocks.rest()
 
     return build
 
 
-def _merge_of(largest: bool):
+def merge_blocks(batches: Iterator[pa.RecordBatch], largest: bool) -> Iterator[tuple[int, Run]]:
+    """Merged entries (cell, run) of blocks in the order of cell and first key."""
+    cell, pending = None, None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if pending is not None and row["cell"] != cell:
+                yield cell, pending
+                pending = None
+            cell = row["cell"]
+            run = Run(
+                np.frombuffer(row["keys"], f"S{_KEY}"),
+                np.frombuffer(row["ids"], np.int64),
+                np.frombuffer(row["known"], bool),
+                np.frombuffer(row["counts"], np.int64),
+            )
+            if pending is not None:
+                # Later blocks begin where this one does, or after it.
+                done = int(np.searchsorted(pending.keys, run.keys[:1])[0])
+                if done:
+                    yield cell, pending[:done]
+                run = pending[done:].merged(run, largest)
+            pending = run
+    if pending is not None:
+        yield cell, pending
+
+
+def _next_round(level: int, largest: bool):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _merge_sorted(batches, largest)
+        blocks = Blocks(level)
+        for cell, run in merge_blocks(batches, largest):
+            yield from blocks.add(cell, run)
+        yield from blocks.rest()
 
     return merge
 
 
+def _entries(largest: bool):
+    """The last round: entries as rows."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, run in merge_blocks(batches, largest):
+            bytes_ = np.ascontiguousarray(run.keys).view(np.uint8).reshape(-1, _KEY)
+            digest = np.ascontiguousarray(bytes_[:, :32]).tobytes()
+            size = np.ascontiguousarray(bytes_[:, 32:40]).view(">u8").ravel().astype(np.int32)
+            guard = np.ascontiguousarray(bytes_[:, 40:]).view(">u8").ravel().astype(np.uint64) ^ _SIGN
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([digest[k : k + 32] for k in range(0, len(digest), 32)], pa.binary()),
+                    pa.array(size),
+                    pa.array(guard.view(np.int64)),
+                    pa.array(run.ids, pa.int64(), mask=~run.known),
+                    pa.array(run.counts),
+                ],
+                names=["digest", "size", "guard", "id", "n"],
+            )
+
+    return unpack
+
+
 def merged_runs(rows: DataFrame, keep: str = "largest") -> DataFrame:
     """Digest rows to one entry per distinct digest: digest, size, guard, id, n."""
     if keep not in ("largest", "smallest"):
@@ -106,25 +246,19 @@ def merged_runs(rows: DataFrame, keep: str = "largest") -> DataFrame:
     rounds, cells = 1, RADIX
     while cells < int(spark.conf.get("spark.sql.shuffle.partitions")):
         rounds, cells = rounds + 1, cells * RADIX
-    runs = rows.select(
-        F.pmod(F.spark_partition_id(), F.lit(cells)).cast("int").alias("cell"),
-        "digest",
-        "size",
-        "guard",
-        "id",
-        F.lit(1).cast("long").alias("n"),
-    ).mapInArrow(_runs_of(largest), _RUN)
+    runs = (
+        rows.select("digest", "size", "guard", "id")
+        .sortWithinPartitions("digest", "size", "guard")
+        .mapInArrow(_first_runs(cells, largest), _RUN)
+    )
     for level in range(rounds):
-        unit = RADIX**level
-        place = F.conv(F.hex(F.substring("digest", level + 1, 1)), 16, 10).cast("int") % RADIX
-        held = (F.floor(F.col("cell") / unit) % RADIX).cast("int")
+        last = level + 1 == rounds
         runs = (
-            runs.withColumn("cell", (F.col("cell") + (place - held) * unit).cast("int"))
-            .repartition(cells, "cell")
-            .sortWithinPartitions("cell", "digest", "size", "guard")
-            .mapInArrow(_merge_of(largest), _RUN)
+            runs.repartitionById(cells, "cell")
+            .sortWithinPartitions("cell", "first")
+            .mapInArrow(_entries(largest) if last else _next_round(level + 1, largest), _ENTRY if last else _RUN)
         )
-    return runs.drop("cell")
+    return runs
 
 
 def exact_duplicates(
