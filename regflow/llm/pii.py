@@ -11,7 +11,9 @@
    become spans of kind `context`, where they do not overlap a base span.
 
 A span's place is found natively: matches are replaced by themselves between two marks, the
-text is split at the marks, and places are running sums of the pieces' lengths.
+text is split at the marks, and places are running sums of the pieces' lengths. An array grows by
+being copied, so the pieces are folded in chunks and the chunks' results once more: the time is
+linear in the text.
 """
 
 from __future__ import annotations
@@ -25,8 +27,9 @@ ROUNDS = 3
 CONFIDENT = 0.8
 #: Confidence is n / (n + SHRINK) of the mean score, n the pattern's distinct instances.
 SHRINK = 1.0
-#: A context is looked for in so many characters before a token.
-REACH = 48
+#: Pieces of a text that are folded together, and characters of a text in which tokens and base
+#: spans are compared. Both bound what meets in one step, and change no result.
+CHUNK, STRETCH = 256, 64
 
 # The shapes of the base kinds. Possessive runs, and starts only where a run
 # starts or the last match ended, find the same matches in time linear in the text.
@@ -45,12 +48,18 @@ _OPEN, _CLOSE = "\ue000", "\ue001"
 _SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
-def spans(text: Column, pattern: str, needs: Column) -> Column:
-    """All matches of `pattern` as (start, end, text), places in code points. `text` holds no
-    marks; where `needs` is false there are none."""
-    marked = F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}")
-    parts = F.split(marked, _OPEN)
-    # A part after the first is a match, the closing mark, and what follows.
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """The text up to the first match, then for each match: it, the closing mark, and what follows."""
+    return F.split(F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}"), _OPEN)
+
+
+def _placed(parts: Column) -> Column:
+    """The matches in `_pieces` as (start, end, text), places in code points."""
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
 
     def step(state: Column, part: Column) -> Column:
@@ -65,7 +74,32 @@ def spans(text: Column, pattern: str, needs: Column) -> Column:
             F.when(size >= 0, F.concat(state["found"], F.array(one))).otherwise(state["found"]).alias("found"),
         )
 
-    found = F.aggregate(parts, empty, step, lambda state: state["found"])
+    starts = F.sequence(F.lit(1), F.size(parts), F.lit(CHUNK))
+    chunks = F.transform(starts, lambda first: F.aggregate(F.slice(parts, first, F.lit(CHUNK)), empty, step))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("all"))
+
+    def join(state: Column, chunk: Column) -> Column:
+        at = state["at"]
+
+        def moved(span: Column) -> Column:
+            return F.struct(
+                (span["start"] + at).cast("int").alias("start"),
+                (span["end"] + at).cast("int").alias("end"),
+                span["text"].alias("text"),
+            )
+
+        return F.struct(
+            (at + chunk["at"]).cast("int").alias("at"),
+            F.concat(state["all"], F.array(F.transform(chunk["found"], moved))).alias("all"),
+        )
+
+    return F.flatten(F.aggregate(chunks, none, join, lambda state: state["all"]))
+
+
+def spans(text: Column, pattern: str, needs: Column) -> Column:
+    """All matches of `pattern` as (start, end, text), places in code points. `text` holds no
+    marks; where `needs` is false there are none."""
+    found = _let(_pieces(text, pattern), _placed)
     return F.when(needs, found).otherwise(F.array().cast(_SPAN))
 
 
@@ -134,42 +168,79 @@ def _labelled(rank: int, kind: str):
 
 
 def _candidates() -> Column:
-    """Identifier-like tokens of `plain`, each with the text just ahead of it."""
-    every = spans(F.col("plain"), _TOKEN, F.col("digit") | (F.instr("plain", "@") > 0))
-
-    def with_reach(token: Column) -> Column:
-        first = F.greatest(token["start"] - REACH + 1, F.lit(1))
-        ahead = F.substring(F.col("plain"), first, F.least(token["start"], F.lit(REACH)))
-        return F.struct(token["start"].alias("start"), token["text"].alias("raw"), ahead.alias("ahead"))
+    """Identifier-like tokens of `plain`, each with a hash of the whole word ahead of it."""
+
+    def cue(part: Column) -> Column:
+        plain = F.regexp_replace(F.translate(part, _CLOSE, ""), r"\s+", " ")
+        return F.xxhash64(F.lower(F.element_at(F.split(F.trim(plain), " "), -1)))
+
+    def tokens(parts: Column) -> Column:
+        # What precedes a match is the piece before its own.
+        ahead = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), cue)
+        return F.zip_with(
+            _placed(parts),
+            ahead,
+            lambda token, word: F.struct(
+                token["start"].alias("start"), token["text"].alias("raw"), word.alias("cue")
+            ),
+        )
 
-    return F.transform(every, with_reach)
+    found = _let(_pieces(F.col("plain"), _TOKEN), tokens)
+    none = F.array().cast("array<struct<start:int,raw:string,cue:bigint>>")
+    return F.when(F.col("digit") | (F.instr("plain", "@") > 0), found).otherwise(none)
 
 
 def _tokens(found: DataFrame) -> DataFrame:
     """One row per identifier-like token: row, place, instance, pattern, seed."""
-    rows = found.select("row", "base", F.explode("tokens").alias("token")).select(
-        "row", "base", "token.start", "token.raw", "token.ahead"
+    rows = found.select("row", F.explode("tokens").alias("token")).select(
+        "row", "token.start", "token.raw", "token.cue"
     )
-    words = F.split(F.trim(F.regexp_replace("ahead", r"\s+", " ")), " ")
-    cue = F.lower(F.element_at(words, -1))
     # Signs around a token are no part of it.
-    lead = F.char_length("raw") - F.char_length(F.regexp_replace("raw", r"^[^\p{L}\p{N}+@]+", ""))
-    body = F.regexp_replace(F.regexp_replace("raw", r"^[^\p{L}\p{N}+@]+", ""), r"[^\p{L}\p{N}]+$", "")
+    lead = F.char_length("raw") - F.char_length(F.regexp_replace("raw", r"^[^\p{L}\p{N}+@]++", ""))
+    body = _without_last_signs(F.regexp_replace("raw", r"^[^\p{L}\p{N}+@]++", ""))
     shape = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(F.lower("body"), "[0-9]+", "9"), r"\p{L}+", "a"), r"9(?:a?9)+", "9"
+        F.regexp_replace(F.regexp_replace(F.lower("body"), "[0-9]+", "9"), r"\p{L}+", "a"), r"9(?:a?9)++", "9"
     )
     rows = rows.withColumn("body", body).withColumn("start", F.col("start") + lead)
     rows = rows.withColumn("end", F.col("start") + F.char_length("body"))
-    touches = F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
     # An identifier has two digits at least, or an at sign, and four characters.
-    able = F.col("body").rlike("@|[0-9].*[0-9]") & (F.char_length("body") >= 4)
-    return rows.filter(able).select(
+    able = F.col("body").rlike("@|[0-9][^0-9]*+[0-9]") & (F.char_length("body") >= 4)
+    kept = rows.filter(able).select(
         "row",
         "start",
         "end",
         F.xxhash64(F.lower("body")).alias("instance"),
-        F.xxhash64(cue, F.substring(shape, 1, 64)).alias("pattern"),
-        touches.alias("seed"),
+        F.xxhash64("cue", shape).alias("pattern"),
+    )
+    return _with_seeds(checkpointed(kept.distinct()), found)
+
+
+def _without_last_signs(text: Column) -> Column:
+    """The text up to its last letter or digit."""
+    return F.reverse(F.regexp_replace(F.reverse(text), r"^[^\p{L}\p{N}]++", ""))
+
+
+def _with_seeds(tokens: DataFrame, found: DataFrame) -> DataFrame:
+    """Tokens with `seed`: whether a base span overlaps them. Both meet by stretches of the text
+    that they touch, so that a long text is compared piece by piece."""
+
+    def stretches(start: str, end: str) -> Column:
+        return F.explode(F.sequence(F.expr(f"{start} div {STRETCH}"), F.expr(f"({end} - 1) div {STRETCH}")))
+
+    base = found.select("row", F.explode("base").alias("span")).select(
+        "row", F.col("span.start").alias("from"), F.col("span.end").alias("to")
+    )
+    base = base.filter("to > from").distinct().withColumn("stretch", stretches("from", "to"))
+    touched = (
+        tokens.select("row", "start", "end", stretches("start", "end").alias("stretch"))
+        .join(base, ["row", "stretch"])
+        .filter("from < end and to > start")
+        .select("row", "start")
+        .distinct()
+        .withColumn("touched", F.lit(True))
+    )
+    return tokens.join(touched, ["row", "start"], "left").select(
+        "row", "start", "end", "instance", "pattern", F.coalesce("touched", F.lit(False)).alias("seed")
     )
 
 
@@ -214,13 +285,11 @@ def find_personal_data(
     empty result.
     """
     found = base_spans(ids_and_texts(docs, id_col, text_col))
-    # Texts are read once. Rows are told apart by a hash of their content: equal rows have
+    # Texts are read once. Rows are told apart by a digest of id and text: equal rows have
     # equal spans.
-    keyed = stored(
-        found.select("id", F.xxhash64("id", "plain").alias("row"), "base", _candidates().alias("tokens")),
-        "spans",
-    )
-    tokens = checkpointed(_tokens(keyed).distinct())
+    row = F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("-")), "plain"))
+    keyed = stored(found.select("id", row.alias("row"), "base", _candidates().alias("tokens")), "spans")
+    tokens = checkpointed(_tokens(keyed))
     chosen = confident_patterns(tokens, rounds, confident)
     new = (
         tokens.filter(~F.col("seed"))

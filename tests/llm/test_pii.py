@@ -1,5 +1,9 @@
 import hashlib
+import itertools
+import random
 import re
+import time
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -104,3 +108,99 @@ def test_empty_table(docs_of):
 def test_plan_is_native(docs_of, name):
     frame = personal_columns(find_personal_data(docs_of([(1, "a@b.c")])))
     assert name not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_contexts(rows, rounds=3, confident=0.8):
+    """Context spans by the definition: tokens, their patterns, and the scores of the graph."""
+
+    def letter(c):
+        return unicodedata.category(c)[0] == "L"
+
+    def number(c):
+        return unicodedata.category(c)[0] == "N"
+
+    tokens = []
+    for doc, text in rows:
+        text = text or ""
+        base = [tuple(map(int, s.split(":")[1:])) for s in brute(text)]
+        for m in re.finditer(r"(?<!\S)[^\s0-9@]*[0-9@]\S*", text, re.ASCII):
+            before = re.split(r"\s+", text[: m.start()].strip(" \t\n\r\x0b\x0c"), flags=re.ASCII)[-1].lower()
+            start, end = m.start(), m.end()
+            while start < end and not (letter(text[start]) or number(text[start]) or text[start] in "+@"):
+                start += 1
+            while end > start and not (letter(text[end - 1]) or number(text[end - 1])):
+                end -= 1
+            body = text[start:end]
+            if end - start < 4 or not ("@" in body or len(re.findall("[0-9]", body)) > 1):
+                continue
+            shape = re.sub("9(?:a?9)+", "9", _folded(re.sub("[0-9]+", "9", body.lower()), letter))
+            seed = any(s < end and e > start for s, e in base)
+            tokens.append((doc, start, end, body.lower(), (before, shape), seed))
+    edges, given = {}, {}
+    for *_, instance, pattern, seed in tokens:
+        edges[pattern, instance] = max(seed, edges.get((pattern, instance), False))
+        given[instance] = max(seed, given.get(instance, False))
+    score = {i: float(g) for i, g in given.items()}
+    for _ in range(rounds):
+        total, count, seeds = {}, {}, {}
+        for (pattern, instance), seed in edges.items():
+            total[pattern] = total.get(pattern, 0.0) + score[instance]
+            count[pattern] = count.get(pattern, 0) + 1
+            seeds[pattern] = seeds.get(pattern, 0) + seed
+        confidence = {p: total[p] / (count[p] + 1) for p in total}
+        score = {i: max(float(given[i]), max(confidence[p] for p, j in edges if j == i)) for i in given}
+    chosen = {p for p in confidence if confidence[p] >= confident and seeds[p]}
+    found = {}
+    for doc, start, end, _, pattern, seed in tokens:
+        if pattern in chosen and not seed:
+            found.setdefault(doc, set()).add(f"context:{start}:{end}")
+    return found
+
+
+def _folded(shape, letter):
+    """Runs of letters as one `a`."""
+    return "".join("a" if is_letter else "".join(run) for is_letter, run in itertools.groupby(shape, letter))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_contexts_match_brute_force(docs_of, seed):
+    rng = random.Random(seed)
+    cues = ["mail", "call", "host", "Card:", "é", "(id)", "see"]
+
+    def token():
+        n = rng.randrange
+        return rng.choice([
+            f"user{n(40)}@mail.example.com", f"user{n(40)}@intranet", f"10.0.{n(9)}.{n(400)}", f"+1-555-010-{n(10)}{n(10)}{n(10)}{n(10)}",
+            f"ID-{n(100):05d}x", "4111 1111 1111 1111", f"{n(10**9)}", f"«{n(900)}-ab{n(9)}»,", f"({n(50)}.{n(50)})", "@", "x" * 70 + f"{n(99)}", "9a9a9",
+        ])
+
+    rows = []
+    for i in range(150):
+        words = []
+        for _ in range(rng.randrange(0, 9)):
+            words += [rng.choice(cues), token()] if rng.random() < 0.8 else [token()] * rng.randrange(1, 3)
+            words.append(rng.choice(["", "\n\t", "plain words"]))
+        rows.append((i, rng.choice([" ", "  ", "\n"]).join(words)))
+    # Hundreds of pieces in one text, in several chunks, and the words of a chunk's first match before it.
+    rows.append((900, " ".join(f"host 10.0.{k % 9}.{k % 400} mail user{k}@mail.example.com" for k in range(700))))
+    rows += [(901, None), (902, rows[0][1]), (902, rows[0][1]), (None, rows[1][1])]
+    wanted = brute_contexts(rows)
+    got = check(docs_of, rows)
+    assert any(wanted.values())
+    for r in got:
+        found = {s for s in r.spans.split(",") if s.startswith("context")}
+        assert found == wanted.get(r.doc_id, set()), r.doc_id
+
+
+def test_time_is_linear_in_a_text(docs_of):
+    def seconds(n):
+        text = " ".join(f"host 10.0.{k % 256}.{k % 250} and {k}" for k in range(n))
+        began = time.perf_counter()
+        [row] = personal_columns(find_personal_data(docs_of([(1, text)]))).collect()
+        assert row.n_ip == n
+        return time.perf_counter() - began
+
+    seconds(200)
+    small, large = seconds(8_000), seconds(32_000)
+    # Four times the text; the square would be sixteen times.
+    assert large < 6 * small
