@@ -1,19 +1,22 @@
 """Near-duplicate embeddings by a dual traversal of cover trees.
 
 Vectors are scaled to length 1, where cosine and distance are one: cos >= t exactly when
-|v - w| <= sqrt(2 - 2t). Vectors are dealt by hash into blocks of bounded size, so that close
-vectors never pile up in one task, and each block becomes a cover tree once: nested levels
-whose radius halves, the centres of a level farther apart than its radius and every vector
+|v - w| <= sqrt(2 - 2t). One tree spans all vectors. Its top level is a net of a bounded sample: every
+vector belongs to the cell of its nearest centre, and a cell has the exact covering radius of all
+its vectors. A cell is cut into blocks of bounded size, and each block becomes a cover
+tree once: nested levels whose radius halves, the centres of a level farther apart than its radius and every vector
 within that radius of its centre, each centre with the exact covering radius of what lies below.
 
-Every two trees are traversed together in one task. Two nodes are followed only where their
-centres are within both covering radii plus the threshold distance; where single vectors meet,
-their cosine in double precision decides. A task gives each vector's number of partners and the
-links of a spanning forest, never the pairs, so a group of n close vectors costs n rows a block.
+Nodes of two trees are followed only where their centres are within both covering radii plus the
+threshold distance, from the cells on: blocks of other cells never meet. Trees are dealt to
+tiles of a few blocks, and a task traverses the trees of two tiles pair by pair, so that a tree is sent once for each
+tile that it can reach. Where single vectors meet, their cosine in double precision decides. A task gives each vector's
+number of partners and the links of a spanning forest, never the pairs, so a group of n close vectors
+costs n rows a tile.
 
 Pruning needs data with low-dimensional or clustered structure. Vectors that are far from each
-other in all directions leave as many nodes as vectors on the upper levels, and every two
-blocks meet, so that such data cost the square of their number in (vectorised) distances.
+other in all directions leave as many nodes as vectors on the upper levels, and their cells all reach
+each other, so that such data cost the square of their number in (vectorised) distances.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regflow.llm.common import checkpointed, stored
+from regflow.llm.common import checkpointed, pieces, stored
 from regflow.llm.components import components
 from regflow.session import ship_by_value
 
@@ -35,8 +38,11 @@ ship_by_value(__name__)
 
 #: Vectors in a block, on average.
 BLOCK = 4096
-#: Pairs of trees in a task, on average.
-PAIRS = 4
+#: The top level has at most so many centres, a net of at most so many vectors, and cells of a
+#: quarter of a block on average where the data are few. None of these changes a result.
+CENTRES, SAMPLE = 512, 8192
+#: Blocks in a tile, on average.
+TILE = 4
 #: A node of so few vectors gets no further level.
 LEAF = 64
 #: Levels end at this radius.
@@ -195,42 +201,133 @@ class Forest:
             self.link(x, y)
 
 
+def top_level(sample: np.ndarray, wanted: int) -> np.ndarray:
+    """At most `wanted` centres: the finest net of the sample that has no more."""
+    rough = sample.astype(np.float32)
+    rows, radius = np.arange(len(sample)), 1.25
+    best = net(rough, rows, radius)[0][:wanted]
+    while radius > FINEST:
+        radius *= 0.8
+        finer = net(rough, rows, radius)[0]
+        if len(finer) > wanted:
+            break
+        best = finer
+    return sample[best]
+
+
+def _top_levels(classes: DataFrame, block: int) -> dict[int, np.ndarray]:
+    """Centres for each size of vectors in a sample of all. Sizes that it lacks have none."""
+    numbers = {r["size"]: r["n"] for r in classes.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    chosen = classes.select("size", "vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).collect()
+    sampled: dict[int, list] = {}
+    for row in chosen:
+        sampled.setdefault(row["size"], []).append(np.frombuffer(row["vector"], np.float64))
+    return {
+        size: top_level(np.stack(held), min(CENTRES, max(1, 4 * numbers[size] // block)))
+        for size, held in sampled.items()
+    }
+
+
+_PLACED = "cid long, first long, copies long, size int, vector binary, cell int, away double"
+
+
+def _nearest(centres: dict[int, np.ndarray]):
+    """Adds each vector's nearest centre and the distance from it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "vector"):
+            sizes = batch.column("size").to_numpy()
+            data = batch.column("vector").to_pylist()
+            cell, away = np.full(len(sizes), -1, np.int32), np.zeros(len(sizes))
+            for size in np.unique(sizes).tolist():
+                if size not in centres:
+                    continue
+                rows = np.flatnonzero(sizes == size)
+                vectors = np.stack([np.frombuffer(data[r], np.float64) for r in rows])
+                cosines = vectors @ centres[size].T
+                cell[rows] = cosines.argmax(axis=1)
+                away[rows] = _distance(cosines.max(axis=1))
+            columns = [batch.column(c) for c in ("cid", "first", "copies", "size", "vector")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(cell), pa.array(away)], names=[*(c for c in _PLACED.replace(",", "").split()[::2])]
+            )
+
+    return run
+
+
+def _reaching(cells: pd.DataFrame, centres: dict[int, np.ndarray], cosine: float) -> pd.DataFrame:
+    """Pairs of cells (size, a, b), a <= b, that can hold a linked pair, each with itself."""
+    near = float(_distance(np.float64(cosine))) + SLACK
+    found = []
+    for size, part in cells.groupby("size"):
+        number = part["cell"].to_numpy()
+        reach = np.eye(len(part), dtype=bool)
+        if size in centres:
+            radii = part["radius"].to_numpy()
+            apart = _distance(centres[size][number] @ centres[size][number].T)
+            reach |= apart <= radii[:, None] + radii + near
+        a, b = np.nonzero(np.triu(reach))
+        found.append(pd.DataFrame({"size": size, "a": number[a], "b": number[b]}))
+    return pd.concat(found)
+
+
 def _plant(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
     """A block's tree as one row."""
     block = block.sort_values("cid", kind="stable")
     vectors = np.stack([np.frombuffer(v, np.float64) for v in block["vector"]])
     columns = [block[c].to_numpy(np.int64) for c in ("cid", "first", "copies")]
+    held = (*columns, cover_tree(vectors), (key[0], key[1]))
     return pd.DataFrame(
-        {"size": [key[0]], "block": [key[1]], "tree": [pickle.dumps((*columns, cover_tree(vectors)))]}
+        {"size": [key[0]], "cell": [key[1]], "tile": [key[2]], "block": [key[3]], "tree": [pickle.dumps(held)]}
     )
 
 
 _MET = pa.schema([("cid", pa.int64()), ("partners", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _meet(cosine: float):
+def _meet(cosine: float, reaching: set[tuple[int, int, int]]):
+    """Traverses the trees of two tiles, given as rows (x, y, side, tree) in the order of tiles."""
+
+    def pair(one: tuple, two: tuple) -> bool:
+        (size, a), (other, b) = one[4], two[4]
+        return size == other and (size, min(a, b), max(a, b)) in reaching
+
+    def meet(first: list[tuple], second: list[tuple] | None) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        every = first + (second or [])
+        counts = {id(tree): np.zeros(len(tree[0]), np.int64) for tree in every}
+        if second is None:
+            pairs = [(x, y) for k, x in enumerate(first) for y in first[k:]]
+        else:
+            pairs = [(x, y) for x in first for y in second]
+        for one, two in pairs:
+            if not pair(one, two):
+                continue
+            for rows, columns in traverse(one[3], two[3], cosine):
+                np.add.at(counts[id(one)], rows, two[2][columns])
+                np.add.at(counts[id(two)], columns, one[2][rows])
+                forest.add(one[1][rows], two[1][columns])
+        for tree in every:
+            some = counts[id(tree)] > 0
+            none = pa.nulls(int(some.sum()), pa.int64())
+            found = [pa.array(tree[0][some]), pa.array(counts[id(tree)][some])]
+            yield pa.RecordBatch.from_arrays([*found, none, none], schema=_MET)
+        ends = [pa.array([x[k] for x in forest.links], pa.int64()) for k in (0, 1)]
+        none = pa.nulls(len(forest.links), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, *ends], schema=_MET)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
         for batch in batches:
             for row in range(batch.num_rows):
-                one = pickle.loads(batch.column("one")[row].as_py())
-                data = batch.column("two")[row].as_py()
-                two = one if data is None else pickle.loads(data)
-                forest = Forest()
-                counts = [np.zeros(len(one[0]), np.int64), np.zeros(len(two[0]), np.int64)]
-                other = counts[0] if two is one else counts[1]
-                for rows, columns in traverse(one[3], two[3], cosine):
-                    np.add.at(counts[0], rows, two[2][columns])
-                    np.add.at(other, columns, one[2][rows])
-                    forest.add(one[1][rows], two[1][columns])
-                for side, found in ((one, counts[0]), (two, counts[1])):
-                    some = found > 0
-                    none = pa.nulls(int(some.sum()), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(side[0][some]), pa.array(found[some]), none, none], schema=_MET
-                    )
-                ends = [pa.array([x[k] for x in forest.links], pa.int64()) for k in (0, 1)]
-                none = pa.nulls(len(forest.links), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, *ends], schema=_MET)
+                x, y, side = (batch.column(c)[row].as_py() for c in ("x", "y", "side"))
+                if (x, y) != key:
+                    if key:
+                        yield from meet(sides[0], None if key[0] == key[1] else sides[1])
+                    key, sides = (x, y), ([], [])
+                sides[side].append(pickle.loads(batch.column("tree")[row].as_py()))
+        if key:
+            yield from meet(sides[0], None if key[0] == key[1] else sides[1])
 
     return run
 
@@ -269,6 +366,7 @@ def near_duplicates(
     their own with one component. A row with a null id takes no part: no links, null component,
     kept false. An empty table gives an empty result; other columns are not read.
     """
+    spark = table.sparkSession
     raw = table.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{vector_col}`").cast("array<double>").alias("vector"),
@@ -281,28 +379,55 @@ def near_duplicates(
         .withColumn("cid", F.monotonically_increasing_id())
         .withColumn("size", F.octet_length("vector"))
     )
-    blocks = classes.groupBy("size").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    centres = _top_levels(classes, block)
+    placed = stored(classes.select("cid", "first", "copies", "size", "vector").mapInArrow(_nearest(centres), _PLACED), "cells")
+    # As many rows as there are centres, and one for each size without any.
+    cells = (
+        placed.groupBy("size", "cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).toPandas()
+    ).sort_values(["size", "cell"], ignore_index=True)
+    if not len(cells):
+        cells = cells.astype({"size": "int32", "cell": "int32", "n": "int64", "radius": "float64"})
+        reaching = pd.DataFrame({"size": [], "a": [], "b": []}).astype("int32")
+    else:
+        reaching = _reaching(cells, centres, cosine)
+    before = cells["n"].cumsum() - cells["n"]
+    cells["before"] = before
+    known_cells = spark.createDataFrame(cells, "size int, cell int, n long, radius double, before long")
+    pairs = spark.createDataFrame(reaching, "size int, a int, b int")
+    # Blocks of a cell, and tiles of the blocks that follow each other. Both tables are bounded by `CENTRES`.
+    count = F.ceil(F.col("n") / block)
+    number = F.pmod(F.xxhash64("vector"), count)
+    dealt = placed.join(F.broadcast(known_cells), ["size", "cell"]).select(
+        *("cid", "first", "copies", "size", "vector", "cell"),
+        F.floor((F.col("before") + number * block) / (TILE * block)).cast("int").alias("tile"),
+        number.cast("int").alias("block"),
+    )
+    key = ["size", "cell", "tile", "block"]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     trees = stored(
-        classes.join(blocks, "size")
-        .withColumn("block", F.pmod(F.xxhash64("vector"), "blocks").cast("int"))
-        .groupBy("size", "block")
-        .applyInPandas(_plant, "size int, block int, tree binary"),
+        # Some MB a block: the adaptive reader would plant many in one task.
+        dealt.repartition(tasks, *key).groupBy(*key).applyInPandas(_plant, "size int, cell int, tile int, block int, tree binary"),
         "trees",
     )
-    # Each tree meets the trees of its own block number and above.
-    one = trees.join(blocks, "size").select(
-        "size", F.col("tree").alias("one"), "block", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("meets")
+    places = trees.select("size", "cell", "tile").distinct()
+    tiles = checkpointed(
+        pairs.join(places.withColumnRenamed("cell", "a").withColumnRenamed("tile", "x"), ["size", "a"])
+        .join(places.withColumnRenamed("cell", "b").withColumnRenamed("tile", "y"), ["size", "b"])
+        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        .distinct()
     )
-    two = trees.select("size", F.col("block").alias("meets"), F.col("tree").alias("two"))
-    pairs = one.join(two, ["size", "meets"]).select(
-        "size", "block", "meets", "one", F.when(F.col("block") != F.col("meets"), F.col("two")).alias("two")
+    first = tiles.join(trees.select(F.col("tile").alias("x"), "tree"), "x").select("x", "y", F.lit(0).alias("side"), "tree")
+    second = (
+        tiles.filter("x < y")
+        .join(trees.select(F.col("tile").alias("y"), "tree"), "y")
+        .select("x", "y", F.lit(1).alias("side"), "tree")
     )
-    # A pair of trees is some MB: few of them to a task.
-    n_pairs = blocks.agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 0
+    linked = set(map(tuple, reaching[["size", "a", "b"]].to_numpy(np.int64).tolist()))
     met = checkpointed(
-        pairs.repartition(1 + int(n_pairs) // PAIRS, "size", "block", "meets")
-        .select("one", "two")
-        .mapInArrow(_meet(cosine), "cid long, partners long, a long, b long")
+        first.unionByName(second)
+        .repartition(1 + tiles.count(), "x", "y")
+        .sortWithinPartitions("x", "y", "side")
+        .mapInArrow(_meet(cosine, linked), "cid long, partners long, a long, b long")
     )
     partners = met.filter("cid IS NOT NULL").groupBy("cid").agg(F.sum("partners").alias("partners"))
     same = able.join(classes, "vector").select(F.col("id").alias("a"), F.col("first").alias("b"))

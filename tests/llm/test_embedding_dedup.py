@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from regflow.llm.embedding_dedup import cover_tree, near_duplicates, traverse
+from regflow.llm import embedding_dedup
+from regflow.llm.embedding_dedup import cover_tree, near_duplicates, top_level, traverse
 
 from .test_ngram_join import smallest
 
@@ -35,7 +36,7 @@ def cloud(seed, n=220, dims=16):
     return np.array(out)
 
 
-@pytest.mark.parametrize(("seed", "block"), [(0, 40), (1, 4096)])
+@pytest.mark.parametrize(("seed", "block"), [(0, 40), (1, 4096), (2, 7)])
 def test_matches_brute_force(spark, seed, block):
     vectors = cloud(seed).tolist()
     rows = [(3 * i, v) for i, v in enumerate(vectors)]
@@ -81,3 +82,28 @@ def test_radii_cover():
         return out
 
     assert sorted(below(root)) == list(range(600))
+
+
+def test_cells_that_are_far_apart_never_meet(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centres = np.eye(12)[:6]
+    x = np.concatenate([c + 0.05 * rng.normal(size=(50, 12)) for c in centres])
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    seen = []
+    plain = embedding_dedup._reaching
+    monkeypatch.setattr(embedding_dedup, "_reaching", lambda *a: seen.append(plain(*a)) or seen[-1])
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = near_duplicates(frame, block=100).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 0.95)
+    [pairs] = seen
+    assert len(pairs) < 12 * 13 / 2 and (pairs["a"] <= pairs["b"]).all()
+
+
+def test_top_level_is_a_net_of_bounded_size():
+    x = cloud(4, 500, 8)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for wanted in (1, 7, 60, 1000):
+        centres = top_level(x, wanted)
+        assert 1 <= len(centres) <= wanted
+    flat = np.repeat(x[:1], 40, axis=0)
+    assert len(top_level(flat, 5)) == 1
