@@ -8,10 +8,15 @@ the smaller of their quotas (`prefix_sizes`).
 1. Classes. Documents with equal sets are one class, kept by its smallest id.
 2. Groups. Classes that agree in one of `KEYS` minimum hashes are compared with the first of
    them, one comparison per class and hash; those that link form the groups. A family of near
-   copies thus becomes one group without comparing its members with each other.
-3. Matrix. One entry per token and group: the union of its members' prefixes. The number of
+   copies thus becomes few groups without comparing its members with each other.
+3. Order. Tokens that stand in many prefixes are moved behind the others, and the prefixes
+   that held one are taken anew. Tokens of no second prefix are left out.
+4. Rounds. In each of `ROUNDS` rounds a group meets one other, that with which it shares the most tokens
+   of those that are some token's smallest group by a hash. A few members of both are compared, and linked
+   groups become one, so that what is left of a family comes together at a cost in proportion to its size.
+5. Matrix. One entry per token and group: the union of its members' prefixes. The number of
    tokens that two groups share bounds what any two of their members can share.
-4. Opening. Only pairs of groups whose bound reaches the quota are opened. Their members' sets
+6. Opening. Only pairs of groups whose bound reaches the quota are opened. Their members' sets
    meet in blocks of bounded size, and one link joins the groups.
 
 Every pair over the threshold lies within a group or between two opened ones, so the components
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regflow.llm.common import checkpointed, ids_and_texts, pieces, stored
@@ -36,8 +41,12 @@ ship_by_value(__name__)
 
 WORDS = 5
 KEYS = 4
-#: Members of a group on each side of one block.
-BLOCK = 512
+#: Tokens of a group's members on each side of one block.
+BLOCK = 1 << 16
+#: Prefixes from which on a token is moved back, and groups of a token that are paired in one row.
+CROWDED, LISTED = 8, 64
+#: Rounds of joining groups, and members of each that are compared in them.
+ROUNDS, SAMPLED = 2, 4
 #: Tokens per block of the frequency count, and the least count there that is reported. A
 #: token of d documents over b blocks is reported once d is some twice the root of b.
 COUNTED, LEAST = 4_000_000, 2
@@ -170,61 +179,139 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], found["rank"].to_numpy(np.uint64)[order] + np.uint64(1)
 
 
-def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
+_PROFILE = "id long, n long, sum1 long, sum2 long, keys array<long>, quota long, prefix array<long>"
+
+_COLUMNS = [part.split()[0] for part in _PROFILE.split(", ")]
+
+
+def _profile_rows(ids: pa.Array, sets: list[np.ndarray], often: tuple, percent: int) -> pa.RecordBatch:
+    """`_PROFILE` of documents, from their sets."""
+    tokens_often, ranks = often
+    n, sums, keys, quotas, prefixes = [], [], [], [], []
+    for tokens in sets:
+        n.append(len(tokens))
+        mixed = [tokens, *(mix(tokens ^ seed) for seed in _SEEDS[1:KEYS])]
+        sums.append([int(m.sum(dtype=np.uint64).view(np.int64)) for m in mixed[:2]])
+        keys.append([int(m.min().view(np.int64)) if len(m) else 0 for m in mixed])
+        length, quota = prefix_sizes(len(tokens), percent)
+        if len(tokens) and len(tokens_often):
+            at = np.minimum(np.searchsorted(tokens_often, tokens), len(tokens_often) - 1)
+            rank = np.where(tokens_often[at] == tokens, ranks[at], np.uint64(0))
+            # Tokens are sorted, so a stable sort by rank orders by (rank, hash).
+            tokens = tokens[np.argsort(rank, kind="stable")]
+        quotas.append(quota)
+        prefixes.append(tokens[:length].view(np.int64))
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            pa.array(n, pa.int64()),
+            pa.array([s[0] for s in sums], pa.int64()),
+            pa.array([s[1] for s in sums], pa.int64()),
+            pa.array(keys, pa.list_(pa.int64())),
+            pa.array(quotas, pa.int64()),
+            _lists(prefixes),
+        ],
+        names=["id", "n", "sum1", "sum2", "keys", "quota", "prefix"],
+    )
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _profiles(docs: DataFrame, words: int, percent: int, frequent: tuple) -> DataFrame:
     """Per document: id, n, two sums that identify its set, minimum hashes, quota, prefix."""
-    often = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
+    often = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        tokens_often, ranks = often.value
         for batch in pieces(batches):
-            n, sums, keys, quotas, prefixes = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                tokens = shingles(text, hashes, words)
-                n.append(len(tokens))
-                mixed = [tokens, *(mix(tokens ^ seed) for seed in _SEEDS[1:KEYS])]
-                sums.append([int(m.sum(dtype=np.uint64).view(np.int64)) for m in mixed[:2]])
-                keys.append([int(m.min().view(np.int64)) if len(m) else 0 for m in mixed])
-                length, quota = prefix_sizes(len(tokens), percent)
-                if len(tokens) and len(tokens_often):
-                    at = np.minimum(np.searchsorted(tokens_often, tokens), len(tokens_often) - 1)
-                    rank = np.where(tokens_often[at] == tokens, ranks[at], np.uint64(0))
-                    # Tokens are sorted, so a stable sort by rank orders by (rank, hash).
-                    tokens = tokens[np.argsort(rank, kind="stable")]
-                quotas.append(quota)
-                prefixes.append(tokens[:length].view(np.int64))
-            ends = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
-            flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array(n, pa.int64()),
-                    pa.array([s[0] for s in sums], pa.int64()),
-                    pa.array([s[1] for s in sums], pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(quotas, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ],
-                names=["id", "n", "sum1", "sum2", "keys", "quota", "prefix"],
-            )
+            sets = [shingles(text, hashes, words) for text in batch.column("text").to_pylist()]
+            yield _profile_rows(batch.column("id"), sets, often.value, percent)
 
-    schema = "id long, n long, sum1 long, sum2 long, keys array<long>, quota long, prefix array<long>"
-    return stored(docs.mapInArrow(run, schema), "profiles")
+    return stored(docs.mapInArrow(run, _PROFILE), "profiles")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(id, tokens) of the wanted ids. A bit filter of fixed size drops most other texts where
-    they are read; false hits only cost time, and the join that follows is exact."""
-    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+def _later(frequent: tuple, counts: DataFrame) -> tuple[np.ndarray, tuple]:
+    """Tokens of `counts` (token, n) that `frequent` does not have and that fill many prefixes,
+    sorted, and the order with them. At most `FREQUENT` of them, the most frequent, move."""
+    found = (
+        counts.filter(F.col("n") >= CROWDED).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+    )
+    tokens = found["token"].to_numpy(np.int64).view(np.uint64)
+    ranks = np.floor(np.log2(found["n"].to_numpy(float) / OFTEN)).astype(np.uint64) + np.uint64(1)
+    new = ~np.isin(tokens, frequent[0])
+    order = np.argsort(tokens[new])
+    every = np.concatenate([frequent[0], tokens[new]])
+    rank = np.concatenate([frequent[1], ranks[new]])
+    sort = np.argsort(every)
+    return tokens[new][order], (every[sort], rank[sort])
+
+
+def _reordered(
+    docs: DataFrame, classes: DataFrame, words: int, percent: int, frequent: tuple
+) -> tuple[DataFrame, np.ndarray]:
+    """Classes with prefixes by the better order, and marks of the tokens that a second prefix may hold.
+
+    A prefix without a token that moves back stays what it is, as all others keep their places. So
+    only the sets of the other classes are looked at again.
+    """
+    spark = classes.sparkSession
+    counts = checkpointed(
+        classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    )
+    moved, order = _later(frequent, counts)
+    gone, often = spark.sparkContext.broadcast(moved), spark.sparkContext.broadcast(order)
+
+    def holds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            flat = np.r_[False, np.isin(prefix.flatten().to_numpy().view(np.uint64), gone.value)].cumsum()
+            ends = prefix.offsets.to_numpy() - prefix.offsets[0].as_py()
+            hit = flat[ends[1:]] > flat[ends[:-1]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], names=[*batch.schema.names, "hit"])
+
+    classes = classes.select(*_COLUMNS)
+    marked = checkpointed(classes.mapInArrow(holds, f"{_PROFILE}, hit boolean"))
+    again = marked.filter("hit").select("id", "n", "sum1", "sum2")
+
+    def anew(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "tokens"):
+            sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
+            yield _profile_rows(batch.column("id"), sets, often.value, percent)
+
+    sets = _sets(docs, again.select("id").distinct(), words)
+    # A repeated id has sets of other classes too.
+    changed = stored(
+        sets.mapInArrow(anew, _PROFILE).join(again, ["id", "n", "sum1", "sum2"], "left_semi").select(classes.columns),
+        "changed",
+    )
+    shared = counts.select("token").unionByName(changed.select(F.explode("prefix").alias("token")))
+    marks = _bits(shared, F.col("token"))
+    return marked.filter("not hit").drop("hit").unionByName(changed), marks
+
+
+def _bits(frame: DataFrame, value: Column) -> np.ndarray:
+    """A filter of `MARKS` bits that has those of all values; its size is fixed."""
+    mark = F.pmod(F.xxhash64(value), F.lit(MARKS))
     bits = (
-        wanted.select(F.shiftright(mark, 6).alias("word"), (mark % 64).cast("int").alias("bit"))
+        frame.select(F.shiftright(mark, 6).alias("word"), (mark % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
         .toPandas()
     )
     filled = np.zeros(MARKS // 64, np.int64)
     filled[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
-    marks = docs.sparkSession.sparkContext.broadcast(filled.view(np.uint64))
+    return filled.view(np.uint64)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(id, tokens) of the wanted ids. A bit filter of fixed size drops most other texts where
+    they are read; false hits only cost time, and the join that follows is exact."""
+    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    marks = docs.sparkSession.sparkContext.broadcast(_bits(wanted, F.col("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -297,13 +384,15 @@ def _links_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _open(left: DataFrame, right: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between groups: `left` has the members (grp, id) of groups to open, `right`
-    the members (grp, id, other) of other groups that ask for them. Both sides of a group are
-    cut into blocks, so that a task holds `BLOCK` sets of each side at most, on average."""
+    """Links (a, b) between groups: `left` has the members (grp, id, n) of groups to open, `right`
+    the members (grp, id, n, other) of other groups that ask for them. Both sides of a group are
+    cut into blocks, so that a task holds `BLOCK` tokens of each side at a time, on average, or one set."""
     spread = F.xxhash64("id", F.lit(5))
-    n_left = left.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_left"))
-    n_right = right.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_right"))
-    blocks = checkpointed(n_left.join(n_right, "grp"))
+
+    def blocks_of(members: DataFrame, name: str) -> DataFrame:
+        return members.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias(name))
+
+    blocks = checkpointed(blocks_of(left, "n_left").join(blocks_of(right, "n_right"), "grp"))
     rows_left = left.join(blocks, "grp").select(
         "grp",
         F.pmod(spread, "n_left").cast("int").alias("a"),
@@ -342,13 +431,13 @@ def _groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
         .select(F.col("first.id").alias("grp"), "id", "n", F.col("first.n").alias("m"))
         .filter("grp <> id")
         .filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-        .select("grp", "id")
+        .select("grp", "id", "n", "m")
         .distinct()
     )
-    leaders = pairs.select(F.col("grp")).distinct().select("grp", F.col("grp").alias("id"))
+    leaders = pairs.groupBy("grp").agg(F.max("m").alias("n")).select("grp", F.col("grp").alias("id"), "n")
     wanted = checkpointed(pairs.select("id").union(leaders.select("id")).distinct())
     sets = _sets(docs, wanted, words)
-    links = _open(leaders, pairs.select("grp", "id", F.col("id").alias("other")), sets, percent)
+    links = _open(leaders, pairs.select("grp", "id", "n", F.col("id").alias("other")), sets, percent)
     found = components(links)
     return checkpointed(
         classes.select("id", "n", "quota")
@@ -374,26 +463,23 @@ def _least_quota(code: Column, percent: int) -> Column:
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of groups in each token's row of the matrix, with the number of tokens, added up
+    """Pairs of groups in the rows of the matrix, with the number of tokens, added up
     before they are shuffled: pairs whose sizes can go together, and of which one has the
-    token early (see `early_size`)."""
+    token early (see `early_size`). Groups of a row with two blocks meet those of the other."""
     mask = (1 << STEP) - 1
     for batch in batches:
         for part in pieces([batch], "groups", 1 << 18):
             one, two = [], []
             size = 0
-            for groups in part.column("groups"):
+            for groups, cross in zip(part.column("groups"), part.column("cross").to_pylist(), strict=True):
                 entries = np.sort(groups.values.to_numpy(zero_copy_only=False))
-                # A group may be there with both flags; the early one counts.
-                members, early = entries >> 1, (entries & 1).astype(bool)
-                last = np.r_[members[1:] != members[:-1], True]
-                members, early = members[last], early[last]
-                if not early.any():
-                    continue
+                members, early, block = entries >> 2, (entries >> 1 & 1).astype(bool), entries & 1
                 low, high = members >> STEP & mask, members & mask
                 for k in range(len(members) - 1):
                     fit = (high[k + 1 :] >= low[k] - 1) & (high[k] >= low[k + 1 :] - 1)
                     fit &= early[k] | early[k + 1 :]
+                    if cross:
+                        fit &= block[k + 1 :] != block[k]
                     others = members[k + 1 :][fit]
                     if not len(others):
                         continue
@@ -419,15 +505,92 @@ def _pair_counts(one: list[np.ndarray], two: list[np.ndarray]) -> pa.RecordBatch
     )
 
 
+def _slim(classes: DataFrame, marks: np.ndarray, percent: int) -> DataFrame:
+    """Per class: id, n, quota, the prefix tokens that another prefix may hold, how many of them are early
+    (see `early_size`), and how long the prefix is."""
+    held = classes.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, early = [], []
+            columns = [batch.column(c) for c in ("prefix", "places", "early")]
+            for prefix, places, first in zip(*columns, strict=True):
+                at = places.values.to_numpy().astype(np.uint64)
+                bit = held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+                hit = bit.astype(bool)
+                kept.append(prefix.values.to_numpy()[hit])
+                early.append(int(hit[: first.as_py()].sum()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("id", "n", "quota")), _lists(kept), pa.array(early, pa.int64()), batch.column("size")],
+                names=["id", "n", "quota", "tokens", "early", "size"],
+            )
+
+    rows = classes.select(
+        "id",
+        "n",
+        "quota",
+        "prefix",
+        F.transform("prefix", lambda t: F.pmod(F.xxhash64(t), F.lit(MARKS))).alias("places"),
+        early_size(F.col("n"), F.col("quota"), percent).cast("long").alias("early"),
+        F.size("prefix").cast("long").alias("size"),
+    )
+    schema = "id long, n long, quota long, tokens array<long>, early long, size long"
+    return stored(rows.mapInArrow(run, schema).filter("size(tokens) > 0"), "slim")
+
+
+def _round(
+    docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int, number: int
+) -> DataFrame:
+    """Links (a, b) between groups, each compared with one other at most, by a few members."""
+    held = slim.select("id", "tokens", "size").join(groups.select("id", "grp"), "id")
+    entries = (
+        held.select("grp", "size", F.explode("tokens").alias("token"))
+        .groupBy("token", "grp")
+        .agg(F.min("size").alias("size"))
+    )
+    same = Window.partitionBy("token")
+    first = F.min(F.struct(F.xxhash64("grp", F.lit(number)).alias("h"), F.col("grp").alias("center"))).over(same)
+    met = entries.withColumn("first", first).filter("grp <> first.center")
+    shared = met.groupBy("grp", F.col("first.center").alias("center")).agg(
+        F.count("*").alias("shared"), F.min("size").alias("size")
+    )
+    # Copies share most of a prefix; what shares less is left to the matrix.
+    best = checkpointed(
+        shared.filter("4 * shared >= size").groupBy("grp").agg(F.max_by("center", F.struct("shared", "center")).alias("center"))
+    )
+    if best.isEmpty():
+        return best.toDF("a", "b")
+    order = Window.partitionBy("grp").orderBy(F.xxhash64("id", F.lit(number)), "id")
+    taking = best.select("grp").union(best.select("center")).distinct()
+    few = checkpointed(
+        groups.join(taking, "grp", "left_semi")
+        .select("grp", "id", "n", F.row_number().over(order).alias("place"))
+        .filter(F.col("place") <= SAMPLED)
+        .drop("place")
+    )
+    left = few.join(best.select(F.col("center").alias("grp")).distinct(), "grp", "left_semi")
+    right = best.join(few, "grp").select(F.col("center").alias("grp"), "id", "n", F.col("grp").alias("other"))
+    sets = _sets(docs, checkpointed(few.select("id").distinct()), words)
+    return _open(left, right, sets, percent)
+
+
+def _contracted(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Groups, with those joined by links as one."""
+    found = components(links).select(F.col("id").alias("grp"), "component")
+    return checkpointed(
+        groups.join(found, "grp", "left").select("id", "n", "quota", F.coalesce("component", "grp").alias("grp"))
+    )
+
+
 def _between_groups(
-    docs: DataFrame, profiles: DataFrame, groups: DataFrame, words: int, percent: int
+    docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Links (a, b) between different groups."""
     about = groups.groupBy("grp").agg(
         F.min("quota").alias("quota"),
         F.min("n").alias("least"),
         F.max("n").alias("most"),
-        F.count("*").alias("members"),
+        F.sum("n").alias("weight"),
     )
     # A group's code: a number of its own, then the size steps of its smallest and largest set.
     about = checkpointed(
@@ -439,18 +602,37 @@ def _between_groups(
         )
     )
     coded = checkpointed(groups.join(about.select("grp", "code"), "grp").select("id", "code"))
-    matrix = (
-        profiles.select(
-            "id",
-            early_size(F.col("n"), F.col("quota"), percent).alias("early"),
-            F.posexplode("prefix").alias("place", "token"),
-        )
+    entries = (
+        slim.select("id", "tokens", "early")
         .join(coded, "id")
-        .select("token", (F.col("code") * 2 + (F.col("place") < F.col("early")).cast("long")).alias("entry"))
-        .groupBy("token")
-        .agg(F.collect_set("entry").alias("groups"))
+        .select("code", "early", F.posexplode("tokens").alias("place", "token"))
+        .select("token", "code", (F.col("place") < F.col("early")).cast("long").alias("early"))
+        # Members of one group are combined on the map side, so that a family is one entry.
+        .groupBy("token", "code")
+        .agg(F.max("early").alias("early"))
+    )
+    same = Window.partitionBy("token")
+    listed = entries.withColumns({"all": F.count("*").over(same), "any": F.max("early").over(same)})
+    parts = F.ceil(F.col("all") / LISTED).cast("int")
+    # A long list is cut into blocks, every two of which are a row of their own.
+    blocks = (
+        listed.filter("all > 1 and any = 1")
+        .withColumn("parts", parts)
+        .withColumn("own", F.pmod(F.xxhash64("code"), "parts").cast("int"))
+        .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "token",
+            F.least("own", "met").alias("x"),
+            F.greatest("own", "met").alias("y"),
+            (F.col("code") * 4 + F.col("early") * 2 + (F.col("own") > F.col("met")).cast("long")).alias("entry"),
+        )
+    )
+    matrix = (
+        blocks.repartition("token", "x", "y")
+        .groupBy("token", "x", "y")
+        .agg(F.collect_list("entry").alias("groups"))
         .filter(F.size("groups") > 1)
-        .select("groups")
+        .select("groups", (F.col("x") < F.col("y")).alias("cross"))
     )
     quota = F.least(_least_quota(F.col("one"), percent), _least_quota(F.col("two"), percent))
     bounds = (
@@ -465,7 +647,7 @@ def _between_groups(
             F.col("code").alias(name), *(F.col(c).alias(f"{prefix}_{c}") for c in about.columns)
         )
 
-    larger = F.col("x_members") >= F.col("y_members")
+    larger = F.col("x_weight") >= F.col("y_weight")
     opened = checkpointed(
         bounds.join(side("one", "x"), "one")
         .join(side("two", "y"), "two")
@@ -477,13 +659,13 @@ def _between_groups(
             F.when(larger, F.col("y_grp")).otherwise(F.col("x_grp")).alias("other"),
         )
     )
-    members = groups.select("id", "grp")
+    members = groups.select("id", "n", "grp")
     left = checkpointed(members.join(opened.select("grp").distinct(), "grp", "left_semi"))
     right = checkpointed(
-        opened.join(members.select("id", F.col("grp").alias("other")), "other").select("grp", "id", "other")
+        opened.join(members.withColumnRenamed("grp", "other"), "other").select("grp", "id", "n", "other")
     )
     wanted = checkpointed(left.select("id").union(right.select("id")).distinct())
-    return _open(left.select("grp", "id"), right, _sets(docs, wanted, words), percent)
+    return _open(left.select("grp", "id", "n"), right, _sets(docs, wanted, words), percent)
 
 
 def similar_documents(
@@ -501,9 +683,10 @@ def similar_documents(
     component. An empty table gives an empty result; other columns are not read.
     """
     texts = ids_and_texts(docs, id_col, text_col)
-    profiles = _profiles(texts, words, percent)
+    frequent = _frequent(texts, words)
+    profiles = _profiles(texts, words, percent, frequent)
     same = ["n", "sum1", "sum2"]
-    able = profiles.filter("id IS NOT NULL AND n > 0").drop("prefix")
+    able = profiles.filter("id IS NOT NULL AND n > 0")
     firsts = checkpointed(able.groupBy(*same).agg(F.min("id").alias("class")))
     classed = checkpointed(
         able.select("id", *same).join(firsts, same).select("id", F.col("class").alias("other")).distinct()
@@ -516,7 +699,14 @@ def similar_documents(
         "classes",
     )
     groups = _groups(texts, classes, words, percent)
-    between = _between_groups(texts, profiles, groups, words, percent)
+    ordered, marks = _reordered(texts, classes, words, percent, frequent)
+    slim = _slim(ordered, marks, percent)
+    for number in range(ROUNDS):
+        links = _round(texts, slim, groups, words, percent, number)
+        if links.isEmpty():
+            break
+        groups = _contracted(groups, links)
+    between = _between_groups(texts, slim, groups, words, percent)
     links = (
         between.union(groups.select("id", "grp"))
         .union(classed.select("id", "other"))

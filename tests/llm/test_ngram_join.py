@@ -54,7 +54,9 @@ def family(rng, base, n, edits):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_matches_brute_force(docs_of, monkeypatch, seed):
-    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "BLOCK", 700)
+    monkeypatch.setattr(ngram_join, "CROWDED", 3)
+    monkeypatch.setattr(ngram_join, "LISTED", 3)
     rng = random.Random(seed)
     word = lambda: f"w{rng.randrange(3000)}"
     passage = [word() for _ in range(60)]
