@@ -11,8 +11,8 @@ the smaller of their quotas (`prefix_sizes`).
    copies thus becomes few groups without comparing its members with each other.
 3. Order. Tokens that stand in many prefixes are moved behind the others, and the prefixes
    that held one are taken anew. Tokens of no second prefix are left out.
-4. Rounds. In each of `ROUNDS` rounds a group meets one other, that with which it shares the most tokens
-   of those that are some token's smallest group by a hash. A few members of both are compared, and linked
+4. First links. A group meets two others, those with which it shares the most tokens
+   of the groups that are some token's first or last by a hash. A few members of both are compared, and linked
    groups become one, so that what is left of a family comes together at a cost in proportion to its size.
 5. Matrix. One entry per token and group: the union of its members' prefixes. The number of
    tokens that two groups share bounds what any two of their members can share.
@@ -45,8 +45,8 @@ KEYS = 4
 BLOCK = 1 << 16
 #: Prefixes from which on a token is moved back, and groups of a token that are paired in one row.
 CROWDED, LISTED = 8, 64
-#: Rounds of joining groups, and members of each that are compared in them.
-ROUNDS, SAMPLED = 2, 4
+#: Members of a group that are compared before the matrix.
+SAMPLED = 4
 #: Tokens per block of the frequency count, and the least count there that is reported. A
 #: token of d documents over b blocks is reported once d is some twice the root of b.
 COUNTED, LEAST = 4_000_000, 2
@@ -172,16 +172,17 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
         .select("token", F.floor(F.log2(F.col("n") / OFTEN)).cast("int").alias("rank"))
         .orderBy(F.desc("rank"), "token")
         .limit(FREQUENT)
-        .toPandas()
+        .toArrow()
     )
-    tokens = found["token"].to_numpy(np.int64).view(np.uint64)
+    tokens = found["token"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], found["rank"].to_numpy(np.uint64)[order] + np.uint64(1)
+    return tokens[order], found["rank"].to_numpy().astype(np.uint64)[order] + np.uint64(1)
 
 
 _PROFILE = "id long, n long, sum1 long, sum2 long, keys array<long>, quota long, prefix array<long>"
 
 _COLUMNS = [part.split()[0] for part in _PROFILE.split(", ")]
+_SAME_SET = ["id", "n", "sum1", "sum2"]
 
 
 def _profile_rows(ids: pa.Array, sets: list[np.ndarray], often: tuple, percent: int) -> pa.RecordBatch:
@@ -238,10 +239,10 @@ def _later(frequent: tuple, counts: DataFrame) -> tuple[np.ndarray, tuple]:
     """Tokens of `counts` (token, n) that `frequent` does not have and that fill many prefixes,
     sorted, and the order with them. At most `FREQUENT` of them, the most frequent, move."""
     found = (
-        counts.filter(F.col("n") >= CROWDED).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+        counts.filter(F.col("n") >= CROWDED).orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     )
-    tokens = found["token"].to_numpy(np.int64).view(np.uint64)
-    ranks = np.floor(np.log2(found["n"].to_numpy(float) / OFTEN)).astype(np.uint64) + np.uint64(1)
+    tokens = found["token"].to_numpy().view(np.uint64)
+    ranks = np.floor(np.log2(found["n"].to_numpy() / OFTEN)).astype(np.uint64) + np.uint64(1)
     new = ~np.isin(tokens, frequent[0])
     order = np.argsort(tokens[new])
     every = np.concatenate([frequent[0], tokens[new]])
@@ -270,12 +271,12 @@ def _reordered(
             prefix = batch.column("prefix")
             flat = np.r_[False, np.isin(prefix.flatten().to_numpy().view(np.uint64), gone.value)].cumsum()
             ends = prefix.offsets.to_numpy() - prefix.offsets[0].as_py()
-            hit = flat[ends[1:]] > flat[ends[:-1]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], names=[*batch.schema.names, "hit"])
+            hit = pa.array(flat[ends[1:]] > flat[ends[:-1]])
+            yield batch.select(_SAME_SET).filter(hit)
 
-    classes = classes.select(*_COLUMNS)
-    marked = checkpointed(classes.mapInArrow(holds, f"{_PROFILE}, hit boolean"))
-    again = marked.filter("hit").select("id", "n", "sum1", "sum2")
+    again = stored(
+        classes.select(*_SAME_SET, "prefix").mapInArrow(holds, "id long, n long, sum1 long, sum2 long"), "again"
+    )
 
     def anew(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "tokens"):
@@ -285,12 +286,12 @@ def _reordered(
     sets = _sets(docs, again.select("id").distinct(), words)
     # A repeated id has sets of other classes too.
     changed = stored(
-        sets.mapInArrow(anew, _PROFILE).join(again, ["id", "n", "sum1", "sum2"], "left_semi").select(classes.columns),
+        sets.mapInArrow(anew, _PROFILE).join(again, _SAME_SET, "left_semi").select(*_COLUMNS),
         "changed",
     )
     shared = counts.select("token").unionByName(changed.select(F.explode("prefix").alias("token")))
     marks = _bits(shared, F.col("token"))
-    return marked.filter("not hit").drop("hit").unionByName(changed), marks
+    return classes.select(*_COLUMNS).join(again, _SAME_SET, "left_anti").select(*_COLUMNS).unionByName(changed), marks
 
 
 def _bits(frame: DataFrame, value: Column) -> np.ndarray:
@@ -300,10 +301,10 @@ def _bits(frame: DataFrame, value: Column) -> np.ndarray:
         frame.select(F.shiftright(mark, 6).alias("word"), (mark % 64).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     filled = np.zeros(MARKS // 64, np.int64)
-    filled[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    filled[bits["word"].to_numpy()] = bits["bits"].to_numpy()
     return filled.view(np.uint64)
 
 
@@ -538,10 +539,11 @@ def _slim(classes: DataFrame, marks: np.ndarray, percent: int) -> DataFrame:
     return stored(rows.mapInArrow(run, schema).filter("size(tokens) > 0"), "slim")
 
 
-def _round(
-    docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int, number: int
+def _first_links(
+    docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int
 ) -> DataFrame:
-    """Links (a, b) between groups, each compared with one other at most, by a few members."""
+    """Links (a, b) between groups, each compared with two others at most, by a few members: with
+    those that it shares the most tokens with, of the first and of the last group of a token by a hash."""
     held = slim.select("id", "tokens", "size").join(groups.select("id", "grp"), "id")
     entries = (
         held.select("grp", "size", F.explode("tokens").alias("token"))
@@ -549,18 +551,24 @@ def _round(
         .agg(F.min("size").alias("size"))
     )
     same = Window.partitionBy("token")
-    first = F.min(F.struct(F.xxhash64("grp", F.lit(number)).alias("h"), F.col("grp").alias("center"))).over(same)
-    met = entries.withColumn("first", first).filter("grp <> first.center")
-    shared = met.groupBy("grp", F.col("first.center").alias("center")).agg(
+    hashed = F.struct(F.xxhash64("grp").alias("h"), F.col("grp").alias("center"))
+    found = entries.withColumns({"first": F.min(hashed).over(same), "last": F.max(hashed).over(same)})
+    ends = F.explode(
+        F.array(*(F.struct(F.lit(k).alias("end"), F.col(c)["center"].alias("center")) for k, c in enumerate(("first", "last"))))
+    )
+    met = found.select("grp", "size", ends.alias("e")).select("grp", "size", "e.end", "e.center")
+    shared = met.filter("grp <> center").groupBy("grp", "end", "center").agg(
         F.count("*").alias("shared"), F.min("size").alias("size")
     )
     # Copies share most of a prefix; what shares less is left to the matrix.
     best = checkpointed(
-        shared.filter("4 * shared >= size").groupBy("grp").agg(F.max_by("center", F.struct("shared", "center")).alias("center"))
+        shared.filter("4 * shared >= size")
+        .groupBy("grp", "end")
+        .agg(F.max_by("center", F.struct("shared", "center")).alias("center"))
+        .select("grp", "center")
+        .distinct()
     )
-    if best.isEmpty():
-        return best.toDF("a", "b")
-    order = Window.partitionBy("grp").orderBy(F.xxhash64("id", F.lit(number)), "id")
+    order = Window.partitionBy("grp").orderBy(F.xxhash64("id"), "id")
     taking = best.select("grp").union(best.select("center")).distinct()
     few = checkpointed(
         groups.join(taking, "grp", "left_semi")
@@ -570,15 +578,20 @@ def _round(
     )
     left = few.join(best.select(F.col("center").alias("grp")).distinct(), "grp", "left_semi")
     right = best.join(few, "grp").select(F.col("center").alias("grp"), "id", "n", F.col("grp").alias("other"))
-    sets = _sets(docs, checkpointed(few.select("id").distinct()), words)
+    sets = _sets(docs, few.select("id").distinct(), words)
     return _open(left, right, sets, percent)
 
 
 def _contracted(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """Groups, with those joined by links as one."""
-    found = components(links).select(F.col("id").alias("grp"), "component")
+    """Groups, of which those joined by links mostly are one: each takes the smallest label among
+    itself and its partners, and then that one's. The links stay to be added to the others."""
+    both = links.union(links.select("b", "a"))
+    label = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"))
+    label = checkpointed(label)
+    further = label.select(F.col("a").alias("to"), F.col("to").alias("far"))
+    ends = label.join(further, "to", "left").select(F.col("a").alias("grp"), F.coalesce("far", "to").alias("label"))
     return checkpointed(
-        groups.join(found, "grp", "left").select("id", "n", "quota", F.coalesce("component", "grp").alias("grp"))
+        groups.join(ends, "grp", "left").select("id", "n", "quota", F.coalesce("label", "grp").alias("grp"))
     )
 
 
@@ -701,14 +714,11 @@ def similar_documents(
     groups = _groups(texts, classes, words, percent)
     ordered, marks = _reordered(texts, classes, words, percent, frequent)
     slim = _slim(ordered, marks, percent)
-    for number in range(ROUNDS):
-        links = _round(texts, slim, groups, words, percent, number)
-        if links.isEmpty():
-            break
-        groups = _contracted(groups, links)
-    between = _between_groups(texts, slim, groups, words, percent)
+    early = _first_links(texts, slim, groups, words, percent)
+    between = _between_groups(texts, slim, _contracted(groups, early), words, percent)
     links = (
-        between.union(groups.select("id", "grp"))
+        between.union(early)
+        .union(groups.select("id", "grp"))
         .union(classed.select("id", "other"))
         .toDF("a", "b")
     )
