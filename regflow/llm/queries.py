@@ -1,4 +1,4 @@
-"""The registered queries of the operators, and SQL for those that SQL can express."""
+"""The registered queries of the operators; `oracle` has SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -24,6 +24,7 @@ from regflow.llm import (
     warc,
 )
 from regflow.llm.common import fresh_path, table
+from regflow.llm.oracle import ORACLE_SQL
 
 
 def secret_columns(found: DataFrame) -> DataFrame:
@@ -126,6 +127,8 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -141,42 +144,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_fuzzy_hash": op12_fuzzy_hash,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
-
-_OP2_SQL = """
-WITH normal AS (
-    SELECT doc_id,
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                     'abcdefghijklmnopqrstuvwxyz') AS body
-    FROM documents
-), grouped AS (
-    SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY body
-)
-SELECT n.doc_id, g.keep_id, g.group_size,
-       n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.body) AS text_sha256
-FROM normal n JOIN grouped g USING (body)
-"""
-
-_DIGEST = " || ".join(
-    f"to_base(('0x' || substr(sha1(body), {start}, 5))::BIGINT, 32, 4)" for start in range(1, 41, 5)
-)
-_OP4_SQL = f"""
-WITH pages_in AS (
-    SELECT page_id, coalesce(html, '') AS body FROM pages
-), payloads AS (
-    SELECT page_id, octet_length(encode(body)) AS payload_bytes,
-           translate({_DIGEST}, '0123456789ABCDEFGHIJKLMNOPQRSTUV',
-                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
-    FROM pages_in
-), firsts AS (
-    SELECT payload_digest, min(page_id) AS first_id FROM payloads GROUP BY payload_digest
-)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
-FROM payloads JOIN firsts USING (payload_digest)
-"""
-
-ORACLE_SQL: dict[str, str] = {
-    "op2_exact_dedup": _OP2_SQL,
-    "op4_warc": _OP4_SQL,
-}
