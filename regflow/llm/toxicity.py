@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,13 +135,18 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[DataFrame
         .limit(sample)
     )
     chosen = checkpointed(chosen)
-    rows = checkpointed(docs.join(F.broadcast(chosen), "id").dropDuplicates(["id"]))
+    # Of rows that repeat an id that with the smallest digest is learned from, so reruns agree.
+    rows = checkpointed(
+        docs.join(F.broadcast(chosen), "id")
+        .groupBy("id", "toxic")
+        .agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
+    )
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     return rows, counts.get(0, 0), counts.get(1, 0)
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         families = [_family(_terms(text)[1]) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("toxic"), pa.array(families, pa.int64())], names=["toxic", "family"]
@@ -268,7 +272,7 @@ def fit(
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in pieces(batches):
             seen.update(measure(text, model)[0] for text in batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())],
@@ -287,7 +291,7 @@ def fit(
     )
 
     def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = [measure(text, model) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -322,11 +326,17 @@ def score_text(text: str, model: Model) -> float:
 
 
 def clean_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows that are not predicted toxic, with all their columns; nothing is shuffled."""
+    """The rows that are not predicted toxic, with all their columns; nothing is shuffled.
+
+    A null text counts as an empty one; repeated rows stay or go together, and an empty table gives
+    an empty result. Texts are scored a few at a time, so long ones do not add up.
+    """
 
-    @F.pandas_udf("double")
-    def toxic(texts: pd.Series) -> pd.Series:
-        return pd.Series([score_text(text or "", model) for text in texts])
+    @F.arrow_udf("double")
+    def toxic(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        scores = [score_text(t or "", model) for part in pieces([batch]) for t in part.column("text").to_pylist()]
+        return pa.array(scores, pa.float64())
 
     return docs.filter(toxic(F.col(f"`{text_col}`").cast("string")) < THRESHOLD)
 

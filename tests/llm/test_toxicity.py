@@ -60,6 +60,54 @@ def test_label_model_finds_accuracies_and_correlations():
     assert correlations[1][0, 1] > 0.9 and weights[0] < 0.8 * weights[2]
 
 
+def test_label_model_matches_brute_force():
+    """Posteriors, rates and weights against their definitions, pattern by pattern."""
+    rng = np.random.default_rng(5)
+    patterns = rng.integers(0, 2, (60, toxicity.VOTERS)).astype(float)
+    counts = rng.integers(1, 30, 60).astype(float)
+    fires = rng.uniform(0.05, 0.95, (2, toxicity.VOTERS))
+    weights = rng.uniform(0.2, 1, toxicity.VOTERS)
+    want = []
+    for row in patterns:
+        odds = np.log(0.3 / 0.7)
+        for k, vote in enumerate(row):
+            toxic, clean = (fires[y, k] if vote else 1 - fires[y, k] for y in (1, 0))
+            odds += weights[k] * np.log(toxic / clean)
+        want.append(1 / (1 + np.exp(-odds)))
+    assert np.allclose(toxicity.posterior(patterns, 0.3, fires, weights), want)
+    # The last round's estimates follow from the posteriors before it.
+    earlier = toxicity.label_model(patterns, counts, rounds=4)
+    prior, rates, now, correlations = toxicity.label_model(patterns, counts, rounds=5)
+    y = toxicity.posterior(patterns, *earlier[:3])
+    assert np.isclose(prior, (counts * y).sum() / counts.sum())
+    for label, share in ((0, 1 - y), (1, y)):
+        mass = counts * share
+        for k in range(toxicity.VOTERS):
+            rate = ((mass * patterns[:, k]).sum() + 0.1) / (mass.sum() + 0.2)
+            assert np.isclose(rates[label, k], rate)
+    i, j = 2, 9
+    for label, share in ((0, 1 - y), (1, y)):
+        a, b = ((patterns[:, k] - rates[label, k]) / np.sqrt(rates[label, k] * (1 - rates[label, k])) for k in (i, j))
+        assert np.isclose(correlations[label, i, j], (counts * share * a * b).sum() / (counts * share).sum())
+    shared = np.clip(prior * correlations[1] + (1 - prior) * correlations[0], 0, 1)
+    assert np.isclose(now[i], 1 / (1 + shared[i].sum() - shared[i, i]))
+
+
+def test_repeated_ids_and_long_texts(spark, docs_of):
+    rows = [(i, ("vile scum " if i % 5 == 0 else "") + f"plain words {i} and {i * 7}") for i in range(200)]
+    rows += [(5, "other text of the same id"), (7, "scum " + "word " * 400_000), (9, "w" * 3_000_000)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int")
+    scores = []
+    for order in (rows, rows[::-1]):
+        docs = docs_of(order).repartition(3)
+        model = toxicity.fit(docs, labels)
+        scores.append(sorted((r.doc_id, r.score) for r in toxicity.score(docs, model).collect()))
+        kept = toxicity.clean_rows(docs, model)
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, s in scores[-1] if s < 0.3)
+    assert np.allclose(scores[0], scores[1])
+
+
 def labelled(spark, docs_of, texts):
     """Documents and labels from (text, toxic), with ids whose labels are learned from."""
     free = [i for i in range(3 * len(texts)) if zlib.crc32(str(i).encode()) % 4 != 2]
