@@ -15,7 +15,8 @@ from regflow.llm.common import ascii_lower, stored, table, whole_text
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
+    """Documents that the toxicity classifier rejects go. A null text counts as an empty one;
+    rows that repeat a text go or stay together; an empty table gives an empty one."""
     return toxicity.clean_rows(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -26,25 +27,32 @@ def _id_keys(name: str) -> list[Column]:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, one row stays: a row with the largest id, or with a null id if all ids
-    are null. Which of several rows with that id and text it is makes no difference."""
+    """Of equal texts, one row stays: one with the largest id, or with a null id if all ids
+    are null. Of several rows with that id and text it is the one with the smallest hash of all its
+    columns, the first if they are the same in all. Rows go by their places, so `docs` must be
+    read from a table, as `run` does. Texts are shuffled only if the rows that go are too many to be
+    sent to all tasks."""
     kept = exact_dedup.exact_duplicates(docs).filter("kept").select(
         F.col("text_sha256").alias("_digest"), *_id_keys("doc_id")
     )
-    keys = kept.columns
-    keyed = docs.withColumns(
-        {"_digest": F.sha2(ascii_lower(whole_text("text")), 256), **dict(zip(keys[1:], _id_keys("doc_id"), strict=True))}
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    keys = ["_digest", "_id", "_no_id"]
+    digest = F.sha2(ascii_lower(whole_text("text")), 256).alias("_digest")
+    tie = F.xxhash64(*(f"`{c}`" for c in docs.columns)).alias("_tie")
+    rows = stored(numbered.select("_row", digest, *_id_keys("doc_id"), tie), "keys")
+    first = (
+        rows.join(kept.distinct(), keys, "left_semi").groupBy(*keys).agg(F.min(F.struct("_tie", "_row")).alias("first"))
     )
-    # Repeated rows meet before the join, combined on the map side, and the join keeps their
-    # exchange.
-    return keyed.dropDuplicates(keys).join(kept, keys, "left_semi").select(docs.columns)
+    gone = stored(rows.select("_row").join(first.select("first._row"), "_row", "left_anti"), "gone")
+    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id stays. Documents with a
     null id are in no group."""
     near = ngram_join.similar_documents(docs).filter("doc_id <> component_id")
-    return docs.join(near.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = stored(near.select("doc_id").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +65,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document: its tokens' number and digest, and the digest of the decoded text."""
+    """Per row: its tokens' number and digest, and the digest of the decoded text. A null text is an
+    empty one, without tokens; repeated rows each give a row; an empty table an empty result."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary), vocabulary))
 
