@@ -109,3 +109,16 @@ def test_rows_that_share_an_id_keep_to_the_target(spark, corpus):
     assert all(n <= 2 * held[r] for r, n in got.items())
     for source, goal in goals_of(sizes).items():
         assert abs(taken[source] - goal) <= 3
+
+
+def test_one_row_of_an_id_by_a_total_order(spark, corpus):
+    folder, _ = corpus
+    rows = [(5, "a b", "en", "s", 3), (5, "A b", "en", "s", 3), (5, "a b", "de", "s", 3), (5, "a b", "en", None, None), (4, "a B", "en", "s", 3)]
+    rows += [(None, "c", "en", "s", 1), (None, "C", "fr", "s", 1), (None, "c", "en", "s", 1)]
+    found = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, SCHEMA)
+        got = [tuple(r) for r in cp.distinct(spark, docs, folder).collect()]
+        assert len(got) == 2 and {r[0] for r in got} == {5, None}
+        found.add(tuple(sorted(map(str, got))))
+    assert len(found) == 1
