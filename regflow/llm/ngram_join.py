@@ -11,7 +11,7 @@ the smaller of their quotas (`prefix_sizes`).
    copies thus becomes few groups without comparing its members with each other.
 3. Order. Tokens that stand in many prefixes are moved behind the others, and the prefixes
    that held one are taken anew. Tokens of no second prefix are left out.
-4. First links. A group meets two others, those with which it shares the most tokens
+4. First links. A group meets two others, those with which it shares the most of its first tokens,
    of the groups that are some token's first or last by a hash. A few members of both are compared, and linked
    groups become one, so that what is left of a family comes together at a cost in proportion to its size.
 5. Matrix. One entry per token and group: the union of its members' prefixes. The number of
@@ -45,8 +45,8 @@ KEYS = 4
 BLOCK = 1 << 16
 #: Prefixes from which on a token is moved back, and groups of a token that are paired in one row.
 CROWDED, LISTED = 8, 64
-#: Members of a group that are compared before the matrix.
-SAMPLED = 4
+#: Members of a group that are compared before the matrix, and tokens by which groups meet there.
+SAMPLED, LEADING = 4, 8
 #: Tokens per block of the frequency count, and the least count there that is reported. A
 #: token of d documents over b blocks is reported once d is some twice the root of b.
 COUNTED, LEAST = 4_000_000, 2
@@ -463,6 +463,25 @@ def _least_quota(code: Column, percent: int) -> Column:
     return 1 + F.floor(F.pow(F.lit(100 / percent), step) * 0.999 / EASE)
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries (token, code, early) of rows (code, early, tokens). Members of one group in a batch are
+    combined, so that the many of a family do not all meet in the task of a token."""
+    for batch in batches:
+        lists = batch.column("tokens")
+        sizes = np.diff(lists.offsets.to_numpy())
+        token = lists.flatten().to_numpy()
+        code = np.repeat(batch.column("code").to_numpy(), sizes)
+        place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        early = (place < np.repeat(batch.column("early").to_numpy(), sizes)).astype(np.int64)
+        order = np.lexsort((early, code, token))
+        token, code, early = token[order], code[order], early[order]
+        # Of equal pairs the last one is early if any is.
+        last = np.r_[(token[1:] != token[:-1]) | (code[1:] != code[:-1]), True][: len(token)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(token[last]), pa.array(code[last]), pa.array(early[last])], names=["token", "code", "early"]
+        )
+
+
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of groups in the rows of the matrix, with the number of tokens, added up
     before they are shuffled: pairs whose sizes can go together, and of which one has the
@@ -543,26 +562,21 @@ def _first_links(
     docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Links (a, b) between groups, each compared with two others at most, by a few members: with
-    those that it shares the most tokens with, of the first and of the last group of a token by a hash."""
-    held = slim.select("id", "tokens", "size").join(groups.select("id", "grp"), "id")
-    entries = (
-        held.select("grp", "size", F.explode("tokens").alias("token"))
-        .groupBy("token", "grp")
-        .agg(F.min("size").alias("size"))
-    )
+    those that it shares the most leading tokens with, of the first and of the last group of a token by a hash."""
+    leading = F.slice("tokens", 1, LEADING)
+    held = slim.select("id", leading.alias("tokens")).join(groups.select("id", "grp"), "id")
+    entries = held.select("grp", F.explode("tokens").alias("token")).distinct()
     same = Window.partitionBy("token")
     hashed = F.struct(F.xxhash64("grp").alias("h"), F.col("grp").alias("center"))
     found = entries.withColumns({"first": F.min(hashed).over(same), "last": F.max(hashed).over(same)})
     ends = F.explode(
         F.array(*(F.struct(F.lit(k).alias("end"), F.col(c)["center"].alias("center")) for k, c in enumerate(("first", "last"))))
     )
-    met = found.select("grp", "size", ends.alias("e")).select("grp", "size", "e.end", "e.center")
-    shared = met.filter("grp <> center").groupBy("grp", "end", "center").agg(
-        F.count("*").alias("shared"), F.min("size").alias("size")
-    )
-    # Copies share most of a prefix; what shares less is left to the matrix.
+    met = found.select("grp", ends.alias("e")).select("grp", "e.end", "e.center")
+    shared = met.filter("grp <> center").groupBy("grp", "end", "center").agg(F.count("*").alias("shared"))
+    # Copies share many of them; what shares fewer is left to the matrix.
     best = checkpointed(
-        shared.filter("4 * shared >= size")
+        shared.filter("shared >= 2")
         .groupBy("grp", "end")
         .agg(F.max_by("center", F.struct("shared", "center")).alias("center"))
         .select("grp", "center")
@@ -618,9 +632,10 @@ def _between_groups(
     entries = (
         slim.select("id", "tokens", "early")
         .join(coded, "id")
-        .select("code", "early", F.posexplode("tokens").alias("place", "token"))
-        .select("token", "code", (F.col("place") < F.col("early")).cast("long").alias("early"))
-        # Members of one group are combined on the map side, so that a family is one entry.
+        .select("code", "early", "tokens")
+        .mapInArrow(_entries, "token long, code long, early long")
+        # One exchange: a token's entries of one group are combined in it, and its groups counted.
+        .repartition("token")
         .groupBy("token", "code")
         .agg(F.max("early").alias("early"))
     )
