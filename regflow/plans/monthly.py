@@ -190,9 +190,9 @@ def load_history(
     listed = list_reports(spark, root, grain, sorted({y for y, _ in months}), sorted({m for _, m in months}), states)
     listed = in_months(listed, months)
     mark = F.xxhash64("path", "length", "modified").cast("decimal(20,0)")
-    units = listed.groupBy(*_UNIT).agg(F.count("*").alias("files"), F.sum(mark).alias("mark"))
-    with load.set_aside(listed, "listed") as files, load.set_aside(units, "units") as found:
-        todo = found.withColumn("grain", F.lit(grain.name))
+    with load.set_aside(listed, "listed") as files:
+        units = files.groupBy(*_UNIT).agg(F.count("*").alias("files"), F.sum(mark).alias("mark"))
+        todo = units.withColumn("grain", F.lit(grain.name))
         if journal:
             done = _read_journal(spark, journal, todo.schema)
             todo = todo.join(done, todo.columns, "left_anti")

@@ -11,7 +11,10 @@ from regflow.schema import OEM, RTO, STATE
 
 SF = "/root/testdata/sf0.001"
 # Reading and checking files, and cutting CSV into records, is the only work done in Python.
-PYTHON = {"valid_workbooks", "read_workbooks", "mapping_dim", "csv_stage_scan", "csv_monthly_sink"}
+PYTHON = {
+    "valid_workbooks", "read_workbooks", "mapping_dim", "preprocess_workbooks_rto",
+    "csv_stage_scan", "csv_ranges_scan", "csv_monthly_sink",
+}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
