@@ -260,8 +260,9 @@ def _reordered(
     only the sets of the other classes are looked at again.
     """
     spark = classes.sparkSession
-    counts = checkpointed(
-        classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = stored(
+        classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"),
+        "counts",
     )
     moved, order = _later(frequent, counts)
     gone, often = spark.sparkContext.broadcast(moved), spark.sparkContext.broadcast(order)
@@ -278,25 +279,37 @@ def _reordered(
         classes.select(*_SAME_SET, "prefix").mapInArrow(holds, "id long, n long, sum1 long, sum2 long"), "again"
     )
 
+    wanted = spark.sparkContext.broadcast(_bits(again, F.col("id")))
+
     def anew(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "tokens"):
-            sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
+        hashes = WordHashes()
+        for batch in pieces(batches):
+            batch = _marked(batch, wanted.value)
+            sets = [shingles(text, hashes, words) for text in batch.column("text").to_pylist()]
             yield _profile_rows(batch.column("id"), sets, often.value, percent)
 
-    sets = _sets(docs, again.select("id").distinct(), words)
-    # A repeated id has sets of other classes too.
-    changed = stored(
-        sets.mapInArrow(anew, _PROFILE).join(again, _SAME_SET, "left_semi").select(*_COLUMNS),
-        "changed",
-    )
+    # The filter's false hits and the other sets of a repeated id go in the join.
+    renewed = docs.select("id", "text", _mark(F.col("id")).alias("mark")).mapInArrow(anew, _PROFILE)
+    changed = stored(renewed.join(again, _SAME_SET, "left_semi").select(*_COLUMNS).dropDuplicates(_SAME_SET), "changed")
     shared = counts.select("token").unionByName(changed.select(F.explode("prefix").alias("token")))
     marks = _bits(shared, F.col("token"))
     return classes.select(*_COLUMNS).join(again, _SAME_SET, "left_anti").select(*_COLUMNS).unionByName(changed), marks
 
 
+def _mark(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(MARKS))
+
+
+def _marked(batch: pa.RecordBatch, marks: np.ndarray) -> pa.RecordBatch:
+    """The rows whose `mark` is in the filter."""
+    at = batch.column("mark").to_numpy().astype(np.uint64)
+    hit = marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+    return batch.filter(pa.array(hit.astype(bool)))
+
+
 def _bits(frame: DataFrame, value: Column) -> np.ndarray:
     """A filter of `MARKS` bits that has those of all values; its size is fixed."""
-    mark = F.pmod(F.xxhash64(value), F.lit(MARKS))
+    mark = _mark(value)
     bits = (
         frame.select(F.shiftright(mark, 6).alias("word"), (mark % 64).cast("int").alias("bit"))
         .groupBy("word")
@@ -311,21 +324,18 @@ def _bits(frame: DataFrame, value: Column) -> np.ndarray:
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(id, tokens) of the wanted ids. A bit filter of fixed size drops most other texts where
     they are read; false hits only cost time, and the join that follows is exact."""
-    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
     marks = docs.sparkSession.sparkContext.broadcast(_bits(wanted, F.col("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in pieces(batches):
-            at = batch.column("mark").to_numpy().astype(np.uint64)
-            hit = marks.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
-            batch = batch.filter(pa.array(hit.astype(bool)))
+            batch = _marked(batch, marks.value)
             sets = [shingles(t, hashes, words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sets, pa.binary())], names=["id", "tokens"]
             )
 
-    found = docs.select("id", "text", mark.alias("mark")).mapInArrow(run, "id long, tokens binary")
+    found = docs.select("id", "text", _mark(F.col("id")).alias("mark")).mapInArrow(run, "id long, tokens binary")
     return stored(found.join(wanted, "id", "left_semi").distinct(), "sets")
 
 
