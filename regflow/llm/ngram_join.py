@@ -579,6 +579,8 @@ def _first_links(
     same = Window.partitionBy("token")
     hashed = F.struct(F.xxhash64("grp").alias("h"), F.col("grp").alias("center"))
     found = entries.withColumns({"first": F.min(hashed).over(same), "last": F.max(hashed).over(same)})
+    # Tokens of one group lead nowhere.
+    found = found.filter("first.center <> last.center")
     ends = F.explode(
         F.array(*(F.struct(F.lit(k).alias("end"), F.col(c)["center"].alias("center")) for k, c in enumerate(("first", "last"))))
     )
