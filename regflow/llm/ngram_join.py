@@ -10,7 +10,7 @@ the smaller of their quotas (`prefix_sizes`).
    them, one comparison per class and hash; those that link form the groups. A family of near
    copies thus becomes few groups without comparing its members with each other.
 3. Order. Tokens that stand in many prefixes are moved behind the others, and the prefixes
-   that held one are taken anew. Tokens of no second prefix are left out.
+   that held one are taken anew.
 4. First links. A group meets two others, those with which it shares the most of its first tokens,
    of the groups that are some token's first or last by a hash. A few members of both are compared, and linked
    groups become one, so that what is left of a family comes together at a cost in proportion to its size.
@@ -253,8 +253,8 @@ def _later(frequent: tuple, counts: DataFrame) -> tuple[np.ndarray, tuple]:
 
 def _reordered(
     docs: DataFrame, classes: DataFrame, words: int, percent: int, frequent: tuple
-) -> tuple[DataFrame, np.ndarray]:
-    """Classes with prefixes by the better order, and marks of the tokens that a second prefix may hold.
+) -> DataFrame:
+    """Classes with prefixes by the better order.
 
     A prefix without a token that moves back stays what it is, as all others keep their places. So
     only the sets of the other classes are looked at again.
@@ -291,9 +291,7 @@ def _reordered(
     # The filter's false hits and the other sets of a repeated id go in the join.
     renewed = docs.select("id", "text", _mark(F.col("id")).alias("mark")).mapInArrow(anew, _PROFILE)
     changed = stored(renewed.join(again, _SAME_SET, "left_semi").select(*_COLUMNS).dropDuplicates(_SAME_SET), "changed")
-    shared = counts.select("token").unionByName(changed.select(F.explode("prefix").alias("token")))
-    marks = _bits(shared, F.col("token"))
-    return classes.select(*_COLUMNS).join(again, _SAME_SET, "left_anti").select(*_COLUMNS).unionByName(changed), marks
+    return classes.select(*_COLUMNS).join(again, _SAME_SET, "left_anti").select(*_COLUMNS).unionByName(changed)
 
 
 def _mark(value: Column) -> Column:
@@ -535,37 +533,10 @@ def _pair_counts(one: list[np.ndarray], two: list[np.ndarray]) -> pa.RecordBatch
     )
 
 
-def _slim(classes: DataFrame, marks: np.ndarray, percent: int) -> DataFrame:
-    """Per class: id, n, quota, the prefix tokens that another prefix may hold, how many of them are early
-    (see `early_size`), and how long the prefix is."""
-    held = classes.sparkSession.sparkContext.broadcast(marks)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, early = [], []
-            columns = [batch.column(c) for c in ("prefix", "places", "early")]
-            for prefix, places, first in zip(*columns, strict=True):
-                at = places.values.to_numpy().astype(np.uint64)
-                bit = held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
-                hit = bit.astype(bool)
-                kept.append(prefix.values.to_numpy()[hit])
-                early.append(int(hit[: first.as_py()].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", "n", "quota")), _lists(kept), pa.array(early, pa.int64()), batch.column("size")],
-                names=["id", "n", "quota", "tokens", "early", "size"],
-            )
-
-    rows = classes.select(
-        "id",
-        "n",
-        "quota",
-        "prefix",
-        F.transform("prefix", lambda t: F.pmod(F.xxhash64(t), F.lit(MARKS))).alias("places"),
-        early_size(F.col("n"), F.col("quota"), percent).cast("long").alias("early"),
-        F.size("prefix").cast("long").alias("size"),
-    )
-    schema = "id long, n long, quota long, tokens array<long>, early long, size long"
-    return stored(rows.mapInArrow(run, schema).filter("size(tokens) > 0"), "slim")
+def _slim(classes: DataFrame, percent: int) -> DataFrame:
+    """Per class: id, its prefix, and how many tokens of it are early (see `early_size`)."""
+    early = early_size(F.col("n"), F.col("quota"), percent).cast("long")
+    return classes.select("id", F.col("prefix").alias("tokens"), early.alias("early"))
 
 
 def _first_links(
@@ -739,8 +710,7 @@ def similar_documents(
         "classes",
     )
     groups = _groups(texts, classes, words, percent)
-    ordered, marks = _reordered(texts, classes, words, percent, frequent)
-    slim = _slim(ordered, marks, percent)
+    slim = _slim(_reordered(texts, classes, words, percent, frequent), percent)
     early = _first_links(texts, slim, groups, words, percent)
     between = _between_groups(texts, slim, _contracted(groups, early), words, percent)
     links = (
