@@ -31,6 +31,8 @@ ship_by_value(__name__)
 
 #: Bytes of a range, and of a step when a record goes on beyond its range.
 RANGE, STEP = 32 << 20, 1 << 16
+#: Bytes looked at together: what a task holds besides its range does not grow with the range.
+BLOCK = 1 << 20
 _QUOTE, _BREAK = 34, 10
 
 
@@ -50,6 +52,22 @@ def _chunk(files, at: int, size: int) -> np.ndarray:
     return np.frombuffer(files.read(size), np.uint8)
 
 
+def _quotes(data: np.ndarray) -> int:
+    return int(np.count_nonzero(data == _QUOTE))
+
+
+def _outer_breaks(data: np.ndarray, inside: int) -> tuple[np.ndarray, int]:
+    """Places of the line breaks outside quoted values, and whether the data ends inside one."""
+    found = []
+    for at in range(0, len(data), BLOCK):
+        block = data[at : at + BLOCK]
+        # Eight bits wrap around, which keeps whether a count is odd.
+        odd = (np.cumsum(block == _QUOTE, dtype=np.uint8) + np.uint8(inside)) & np.uint8(1)
+        found.append(np.flatnonzero((block == _BREAK) & (odd == 0)) + at)
+        inside = int(odd[-1])
+    return np.concatenate(found) if found else np.empty(0, np.int64), inside
+
+
 def with_quotes_before(ranges: DataFrame, root: str, size: int = RANGE) -> DataFrame:
     """Ranges with `inside`: whether an odd number of quotes precedes them in their file."""
 
@@ -59,7 +77,8 @@ def with_quotes_before(ranges: DataFrame, root: str, size: int = RANGE) -> DataF
             odd = []
             for path, at in zip(batch.column("path").to_pylist(), batch.column("offset").to_pylist(), strict=True):
                 with store.files.open_input_file(store.inner(path)) as data:
-                    odd.append(int((_chunk(data, at, size) == _QUOTE).sum() & 1))
+                    steps = range(at, at + size, BLOCK)
+                    odd.append(sum(_quotes(_chunk(data, k, min(BLOCK, at + size - k))) for k in steps) & 1)
             columns = [batch.column(c) for c in ("path", "length", "offset")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(odd, pa.int32())], names=["path", "length", "offset", "odd"])
 
@@ -77,11 +96,8 @@ def _records(files, offset: int, size: int, inside: int) -> tuple[bytes, np.ndar
     # A record begins behind a line break, which may be the byte before the range.
     start = max(0, offset - 1)
     data = _chunk(files, start, size + offset - start)
-    quotes = data == _QUOTE
     # `inside` has counted that byte.
-    quotes[: offset - start] = False
-    state = (np.cumsum(quotes, dtype=np.int64) + inside) & 1
-    breaks = np.flatnonzero((data == _BREAK) & (state == 0))
+    breaks, last = _outer_breaks(data, inside ^ (_quotes(data[: offset - start]) & 1))
     if offset == 0:
         first = 0
     elif len(breaks) and breaks[0] < len(data) - 1:
@@ -92,17 +108,16 @@ def _records(files, offset: int, size: int, inside: int) -> tuple[bytes, np.ndar
     if len(ends) and ends[-1] == len(data):
         return data[first:].tobytes(), ends - first
     # The last record goes on: read until its own line break or the end of the file.
-    parts, length, last = [data[first:]], len(data), int(state[-1])
+    parts, length = [data[first:]], len(data)
     while True:
         more = _chunk(files, start + length, STEP)
-        state = (np.cumsum(more == _QUOTE, dtype=np.int64) + last) & 1
-        breaks = np.flatnonzero((more == _BREAK) & (state == 0))
+        breaks, last = _outer_breaks(more, last)
         if len(breaks) or not len(more):
             end = int(breaks[0]) + 1 if len(breaks) else 0
             parts.append(more[:end])
             return np.concatenate(parts).tobytes(), np.r_[ends, length + end] - first
         parts.append(more)
-        length, last = length + len(more), int(state[-1])
+        length += len(more)
 
 
 def read_records(ranges: DataFrame, root: str, size: int = RANGE) -> DataFrame:

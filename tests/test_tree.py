@@ -1,6 +1,7 @@
 """Listing of report trees, and CSV read in ranges."""
 
 import csv
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -170,3 +171,15 @@ def test_ranges_cut_at_true_records(rows, size, last):
     assert [row for text in found for row in csv.reader([text])] == quoted or [
         next(csv.reader(text.splitlines(keepends=True))) for text in found
     ] == quoted
+
+
+def test_memory_of_a_range_is_that_of_its_bytes():
+    """What a task holds besides the bytes of its range does not grow with them."""
+    line = b'"a ""b""\nc",d\n'
+    data = np.frombuffer(line * ((8 << 20) // len(line)), np.uint8)
+    tracemalloc.start()
+    breaks, inside = csv_split._outer_breaks(data, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert inside == 0 and (breaks == np.arange(len(line) - 1, len(data), len(line))).all()
+    assert peak < 3 * breaks.nbytes + 16 * csv_split.BLOCK
