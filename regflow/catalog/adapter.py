@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from regflow.functions import dates, text
 from regflow.operators import coverage, load
+from regflow.operators.keys import computed_once
 from regflow.plans.monthly import preprocess
 from regflow.schema import (
     FUEL_HEADERS,
@@ -208,7 +209,7 @@ def raw_reports(
     )
     label = "p_brand" if grain.name == "oem" else "concat('CLASS-', p_type, '(LMV)')"
     total = " + ".join(f"coalesce(floor(`{h}`), 0)" for h in CELL_HEADERS)
-    return placed.withColumn("path", path).selectExpr(
+    return computed_once(placed.withColumn("path", path), ["path"]).selectExpr(
         "path",
         f"{label} as `{LABEL_HEADER}`",
         *[f"format_number(floor(`{h}`), 0) as `{h}`" for h in CELL_HEADERS],

@@ -10,6 +10,7 @@ from regflow.schema import MONTHS
 
 
 _NUMBER_OF = "map(" + ", ".join(f"'{name}', {i}" for i, name in enumerate(MONTHS, 1)) + ")"
+_LABELS = "array(" + ", ".join(f"'{name}'" for name in MONTHS) + ")"
 _NAME_OF = "map(" + ", ".join(f"{i}, '{name}'" for i, name in enumerate(MONTHS, 1)) + ")"
 
 
@@ -50,7 +51,7 @@ def try_report_date(text: Column) -> Column:
 
 def month_of(date: Column) -> Column:
     """Upper-case month label of a date."""
-    return F.upper(F.date_format(date, "MMM"))
+    return F.element_at(F.expr(_LABELS), F.month(date))
 
 
 def previous_month_start(date: Column) -> Column:

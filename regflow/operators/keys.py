@@ -18,6 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+def computed_once(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The frame with these columns computed once per row, whatever is done with them later.
+
+    A filter is pushed through a projection and then computes the columns that it names again, once for every
+    time that it names them, as do the NULL checks that Spark adds to joins. It stays above
+    the `inline` of a single row.
+    """
+    held = ", ".join(f"`{c}`" for c in columns)
+    moved = frame.select(*(f"`{c}`" for c in frame.columns if c not in columns), F.expr(f"inline(array(struct({held})))"))
+    return moved.select(*(f"`{c}`" for c in frame.columns))
+
+
 def text_key(column: Column) -> Column:
     return F.lower(F.rtrim(column))
 

@@ -1,8 +1,11 @@
+import re
+
 import pytest
 from helpers import as_dicts, fact_rows, plan_text
 from pyspark.sql import functions as F
 from test_load import KEYS
 
+from regflow.catalog.queries import QUERIES
 from regflow.operators import curate, load
 from regflow.schema import GRAINS, MEASURES, OEM, RTO, STATE
 
@@ -91,3 +94,23 @@ def test_duplicate_keys_are_reported(spark):
     fact = fact_rows(spark, STATE, [KEYS["state"] | DATED | classes] * 2)
     [row] = as_dicts(curate.duplicate_keys(curate.curate(fact, STATE), STATE.curated_key), "rows")
     assert row == {"rows": 2}
+
+
+@pytest.mark.parametrize("name", ["quarantine_rto", "curated_upsert_rto", "delete_staged_rto", "history_backfill"])
+def test_filters_do_not_compute_columns_again(spark, name):
+    """Months are read from paths in projections only, never in a filter or a join condition."""
+    frame = QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    lines = [x for x in plan.splitlines() if re.match(r"^[\s:+-]*(Filter|Join) ", x)]
+    assert lines and not [x for x in lines if "d/MMM/yyyy" in x and "split(path" not in x]
+    assert not [x for x in lines if "arrayfilter" in x or "concat_ws(/, reports" in x]
+
+
+def test_faults_in_order_and_odd_date_parts(spark):
+    rows = fact_rows(spark, STATE, [
+        {"year": "2026L", "month": " 6", "day": "1.5", "date": "1/6/2026", "total": "5.0"},
+        {"year": "2026", "month": "\t6\n", "day": "+1", "date": "1/6/2026", "total": "5"},
+    ])
+    good, bad = curate.quarantine(rows)
+    assert good.count() == 1 and bad.first().bad_columns == ["year", "day", "total"]
+    assert curate.parse(rows).schema["bad_columns"].dataType.simpleString() == "array<string>"
