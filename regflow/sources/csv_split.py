@@ -137,11 +137,13 @@ def read_records(ranges: DataFrame, root: str, size: int = RANGE) -> DataFrame:
                     continue
                 # Cut with as many records at a time as make up a moderate batch.
                 cuts = np.unique(np.searchsorted(bounds, np.arange(bounds[0], bounds[-1], 4 << 20), "left"))
+                # A cut inside the last record would begin a batch without any.
+                cuts = cuts[cuts < len(bounds) - 1]
                 for a, b in zip(cuts, [*cuts[1:], len(bounds) - 1], strict=True):
                     part = bounds[a : b + 1]
                     buffers = [None, pa.py_buffer((part - part[0]).tobytes()), pa.py_buffer(data[part[0] : part[-1]])]
                     records = pa.Array.from_buffers(pa.large_string(), b - a, buffers).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * int(b - a)), records], names=["path", "record"])
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * int(b - a), pa.string()), records], names=["path", "record"])
 
     return _spread(ranges).mapInArrow(run, "path string, record string")
 

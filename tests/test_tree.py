@@ -183,3 +183,10 @@ def test_memory_of_a_range_is_that_of_its_bytes():
     tracemalloc.stop()
     assert inside == 0 and (breaks == np.arange(len(line) - 1, len(data), len(line))).all()
     assert peak < 3 * breaks.nbytes + 16 * csv_split.BLOCK
+
+
+def test_batch_that_would_begin_in_the_last_record(spark, tmp_path):
+    texts = ["x" * ((4 << 20) - 20), "y" * 100]
+    (tmp_path / "t.csv").write_text("a,b\n" + "".join(f"{i},{t}\n" for i, t in enumerate(texts)))
+    rows = staging.read_csv_stage(spark, str(tmp_path / "t.csv")).collect()
+    assert sorted((r.a, r.b) for r in rows) == [(str(i), t) for i, t in enumerate(texts)]
