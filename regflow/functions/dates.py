@@ -51,7 +51,7 @@ def try_report_date(text: Column) -> Column:
 
 def month_of(date: Column) -> Column:
     """Upper-case month label of a date."""
-    return F.element_at(F.expr(_LABELS), F.month(date))
+    return F.try_element_at(F.expr(_LABELS), F.month(date))
 
 
 def previous_month_start(date: Column) -> Column:

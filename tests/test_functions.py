@@ -135,3 +135,8 @@ def test_output_names():
     assert snake("PETROL(E20)/HYBRID/CNG") == "petrol_e20_hybrid_cng"
     assert len(MEASURES) == 37 and MEASURES[0] == "bio_cng_bio_gas" and MEASURES[-1] == "total"
     assert [len(g.columns) for g in (STATE, RTO, OEM)] == [46, 48, 47]
+
+
+def test_month_of_dates_and_null(spark):
+    days = spark.sql("select explode(array(date'2026-01-31', date'0999-12-01', cast(null as date))) as d")
+    assert [r[0] for r in days.select(dates.month_of(F.col("d"))).collect()] == ["JAN", "DEC", None]
