@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterable
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -344,17 +345,26 @@ def _letter(column: int) -> str:
     return (chr(ord("A") + tens - 1) if tens else "") + chr(ord("A") + ones)
 
 
+_LETTERS = [_letter(i) for i in range(26 * 27)]
+
+
 def workbook_bytes(rows: list[list[str | None]], whole: bool = True, sheet: str = "Report") -> bytes:
     """A minimal XLSX file with inline text; without `whole` the workbook part is left out."""
-    lines = []
-    for number, row in enumerate(rows, start=1):
-        cells = "".join(
-            f'<c r="{_letter(i)}{number}" t="inlineStr"><is><t xml:space="preserve">'
-            f"{escape(cell)}</t></is></c>"
-            for i, cell in enumerate(row)
-            if cell is not None
-        )
-        lines.append(f'<row r="{number}">{cells}</row>')
+    return _archive([_row_xml(number, enumerate(row)) for number, row in enumerate(rows, start=1)], whole, sheet)
+
+
+def _row_xml(number: int, cells: Iterable[tuple[int, str | None]]) -> str:
+    """A sheet row of (column, text) pairs in the order of columns."""
+    inner = "".join(
+        f'<c r="{_LETTERS[i]}{number}" t="inlineStr"><is><t xml:space="preserve">'
+        f"{escape(cell)}</t></is></c>"
+        for i, cell in cells
+        if cell is not None
+    )
+    return f'<row r="{number}">{inner}</row>'
+
+
+def _archive(lines: list[str], whole: bool, sheet: str = "Report") -> bytes:
     parts = {
         "[Content_Types].xml": "<Types/>",
         "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="rId1" '
@@ -396,22 +406,21 @@ def workbooks(spark: SparkSession, sf: str, damaged: bool = True) -> DataFrame:
     workbook part.
     """
     sheet_headers = [None, None, *FUEL_HEADERS, None, NEW_HEADER]
-    places = [1, *[sheet_headers.index(h) for h in CELL_HEADERS], len(FUEL_HEADERS) + 2]
+    # Every report has the same first rows.
+    head = [_row_xml(n, enumerate(row)) for n, row in enumerate([["Report"], [], [], sheet_headers], start=1)]
+    places = [0, 1, *[sheet_headers.index(h) for h in CELL_HEADERS], len(FUEL_HEADERS) + 2]
 
     @F.pandas_udf(T.BinaryType())
     def build(path: pd.Series, rows: pd.Series) -> pd.Series:
         def one(path: str, rows) -> bytes:
             if damaged and len(rows) == 1:
                 return b""
-            body = []
-            for number, row in enumerate(rows, start=1):
-                cells: list[str | None] = [None] * len(sheet_headers)
-                cells[0] = str(number)
-                for place, cell in zip(places, row.values()):
-                    cells[place] = cell
-                body.append(cells)
+            body = [
+                _row_xml(len(head) + number, sorted(zip(places, (str(number), *row.values()))))
+                for number, row in enumerate(rows, start=1)
+            ]
             whole = not damaged or "_" in path.split("/")[3]
-            return workbook_bytes([["Report"], [], [], sheet_headers, *body], whole)
+            return _archive(head + body, whole)
 
         return pd.Series([one(p, r) for p, r in zip(path, rows)])
 
