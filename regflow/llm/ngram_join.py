@@ -11,12 +11,14 @@ the smaller of their quotas (`prefix_sizes`).
    copies thus becomes few groups without comparing its members with each other.
 3. Order. Tokens that stand in many prefixes are moved behind the others, and the prefixes
    that held one are taken anew.
-4. First links. A group meets two others, those with which it shares the most of its first tokens,
-   of the groups that are some token's first or last by a hash. A few members of both are compared, and linked
-   groups become one, so that what is left of a family comes together at a cost in proportion to its size.
-5. Matrix. One entry per token and group: the union of its members' prefixes. The number of
-   tokens that two groups share bounds what any two of their members can share.
-6. Opening. Only pairs of groups whose bound reaches the quota are opened. Their members' sets
+4. Entries. One per token and group: the union of its members' prefixes. Tokens of a single group go.
+5. First links. In the tokens that many groups have, a group meets one other a turn: of the groups that
+   come last in its tokens, by their number of such tokens or by a hash, the one with which it shares the most.
+   A few members of both are compared, and linked groups become one, so that what is left of a family
+   comes together at a cost in proportion to its entries.
+6. Matrix. The number of tokens that two of the remaining groups share bounds what any two of
+   their members can share.
+7. Opening. Only pairs of groups whose bound reaches the quota are opened. Their members' sets
    meet in blocks of bounded size, and one link joins the groups.
 
 Every pair over the threshold lies within a group or between two opened ones, so the components
@@ -45,8 +47,8 @@ KEYS = 4
 BLOCK = 1 << 16
 #: Prefixes from which on a token is moved back, and groups of a token that are paired in one row.
 CROWDED, LISTED = 8, 64
-#: Members of a group that are compared before the matrix, and tokens by which groups meet there.
-SAMPLED, LEADING = 4, 8
+#: Members of a group that are compared before the matrix, and turns in which groups meet there.
+SAMPLED, TURNS = 4, 3
 #: Tokens per block of the frequency count, and the least count there that is reported. A
 #: token of d documents over b blocks is reported once d is some twice the root of b.
 COUNTED, LEAST = 4_000_000, 2
@@ -418,14 +420,17 @@ def _open(left: DataFrame, right: DataFrame, sets: DataFrame, percent: int) -> D
         "other",
         "id",
     )
-    return checkpointed(
+    # Stored, as a checkpoint is planned with the product of its sources' sizes, which over a
+    # few turns of joins gets so many digits that the driver is busy with nothing else.
+    return stored(
         rows_left.unionByName(rows_right)
         .join(sets, "id")
         .select(*_BLOCK_ROWS)
         .repartition("grp", "a", "b")
         .sortWithinPartitions("grp", "a", "b", "side")
         .mapInArrow(_meet(percent), "a long, b long")
-        .distinct()
+        .distinct(),
+        "open",
     )
 
 
@@ -448,10 +453,11 @@ def _groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     sets = _sets(docs, wanted, words)
     links = _open(leaders, pairs.select("grp", "id", "n", F.col("id").alias("other")), sets, percent)
     found = components(links)
-    return checkpointed(
+    return stored(
         classes.select("id", "n", "quota")
         .join(found, "id", "left")
-        .select("id", "n", "quota", F.coalesce("component", "id").alias("grp"))
+        .select("id", "n", "quota", F.coalesce("component", "id").alias("grp")),
+        "groups",
     )
 
 
@@ -472,21 +478,21 @@ def _least_quota(code: Column, percent: int) -> Column:
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries (token, code, early) of rows (code, early, tokens). Members of one group in a batch are
+    """Entries (token, grp, early) of rows (grp, early, tokens). Members of one group in a batch are
     combined, so that the many of a family do not all meet in the task of a token."""
     for batch in batches:
         lists = batch.column("tokens")
         sizes = np.diff(lists.offsets.to_numpy())
         token = lists.flatten().to_numpy()
-        code = np.repeat(batch.column("code").to_numpy(), sizes)
+        grp = np.repeat(batch.column("grp").to_numpy(), sizes)
         place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         early = (place < np.repeat(batch.column("early").to_numpy(), sizes)).astype(np.int64)
-        order = np.lexsort((early, code, token))
-        token, code, early = token[order], code[order], early[order]
+        order = np.lexsort((early, grp, token))
+        token, grp, early = token[order], grp[order], early[order]
         # Of equal pairs the last one is early if any is.
-        last = np.r_[(token[1:] != token[:-1]) | (code[1:] != code[:-1]), True][: len(token)]
+        last = np.r_[(token[1:] != token[:-1]) | (grp[1:] != grp[:-1]), True][: len(token)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(token[last]), pa.array(code[last]), pa.array(early[last])], names=["token", "code", "early"]
+            [pa.array(token[last]), pa.array(grp[last]), pa.array(early[last])], names=["token", "grp", "early"]
         )
 
 
@@ -495,30 +501,28 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     before they are shuffled: pairs whose sizes can go together, and of which one has the
     token early (see `early_size`). Groups of a row with two blocks meet those of the other."""
     mask = (1 << STEP) - 1
+    one, two, size = [], [], 0
     for batch in batches:
-        for part in pieces([batch], "groups", 1 << 18):
-            one, two = [], []
-            size = 0
-            for groups, cross in zip(part.column("groups"), part.column("cross").to_pylist(), strict=True):
-                entries = np.sort(groups.values.to_numpy(zero_copy_only=False))
-                members, early, block = entries >> 2, (entries >> 1 & 1).astype(bool), entries & 1
-                low, high = members >> STEP & mask, members & mask
-                for k in range(len(members) - 1):
-                    fit = (high[k + 1 :] >= low[k] - 1) & (high[k] >= low[k + 1 :] - 1)
-                    fit &= early[k] | early[k + 1 :]
-                    if cross:
-                        fit &= block[k + 1 :] != block[k]
-                    others = members[k + 1 :][fit]
-                    if not len(others):
-                        continue
-                    one.append(np.full(len(others), members[k]))
-                    two.append(others)
-                    size += len(others)
-                    if size > 1_000_000:
-                        yield _pair_counts(one, two)
-                        one, two, size = [], [], 0
-            if size:
-                yield _pair_counts(one, two)
+        for groups, cross in zip(batch.column("groups"), batch.column("cross").to_pylist(), strict=True):
+            entries = np.sort(groups.values.to_numpy(zero_copy_only=False))
+            members, early, block = entries >> 2, (entries >> 1 & 1).astype(bool), entries & 1
+            low, high = members >> STEP & mask, members & mask
+            for k in range(len(members) - 1):
+                fit = (high[k + 1 :] >= low[k] - 1) & (high[k] >= low[k + 1 :] - 1)
+                fit &= early[k] | early[k + 1 :]
+                if cross:
+                    fit &= block[k + 1 :] != block[k]
+                others = members[k + 1 :][fit]
+                if not len(others):
+                    continue
+                one.append(np.full(len(others), members[k]))
+                two.append(others)
+                size += len(others)
+                if size > 1_000_000:
+                    yield _pair_counts(one, two)
+                    one, two, size = [], [], 0
+    if size:
+        yield _pair_counts(one, two)
 
 
 def _pair_counts(one: list[np.ndarray], two: list[np.ndarray]) -> pa.RecordBatch:
@@ -539,63 +543,76 @@ def _slim(classes: DataFrame, percent: int) -> DataFrame:
     return classes.select("id", F.col("prefix").alias("tokens"), early.alias("early"))
 
 
+def _listed(slim: DataFrame, groups: DataFrame) -> DataFrame:
+    """Entries (token, grp, early) of the tokens that several groups have, one of them early."""
+    entries = (
+        slim.join(groups.select("id", "grp"), "id")
+        .select("grp", "early", "tokens")
+        .mapInArrow(_entries, "token long, grp long, early long")
+        # One exchange: a token's entries of one group are combined in it, and its groups counted.
+        .repartition("token")
+        .groupBy("token", "grp")
+        .agg(F.max("early").alias("early"))
+    )
+    same = Window.partitionBy("token")
+    listed = entries.withColumns({"all": F.count("*").over(same), "any": F.max("early").over(same)})
+    return stored(listed.filter("all > 1 and any = 1").select("token", "grp", "early"), "listed")
+
+
 def _first_links(
-    docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int
-) -> DataFrame:
-    """Links (a, b) between groups, each compared with two others at most, by a few members: with
-    those that it shares the most leading tokens with, of the first and of the last group of a token by a hash."""
-    leading = F.slice("tokens", 1, LEADING)
-    held = slim.select("id", leading.alias("tokens")).join(groups.select("id", "grp"), "id")
-    entries = held.select("grp", F.explode("tokens").alias("token")).distinct()
+    docs: DataFrame, listed: DataFrame, groups: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between groups, and the groups with their labels, of which those joined by links
+    mostly have one. In a turn each group that has a crowded token is compared with one other."""
     same = Window.partitionBy("token")
-    hashed = F.struct(F.xxhash64("grp").alias("h"), F.col("grp").alias("center"))
-    found = entries.withColumns({"first": F.min(hashed).over(same), "last": F.max(hashed).over(same)})
-    # Tokens of one group lead nowhere.
-    found = found.filter("first.center <> last.center")
-    ends = F.explode(
-        F.array(*(F.struct(F.lit(k).alias("end"), F.col(c)["center"].alias("center")) for k, c in enumerate(("first", "last"))))
-    )
-    met = found.select("grp", ends.alias("e")).select("grp", "e.end", "e.center")
-    shared = met.filter("grp <> center").groupBy("grp", "end", "center").agg(F.count("*").alias("shared"))
-    # Copies share many of them; what shares fewer is left to the matrix.
-    best = checkpointed(
-        shared.filter("shared >= 2")
-        .groupBy("grp", "end")
-        .agg(F.max_by("center", F.struct("shared", "center")).alias("center"))
-        .select("grp", "center")
-        .distinct()
-    )
-    order = Window.partitionBy("grp").orderBy(F.xxhash64("id"), "id")
-    taking = best.select("grp").union(best.select("center")).distinct()
-    few = checkpointed(
-        groups.join(taking, "grp", "left_semi")
-        .select("grp", "id", "n", F.row_number().over(order).alias("place"))
-        .filter(F.col("place") <= SAMPLED)
-        .drop("place")
-    )
-    left = few.join(best.select(F.col("center").alias("grp")).distinct(), "grp", "left_semi")
-    right = best.join(few, "grp").select(F.col("center").alias("grp"), "id", "n", F.col("grp").alias("other"))
-    sets = _sets(docs, few.select("id").distinct(), words)
-    return _open(left, right, sets, percent)
-
-
-def _contracted(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """Groups, of which those joined by links mostly are one: each takes the smallest label among
-    itself and its partners, and then that one's. The links stay to be added to the others."""
-    both = links.union(links.select("b", "a"))
-    label = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"))
-    label = checkpointed(label)
-    further = label.select(F.col("a").alias("to"), F.col("to").alias("far"))
-    ends = label.join(further, "to", "left").select(F.col("a").alias("grp"), F.coalesce("far", "to").alias("label"))
-    return checkpointed(
-        groups.join(ends, "grp", "left").select("id", "n", "quota", F.coalesce("label", "grp").alias("grp"))
+    crowded = stored(
+        listed.withColumn("all", F.count("*").over(same)).filter(F.col("all") >= CROWDED).select("token", "grp"), "crowded"
     )
+    members = groups.select("id", "n", "grp").join(crowded.select("grp").distinct(), "grp", "left_semi")
+
+    def some(frame: DataFrame, key: str, turn: int) -> DataFrame:
+        order = Window.partitionBy(key).orderBy(F.xxhash64("id", F.lit(turn)), "id")
+        return frame.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= 4 * SAMPLED)
+
+    pool = stored(some(members, "grp", 0).select("id", "n", "grp", F.col("grp").alias("label")), "pool")
+    sets = _sets(docs, pool.select("id").distinct(), words)
+    links = None
+    for turn in range(TURNS):
+        labels = pool.select("grp", "label").distinct()
+        now = crowded.join(labels, "grp").select("token", "label").distinct()
+        held = F.count("*").over(Window.partitionBy("label")) if turn % 2 == 0 else F.xxhash64("label", F.lit(turn))
+        ranked = now.select("token", F.struct(held.alias("held"), "label").alias("own"))
+        met = ranked.withColumn("last", F.max("own").over(same)).filter("own <> last")
+        shared = met.groupBy("own.label", F.col("last.label").alias("center")).agg(F.count("*").alias("shared"))
+        best = stored(
+            shared.groupBy("label").agg(F.max_by("center", F.struct("shared", "center")).alias("center")), "best"
+        )
+        few = stored(some(pool, "label", turn + 1), "few")
+        left = few.join(best.select(F.col("center").alias("label")).distinct(), "label", "left_semi")
+        right = best.join(few.filter(F.col("place") <= SAMPLED), "label")
+        found = _open(
+            left.select(F.col("label").alias("grp"), "id", "n"),
+            right.select(F.col("center").alias("grp"), "id", "n", F.col("label").alias("other")),
+            sets,
+            percent,
+        )
+        links = found if links is None else links.union(found)
+        # A center comes after its groups by the order of the turn, so that following links ends.
+        to = found.select(F.col("b").alias("label"), F.col("a").alias("to"))
+        further = to.select(F.col("label").alias("to"), F.col("to").alias("far"))
+        ends = to.join(further, "to", "left").select("label", F.coalesce("far", "to").alias("end"))
+        pool = stored(
+            pool.join(ends, "label", "left").select("id", "n", "grp", F.coalesce("end", "label").alias("label")), "pool"
+        )
+    labelled = groups.join(pool.select("grp", "label").distinct(), "grp", "left")
+    return links, stored(labelled.select("id", "n", "quota", "grp", F.coalesce("label", "grp").alias("label")), "labelled")
 
 
 def _between_groups(
-    docs: DataFrame, slim: DataFrame, groups: DataFrame, words: int, percent: int
+    docs: DataFrame, listed: DataFrame, labelled: DataFrame, words: int, percent: int
 ) -> DataFrame:
-    """Links (a, b) between different groups."""
+    """Links (a, b) between groups of different labels."""
+    groups = labelled.select("id", "n", "quota", F.col("label").alias("grp"))
     about = groups.groupBy("grp").agg(
         F.min("quota").alias("quota"),
         F.min("n").alias("least"),
@@ -611,23 +628,17 @@ def _between_groups(
             + _step(F.col("most"), percent, 1e-6),
         )
     )
-    coded = checkpointed(groups.join(about.select("grp", "code"), "grp").select("id", "code"))
-    entries = (
-        slim.select("id", "tokens", "early")
-        .join(coded, "id")
-        .select("code", "early", "tokens")
-        .mapInArrow(_entries, "token long, code long, early long")
-        # One exchange: a token's entries of one group are combined in it, and its groups counted.
-        .repartition("token")
-        .groupBy("token", "code")
-        .agg(F.max("early").alias("early"))
+    coded = (
+        labelled.select("grp", "label").distinct().join(about.select(F.col("grp").alias("label"), "code"), "label").select("grp", "code")
     )
+    entries = listed.join(coded, "grp").groupBy("token", "code").agg(F.max("early").alias("early"))
     same = Window.partitionBy("token")
-    listed = entries.withColumns({"all": F.count("*").over(same), "any": F.max("early").over(same)})
+    # Among the labels a token may be left with a single one.
+    labels = entries.withColumns({"all": F.count("*").over(same)})
     parts = F.ceil(F.col("all") / LISTED).cast("int")
     # A long list is cut into blocks, every two of which are a row of their own.
     blocks = (
-        listed.filter("all > 1 and any = 1")
+        labels.filter("all > 1")
         .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("code"), "parts").cast("int"))
         .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -711,15 +722,16 @@ def similar_documents(
     )
     groups = _groups(texts, classes, words, percent)
     slim = _slim(_reordered(texts, classes, words, percent, frequent), percent)
-    early = _first_links(texts, slim, groups, words, percent)
-    between = _between_groups(texts, slim, _contracted(groups, early), words, percent)
+    listed = _listed(slim, groups)
+    early, labelled = _first_links(texts, listed, groups, words, percent)
+    between = _between_groups(texts, listed, labelled, words, percent)
     links = (
         between.union(early)
         .union(groups.select("id", "grp"))
         .union(classed.select("id", "other"))
         .toDF("a", "b")
     )
-    found = components(links)
+    found = components(stored(links, "links"))
     return profiles.select("id", "n").join(found, "id", "left").select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from regflow.llm import ngram_join
@@ -106,6 +107,38 @@ def test_prefixes_keep_their_promise():
         assert len(early & cut(large)) >= quota
 
 
+def test_pairs_of_a_task_are_added_up():
+    groups = [[(k << 12 | 26 << 6 | 26) * 4 + 2 for k in range(5)]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(groups, pa.list_(pa.int64())), pa.array([False])], names=["groups", "cross"]
+    )
+    got = list(ngram_join._shared_tokens(iter([batch] * 9)))
+    assert sum(b.num_rows for b in got) == 10
+    assert {n for b in got for n in b.column("shared").to_pylist()} == {9}
+
+
+def test_a_family_is_one_group_before_the_matrix(docs_of, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        words = list(base)
+        for _ in range(5):
+            words[rng.randrange(300)] = f"e{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    made = []
+    real = ngram_join._between_groups
+
+    def spied(docs, listed, labelled, words, percent):
+        made.append(labelled.select("label").distinct().count())
+        return real(docs, listed, labelled, words, percent)
+
+    monkeypatch.setattr(ngram_join, "_between_groups", spied)
+    got = ngram_join.similar_documents(docs_of(rows)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert made[0] <= 6
+
+
 def test_components(spark):
     rng = random.Random(4)
     chain = [(i, i + 1) for i in range(40)]
