@@ -7,12 +7,15 @@ A re-scraped report (`pick="min"`) holds the smallest price instead.
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterable
+import struct
+import zlib
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -377,11 +380,21 @@ def _archive(lines: list[str], whole: bool, sheet: str = "Report") -> bytes:
             f'<workbook xmlns="{_SHEET}" xmlns:r="{_OFFICE}"><sheets>'
             f'<sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>'
         )
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as archive:
-        for name, body in parts.items():
-            archive.writestr(name, body)
-    return buffer.getvalue()
+    return _stored(parts)
+
+
+def _stored(parts: dict[str, str]) -> bytes:
+    """A zip of parts that are not compressed, dated 1980."""
+    out, index, at = [], [], 0
+    for name, text in parts.items():
+        title, body = name.encode(), text.encode()
+        common = (20, 0, 0, 0, 0x21, zlib.crc32(body), len(body), len(body), len(title), 0)
+        out += [struct.pack("<4s5H3L2H", b"PK\x03\x04", *common), title, body]
+        index += [struct.pack("<4s2B5H3L5H2L", b"PK\x01\x02", 20, 3, *common, 0, 0, 0, 0o600 << 16, at), title]
+        at += 30 + len(title) + len(body)
+    size = sum(map(len, index))
+    end = struct.pack("<4s4H2LH", b"PK\x05\x06", 0, 0, len(parts), len(parts), size, at, 0)
+    return b"".join([*out, *index, end])
 
 
 def mapping_workbook(spark: SparkSession, sf: str) -> DataFrame:
@@ -397,6 +410,10 @@ def mapping_workbook(spark: SparkSession, sf: str) -> DataFrame:
     return whole.select(F.lit("mapping.xlsx").alias("path"), build("rows").alias("content"))
 
 
+#: So many reports are given on together.
+_REPORTS_PER_BATCH = 1024
+
+
 def workbooks(spark: SparkSession, sf: str, damaged: bool = True) -> DataFrame:
     """Office reports as XLSX bytes (path, content), built on the executors.
 
@@ -410,24 +427,38 @@ def workbooks(spark: SparkSession, sf: str, damaged: bool = True) -> DataFrame:
     head = [_row_xml(n, enumerate(row)) for n, row in enumerate([["Report"], [], [], sheet_headers], start=1)]
     places = [0, 1, *[sheet_headers.index(h) for h in CELL_HEADERS], len(FUEL_HEADERS) + 2]
 
-    @F.pandas_udf(T.BinaryType())
-    def build(path: pd.Series, rows: pd.Series) -> pd.Series:
-        def one(path: str, rows) -> bytes:
-            if damaged and len(rows) == 1:
-                return b""
-            body = [
-                _row_xml(len(head) + number, sorted(zip(places, (str(number), *row.values()))))
-                for number, row in enumerate(rows, start=1)
-            ]
-            whole = not damaged or "_" in path.split("/")[3]
-            return _archive(head + body, whole)
-
-        return pd.Series([one(p, r) for p, r in zip(path, rows)])
+    # The row number and the cells in the order of columns.
+    order = sorted(range(len(places)), key=places.__getitem__)
+    columns = [places[i] for i in order]
+
+    def one(path: str, rows: list[tuple]) -> bytes:
+        if damaged and len(rows) == 1:
+            return b""
+        body = [
+            _row_xml(number, zip(columns, (str(number - len(head)), *row[1:])))
+            for number, row in enumerate(rows, start=len(head) + 1)
+        ]
+        whole = not damaged or "_" in path.split("/")[3]
+        return _archive(head + body, whole)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = (line for batch in batches for line in zip(*(c.to_numpy(False).tolist() for c in batch.columns)))
+        paths, contents = [], []
+        for path, rows in groupby(lines, itemgetter(0)):
+            paths.append(path)
+            contents.append(one(path, list(rows)))
+            if len(paths) == _REPORTS_PER_BATCH:
+                yield pa.RecordBatch.from_pydict({"path": paths, "content": contents})
+                paths, contents = [], []
+        if paths:
+            yield pa.RecordBatch.from_pydict({"path": paths, "content": contents})
 
     raw = raw_reports(spark, sf, GRAINS["rto"])
-    row = F.expr("struct(" + ", ".join(f"`{h}` as c{i}" for i, h in enumerate(RAW_HEADERS)) + ")")
     # A fixed number of partitions: AQE would otherwise pack these small rows, which are
-    # expensive to turn into files, into one task.
+    # expensive to turn into files, into one task. Paths begin alike, so their hashes are sorted first.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grouped = raw.repartition(tasks, "path").groupBy("path").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    return grouped.select("path", build("path", "rows").alias("content"))
+    sorted_rows = raw.repartition(tasks, "path").sortWithinPartitions(
+        F.xxhash64("path"), "path", *(f"`{h}`" for h in RAW_HEADERS)
+    )
+    held = ["path", *(RAW_HEADERS[i - 1] for i in order if i)]
+    return sorted_rows.select(*(f"`{h}`" for h in held)).mapInArrow(build, "path string, content binary")

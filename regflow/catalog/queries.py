@@ -710,7 +710,7 @@ def preprocess_rows_oem(spark, sf):
 @query
 def preprocess_workbooks_rto(spark, sf):
     # Through workbooks and their reader.
-    rows = reports.read_workbooks(a.workbooks(spark, sf, damaged=False))
+    rows = reports.read_workbooks(a.workbooks(spark, sf, damaged=False), empty_cells=False)
     return monthly.preprocess_rows(rows, a.mapping(spark, sf), RTO)
 
 

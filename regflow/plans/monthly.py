@@ -52,7 +52,7 @@ def preprocess_tree(
 ) -> DataFrame:
     """One month of a report tree. Without reports the frame is empty, with all columns."""
     files = list_reports(spark, root, grain, [year], [month], states)
-    return preprocess_rows(read_listed(files, root), mapping, grain)
+    return preprocess_rows(read_listed(files, root, empty_cells=False), mapping, grain)
 
 
 @dataclass(frozen=True)
@@ -201,7 +201,7 @@ def load_history(
             if not count:
                 return 0, 0
             wanted = files.join(chosen, _UNIT, "left_semi")
-            frame = preprocess_rows(read_listed(wanted, root), mapping, grain)
+            frame = preprocess_rows(read_listed(wanted, root, empty_cells=False), mapping, grain)
             rows = load.load_fact(fact_path, load.stage_load(frame, grain.columns), grain)
             if journal:
                 chosen.coalesce(1).write.mode("append").parquet(journal)

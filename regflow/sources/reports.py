@@ -16,7 +16,7 @@ from regflow.schema import HEADER_ROWS_SKIPPED, Grain
 from regflow.session import ship_by_value
 from regflow.sources.store import Store
 from regflow.sources.tree import list_reports
-from regflow.sources.workbook import is_workbook, table_rows
+from regflow.sources.workbook import is_workbook, named, open_workbook, table
 
 ship_by_value("regflow.sources.workbook")
 ship_by_value(__name__)
@@ -81,19 +81,50 @@ def path_dimensions(files: DataFrame, grain: Grain) -> DataFrame:
 
 
 _ROWS_PER_BATCH = 4096
-_ARROW_ROW = pa.schema(
-    [
-        ("path", pa.string()),
-        ("title", pa.string()),
-        ("row_no", pa.int32()),
-        ("cells", pa.map_(pa.string(), pa.string())),
-    ]
-)
 
 
-def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
-    arrays = [pa.array(column, field.type) for column, field in zip(zip(*rows), _ARROW_ROW)]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_ROW)
+class _RowBatch:
+    """Sheet rows of some reports, column by column."""
+
+    def __init__(self):
+        self.paths, self.titles, self.numbers = [], [], []
+        self.offsets, self.keys, self.items = [0], [], []
+
+    def add(
+        self, path: str, title: str, headers: list[str], rows: list[dict[int, str]], empty_cells: bool
+    ) -> None:
+        count = len(rows) or 1
+        self.paths += [path] * count
+        self.titles += [title] * count
+        self.numbers += range(count) if rows else [None]
+        if not rows:
+            self.offsets[-1:] = [None, len(self.keys)]
+        one_each = len(set(headers)) == len(headers)
+        for cells in rows:
+            if not one_each:
+                texts = named(headers, cells).items()
+                self._extend(*zip(*[(h, t) for h, t in texts if empty_cells or t is not None]))
+            elif empty_cells:
+                self._extend(headers, map(cells.get, range(len(headers))))
+            else:
+                self._extend([headers[place] for place in cells], cells.values())
+
+    def _extend(self, keys: Iterable[str] = (), items: Iterable[str | None] = ()) -> None:
+        self.keys += keys
+        self.items += items
+        self.offsets.append(len(self.keys))
+
+    def arrow(self) -> pa.RecordBatch:
+        cells = pa.MapArray.from_arrays(
+            pa.array(self.offsets, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.items, pa.string())
+        )
+        columns = {
+            "path": pa.array(self.paths, pa.string()),
+            "title": pa.array(self.titles, pa.string()),
+            "row_no": pa.array(self.numbers, pa.int32()),
+            "cells": cells,
+        }
+        return pa.RecordBatch.from_pydict(columns)
 
 
 @F.pandas_udf(T.BooleanType())
@@ -108,23 +139,21 @@ def with_validity(files: DataFrame) -> DataFrame:
     )
 
 
-def _sheet_rows(sheet: str | None, skip: int, drop_first: bool):
+def _sheet_rows(sheet: str | None, skip: int, drop_first: bool, empty_cells: bool):
     """Sheet rows of (path, content) pairs as batches; an invalid file raises."""
 
     def parse(files: Iterator[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        out = _RowBatch()
         for path, content in files:
-            if not is_workbook(content):
+            archive = open_workbook(content)
+            if archive is None:
                 raise ValueError(f"Invalid Excel report file: {path}")
-            title, rows = table_rows(content, sheet, skip, drop_first)
-            out += [(path, title, i, list(row.items())) for i, row in enumerate(rows)]
-            if not rows:
-                out.append((path, title, None, None))
-            if len(out) >= _ROWS_PER_BATCH:
-                yield _row_batch(out)
-                out = []
-        if out:
-            yield _row_batch(out)
+            out.add(path, *table(archive, sheet, skip, drop_first), empty_cells)
+            if len(out.paths) >= _ROWS_PER_BATCH:
+                yield out.arrow()
+                out = _RowBatch()
+        if out.paths:
+            yield out.arrow()
 
     return parse
 
@@ -134,13 +163,16 @@ def read_workbooks(
     sheet: str | None = None,
     skip: int = HEADER_ROWS_SKIPPED,
     drop_first: bool = True,
+    empty_cells: bool = True,
 ) -> DataFrame:
     """Sheet rows of each file (path, content) as `ROW_SCHEMA`; an invalid file fails the job.
 
     Cells stay text. They travel as a map, so files with different headers need no
-    union and the wide form is a projection without a shuffle.
+    union and the wide form is a projection without a shuffle. Without `empty_cells` the map leaves
+    out headers whose cell is empty: these are NULL in the wide form as well, and few of the
+    cells of a report are filled, so that a header is found sooner.
     """
-    parse = _sheet_rows(sheet, skip, drop_first)
+    parse = _sheet_rows(sheet, skip, drop_first, empty_cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = zip_pairs(batches, "path", "content")
@@ -161,10 +193,10 @@ def _spread(listed: DataFrame, columns: Sequence[str]) -> DataFrame:
     return listed.select(*columns).repartition(tasks, "path")
 
 
-def read_listed(listed: DataFrame, root: str) -> DataFrame:
+def read_listed(listed: DataFrame, root: str, empty_cells: bool = True) -> DataFrame:
     """Sheet rows of listed files (path), which the tasks read themselves, so that no file's
-    bytes pass through the JVM."""
-    parse = _sheet_rows(None, HEADER_ROWS_SKIPPED, True)
+    bytes pass through the JVM. `empty_cells` is as in `read_workbooks`."""
+    parse = _sheet_rows(None, HEADER_ROWS_SKIPPED, True, empty_cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = Store(root)
