@@ -65,7 +65,8 @@ def valid_workbooks(spark, sf):
 @query
 def read_workbooks(spark, sf):
     # The reader checks each file itself, so the bytes cross to Python once.
-    rows = conform.skip_empty_reports(reports.read_workbooks(a.workbooks(spark, sf, damaged=False)))
+    read = reports.read_workbooks(a.workbooks(spark, sf, damaged=False), empty_cells=False)
+    rows = conform.skip_empty_reports(read)
     return reports.widen(rows, a.RAW_HEADERS)
 
 
